@@ -1,7 +1,6 @@
 """The sample tables in the roles of the fleet tables.
 
-Machines are ``events.user_id``, sites are nations (through ``customer``), ``error``
-events are removals and ``signup`` events additions; the other events feed telemetry,
+Machines are ``events.user_id``, sites are the 25 nations in turn, ``error`` are removals and ``signup`` events additions; the other events feed telemetry,
 errors, disconnects, scores and messages.  States are derived from the number ``k`` in
 ``props``.  The SQL below says the same for the comparison in DuckDB.
 """
@@ -11,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.functions.timeops import day_start, floor_to, micros
-from rovelog.operators.events import DAY
-from rovelog.operators.keyed import lookup
+from rovelog.functions.timeops import day_start
 from rovelog.sources.tables import FleetTables
 
 ZONES = (
@@ -47,13 +44,8 @@ def events(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
 
 
 def placed(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
-    homes = (
-        table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(F.col("c_custkey").alias("user_id"), F.col("n_name").alias("site"))
-    )
-    day = floor_to(micros(F.col("ts")), DAY)
-    return lookup(events(spark, sf_dir, *kinds), homes, ["user_id"], day, "inner")
+    home = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("site"))
+    return events(spark, sf_dir, *kinds).join(home, F.col("user_id") % 25 == F.col("n_nationkey"))
 
 
 def removals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +153,7 @@ sites AS (
   FROM nation),
 ev AS (
   SELECT e.*, CAST(regexp_extract(e.props, '"k": *([0-9]+)', 1) AS INTEGER) AS k, n.n_name AS site
-  FROM events e JOIN customer c ON c.c_custkey = e.user_id JOIN nation n ON n.n_nationkey = c.c_nationkey),
+  FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25),
 removals AS (
   SELECT site AS site_id, user_id AS botnumber, ts AS "timestamp",
          CASE event_type WHEN 'error' THEN 'Removed' ELSE 'Added' END AS action

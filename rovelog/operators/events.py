@@ -41,7 +41,9 @@ def event_times(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def previous_event(events: DataFrame, ts: str, name: str = "prev_ts") -> Feature:
     """Time of the previous event of the key, among events at other times."""
-    track = Track(events, micros(F.col(ts)), latest={name: F.col(ts)}, after=True, null_keys=True)
+    track = Track(
+        events, micros(F.col(ts)), latest={name: F.col(ts)}, after=F.lit(True), whole=True, null_keys=True
+    )
     return Feature([track], {name: F.col(name)})
 
 

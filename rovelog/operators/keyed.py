@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COPIES = "copies"
@@ -51,16 +51,21 @@ def join_spread(
     return left.join(matched, [*keys, "_part"], how).drop("_part")
 
 
+def is_small(df: DataFrame, max_rows: int = 200_000) -> bool:
+    """Counts, but never past the bound."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def lookup(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     spread: Column,
     how: str = "left",
-    max_rows: int = 200_000,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join a dimension: broadcast when counted to be small, otherwise :func:`join_spread`."""
-    if right.limit(max_rows + 1).count() <= max_rows:
+    if is_small(right) if small is None else small:
         return left.join(F.broadcast(right), list(keys), how)
     return join_spread(left, right, keys, spread, how)
 
@@ -71,8 +76,6 @@ def key_total(df: DataFrame, keys: Sequence[str], part: Column, value: Column, n
     Sums per key and part are combined map-side; only those few rows per key are
     brought together, and the rows themselves meet the total on key and part.
     """
-    from pyspark.sql import Window
-
     df = df.withColumn("_part", part)
     sums = (
         df.groupBy(*keys, "_part")

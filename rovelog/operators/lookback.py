@@ -99,31 +99,30 @@ def counts_before(
 
     A row adds 1 at its own time and takes it away right after its period ends.
     """
-    tracks = []
-    for leaving in (False, True):
-        sign = -1 if leaving else 1
-        entries = F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias("name"),
-                    F.lit(spec.category).alias("category"),
-                    F.lit(spec.lookback if leaving else timedelta(0)).alias("delay"),
-                )
-                for name, spec in counts.items()
-            ]
-        )
-        moves = rows.where(F.col(category).isin([s.category for s in counts.values()])).withColumn(
-            "_entry", F.explode(F.filter(entries, lambda e: e["category"] == F.col(category)))
-        )
-        tracks.append(
-            Track(
-                moves,
-                micros(F.col(ts) + F.col("_entry.delay")),
-                total={n: F.when(F.col("_entry.name") == n, sign).otherwise(0) for n in counts},
-                after=leaving,
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"),
+                F.lit(spec.category).alias("category"),
+                F.lit(spec.lookback if leaving else timedelta(0)).alias("delay"),
+                F.lit(-1 if leaving else 1).alias("step"),
             )
-        )
-    return Feature(tracks, {name: F.col(name).cast("bigint") for name in counts})
+            for name, spec in counts.items()
+            for leaving in (False, True)
+        ]
+    )
+    moves = rows.where(F.col(category).isin(sorted({s.category for s in counts.values()}))).withColumn(
+        "_entry", F.explode(F.filter(entries, lambda e: e["category"] == F.col(category)))
+    )
+    track = Track(
+        moves,
+        micros(F.col(ts) + F.col("_entry.delay")),
+        total={n: F.when(F.col("_entry.name") == n, F.col("_entry.step")).otherwise(0) for n in counts},
+        after=F.col("_entry.step") < 0,
+        reach=max(spec.lookback for spec in counts.values()),
+        reach_at=micros(F.col(ts)),
+    )
+    return Feature([track], {name: F.col(name).cast("bigint") for name in counts})
 
 
 def seen_before(rows: DataFrame, ts: str, event_ts: str, lookback: timedelta, name: str) -> Feature:

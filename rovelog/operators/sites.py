@@ -19,11 +19,11 @@ def union_sites(per_site: Mapping[str, DataFrame], site: str = "site_id") -> Dat
 
 
 def short_site_codes(
-    df: DataFrame, sites: DataFrame, spread: Column, full: str = "site_id"
+    df: DataFrame, sites: DataFrame, spread: Column, full: str = "site_id", small: bool | None = None
 ) -> DataFrame:
     """Replace full site names by short codes; rows of unknown sites are left out."""
     names = sites.select(F.col("site_full").alias("_full"), F.col("site_short").alias("_short"))
-    found = lookup(df.withColumn("_full", F.col(full)), names, ["_full"], spread, "inner")
+    found = lookup(df.withColumn("_full", F.col(full)), names, ["_full"], spread, "inner", small)
     return found.withColumn(full, F.col("_short")).drop("_full", "_short")
 
 

@@ -42,9 +42,10 @@ _CARRIED, _AT, _EVENT, _AFTER = -1, 0, 1, 2
 class Track:
     """Timed rows of one source and what to remember of them.
 
-    ``latest`` keeps the greatest value per name, ``total`` the sum.  With ``after``
-    a row counts only for strictly later events.  ``reach`` promises that rows
-    further back than that do not matter, so they are not read into the pass.
+    ``latest`` keeps the greatest value per name, ``total`` the sum.  Where ``after``
+    holds, a row counts only for strictly later events.  ``reach`` promises that rows
+    further back than that (by ``reach_at``, if not by ``at``) do not matter, so they
+    are not taken into the pass.  ``whole`` says that all rows are near events anyway.
     ``null_keys`` treats null keys as one key (grouping) instead of no key (joining).
     """
 
@@ -52,8 +53,10 @@ class Track:
     at: Column
     latest: dict[str, Column] = field(default_factory=dict)
     total: dict[str, Column] = field(default_factory=dict)
-    after: bool = False
+    after: Column | None = None
     reach: timedelta | None = None
+    reach_at: Column | None = None
+    whole: bool = False
     null_keys: bool = False
 
 
@@ -101,29 +104,21 @@ def enrich(
     latest = sorted({name for track in tracks for name in track.latest})
     totals = sorted({name for track in tracks for name in track.total})
 
-    def combined(frame: DataFrame) -> list[Column]:
-        names = set(frame.columns)
-        return [F.max(c).alias(c) for c in latest if c in names] + [
-            F.sum(c).alias(c) for c in totals if c in names
-        ]
-
     before, near = [], []
     for track in tracks:
         rows = _positioned(track, keys, cell)
-        per_cell = rows.groupBy(*keys, "_cell").agg(*combined(rows))
+        distinct = _distinct(rows, track, keys)
         if track.reach is not None:
-            per_cell = within_reach(per_cell, cells, keys, track.reach, cell, track.null_keys)
-        before.append(per_cell)
-
-        values = [c for c in rows.columns if c in track.latest]
-        sums = [F.sum(c).alias(c) for c in rows.columns if c in track.total]
-        distinct = rows.groupBy(*keys, "_cell", "_at", *values)
-        distinct = distinct.agg(*sums) if sums else distinct.agg(F.lit(1).alias("_one")).drop("_one")
-        near.append(
-            _only(distinct, cells, keys, track.null_keys).withColumn(
-                "_side", F.lit(_AFTER if track.after else _AT)
-            )
-        )
+            # few rows are left: combine them once and use them for both
+            distinct = within_reach(distinct, cells, keys, track.reach, cell, track.null_keys)
+            before.append(_per_cell(distinct, track, keys))
+            near.append(distinct)
+        elif track.whole:
+            before.append(_per_cell(distinct, track, keys))
+            near.append(distinct)
+        else:
+            before.append(_per_cell(rows, track, keys))
+            near.append(_only(distinct, cells, keys, track.null_keys))
 
     earlier = Window.partitionBy(*keys).orderBy("_cell").rangeBetween(Window.unboundedPreceding, -1)
     carried = (
@@ -146,38 +141,58 @@ def enrich(
 
 
 def _positioned(track: Track, keys: list[str], cell: int) -> DataFrame:
-    rows = track.rows.select(
-        *keys,
-        track.at.alias("_at"),
-        *[c.alias(name) for name, c in track.latest.items()],
-        *[c.alias(name) for name, c in track.total.items()],
-    ).where(F.col("_at").isNotNull())
+    side = F.lit(_AT) if track.after is None else F.when(track.after, _AFTER).otherwise(_AT)
+    columns = {"_at": track.at, "_side": side, **track.latest, **track.total}
+    if track.reach is not None:
+        columns["_start"] = floor_to(
+            track.at if track.reach_at is None else track.reach_at, reach_step(track.reach, cell)
+        )
+    rows = track.rows.select(*keys, *[c.alias(name) for name, c in columns.items()])
+    usable = [F.col("_at").isNotNull()]
     if not track.null_keys:
-        rows = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+        usable += [F.col(k).isNotNull() for k in keys]
     if track.latest:
-        rows = rows.where(reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in track.latest]))
+        usable.append(reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in track.latest]))
+    rows = rows.where(reduce(lambda a, b: a & b, usable))
     return rows.withColumn("_cell", floor_to(F.col("_at"), cell))
 
 
+def _distinct(rows: DataFrame, track: Track, keys: list[str]) -> DataFrame:
+    """One row per key, time and value, however many copies there are."""
+    same = [c for c in rows.columns if c not in track.total and c not in keys]
+    if not track.total:
+        return rows.distinct()
+    return rows.groupBy(*keys, *same).agg(*[F.sum(c).alias(c) for c in track.total])
+
+
+def _per_cell(rows: DataFrame, track: Track, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys, "_cell").agg(
+        *[F.max(c).alias(c) for c in track.latest], *[F.sum(c).alias(c) for c in track.total]
+    )
+
+
+def reach_step(reach: timedelta, cell: int = CELL) -> int:
+    return -(-micros_in(reach) // (12 * cell)) * cell
+
+
 def within_reach(
     rows: DataFrame, cells: DataFrame, keys: Sequence[str], reach: timedelta, cell: int = CELL, null_keys: bool = False
 ) -> DataFrame:
-    """Rows (with a ``_cell``) that lie at most ``reach``, rounded up, before an event.
+    """Rows whose ``_start`` (time cut to steps) lies at most ``reach``, rounded up, before an event.
 
-    Works on steps of about a twelfth of the reach, so an event lists a dozen steps
-    however long the reach is.
+    A step is about a twelfth of the reach, so an event lists a dozen steps however
+    long the reach is.
     """
-    step = -(-micros_in(reach) // (12 * cell)) * cell
+    step = reach_step(reach, cell)
     back = -(-micros_in(reach) // step)
-    start = floor_to(F.col("_cell"), step)
     steps = (
-        cells.select(*keys, start.alias("_start"))
+        cells.select(*keys, floor_to(F.col("_cell"), step).alias("_start"))
         .distinct()
-        .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(back))))
-        .select(*keys, (F.col("_start") - F.col("_step").cast("bigint") * step).alias("_start"))
+        .withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(back))))
+        .select(*keys, (F.col("_start") - F.col("_back").cast("bigint") * step).alias("_start"))
         .distinct()
     )
-    return _only(rows.withColumn("_start", start), steps, keys, null_keys, "_start").drop("_start")
+    return _only(rows, steps, keys, null_keys, "_start").drop("_start")
 
 
 def _only(

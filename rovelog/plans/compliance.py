@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rovelog.functions.timeops import EASTERN, second_text, span, to_zone, wall
 from rovelog.operators.asof import attach_records, latest_time_before, record_variants
 from rovelog.operators.events import DAY, event_times, is_new, previous_event, recent_events
-from rovelog.operators.keyed import COPIES, expand, key_total
+from rovelog.operators.keyed import COPIES, expand, is_small, key_total
 from rovelog.operators.lookback import (
     Count,
     Pick,
@@ -33,6 +33,7 @@ from rovelog.operators.rules import (
 from rovelog.operators.sites import short_site_codes
 from rovelog.operators.stale import stale_group
 from rovelog.operators.timeline import cell_of, enrich
+from rovelog.sources.sinks import written
 from rovelog.sources.tables import FleetTables
 
 SITE, BOT, TS = "site_id", "bot_id", "event_ts"
@@ -122,11 +123,20 @@ def compliance(
     removals = tables.removals
     if sites is not None:
         removals = removals.where(F.col(SITE).isin(list(sites)))
-    events = removal_events(removals, as_of, days, until)
+    events = written(removal_events(removals, as_of, days, until))
     start = wall(as_of) - span(timedelta(days=days))
 
     by_site = [SITE, BOT]
-    recs = short_site_codes(tables.bot_recs, tables.sites, cell_of(F.col("last_updated"), DAY))
+    few_sites = is_small(tables.sites)
+    recs = short_site_codes(
+        tables.bot_recs, tables.sites, cell_of(F.col("last_updated"), DAY), small=few_sites
+    )
+    errors = short_site_codes(
+        classified_errors(tables.bot_errors, as_of, error_days=settings.error_days, strict=settings.strict_levels),
+        tables.sites,
+        cell_of(F.col("datetime")),
+        small=few_sites,
+    )
 
     rows = enrich(
         events,
@@ -137,7 +147,7 @@ def compliance(
             latest_time_before(recs, "last_updated", "_rec_at", EASTERN),
         ],
     )
-    rows = _with_sessions(rows, recs, settings.gap_minutes)
+    rows = written(_with_sessions(written(rows), recs, settings.gap_minutes))
 
     rows = enrich(
         rows,
@@ -150,7 +160,7 @@ def compliance(
         rows,
         by_site,
         TS,
-        [error_feature(tables, as_of, settings), disconnect_feature(tables.bot_disconnect, settings)],
+        [error_feature(errors, settings), disconnect_feature(tables.bot_disconnect, settings)],
         times=events,
     )
     rows = rows.join(stale_cases(events, tables.diagnostic_message, start, settings, until), [BOT, TS], "left")
@@ -214,11 +224,7 @@ def red_flag_feature(recs: DataFrame, start: Column, settings: Settings):
     return seen_before(hits, "flagged_at", TS, settings.red_flag, "red_flag")
 
 
-def error_feature(tables: FleetTables, as_of: datetime | str, settings: Settings):
-    errors = classified_errors(
-        tables.bot_errors, as_of, error_days=settings.error_days, strict=settings.strict_levels
-    )
-    errors = short_site_codes(errors, tables.sites, cell_of(F.col("datetime")))
+def error_feature(errors: DataFrame, settings: Settings):
     counts = {name: Count(category, period) for name, category, period in settings.counts}
     return counts_before(errors, "error_ts", "error_category", counts)
 
