@@ -99,21 +99,23 @@ def counts_before(
 
     A row adds 1 at its own time and takes it away right after its period ends.
     """
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(spec.category).alias("category"),
-                F.lit(spec.lookback if leaving else timedelta(0)).alias("delay"),
-                F.lit(-1 if leaving else 1).alias("step"),
-            )
-            for name, spec in counts.items()
-            for leaving in (False, True)
-        ]
-    )
-    moves = rows.where(F.col(category).isin(sorted({s.category for s in counts.values()}))).withColumn(
-        "_entry", F.explode(F.filter(entries, lambda e: e["category"] == F.col(category)))
-    )
+    entries = None
+    for kind in sorted({spec.category for spec in counts.values()}):
+        both = F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("name"),
+                    F.lit(spec.lookback if leaving else timedelta(0)).alias("delay"),
+                    F.lit(-1 if leaving else 1).alias("step"),
+                )
+                for name, spec in counts.items()
+                if spec.category == kind
+                for leaving in (False, True)
+            ]
+        )
+        holds = F.col(category) == kind
+        entries = F.when(holds, both) if entries is None else entries.when(holds, both)
+    moves = rows.withColumn("_entry", F.explode(entries))  # no entry, no row
     track = Track(
         moves,
         micros(F.col(ts) + F.col("_entry.delay")),

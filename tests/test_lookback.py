@@ -1,0 +1,199 @@
+from datetime import timedelta
+
+import pytest
+from conftest import frame, rows, t
+from pyspark.sql import functions as F
+
+from rovelog.functions.timeops import EASTERN
+from rovelog.operators import lookback as L
+from rovelog.operators.asof import asof_join
+
+HOUR = timedelta(hours=1)
+DAY = timedelta(days=1)
+COUNTS = {
+    "wrangle_count": L.Count("WRANGLE", 3 * DAY),
+    "chd_count": L.Count("CHD", 3 * DAY),
+    "iwe_count": L.Count("IWE", DAY),
+}
+
+
+def removal(spark, *times, bot=1):
+    return spark.createDataFrame([(bot, t(x)) for x in times], "bot_id long, event_ts timestamp_ntz")
+
+
+R = "10 10:00:00"
+
+
+def health(spark, *samples):
+    names = ("timestamp", "bot_state", "safety_reason", "case_handling_disabled")
+    return frame(spark, "bot_health", [{"bot_id": 1, **dict(zip(names, (t(s[0]), *s[1:])))} for s in samples])
+
+
+def flags(spark, *samples, at=(R,)):
+    found = L.lookback_flags(
+        removal(spark, *at), health(spark, *samples), ["bot_id"], "event_ts", "timestamp", HOUR,
+        {"case_handling_disabled": F.col("case_handling_disabled") == 1}, EASTERN,
+    )
+    return [r[0] for r in rows(found, "case_handling_disabled")]
+
+
+def latest(spark, *samples, at=(R,), where=None):
+    found = L.latest_in_lookback(
+        removal(spark, *at), health(spark, *samples), ["bot_id"], "event_ts", "timestamp", HOUR,
+        ["bot_state", "safety_reason"], where, EASTERN,
+    )
+    return rows(found, "bot_state", "safety_reason")
+
+
+def test_both_ends_count(spark, zone):
+    assert flags(spark, ("10 14:00", "a", None, 1)) == [1]
+    assert flags(spark, ("10 15:00", "a", None, 1)) == [1]
+    assert flags(spark, ("10 13:59:59", "a", None, 1), ("10 15:00:01", "a", None, 1)) == []
+
+
+def test_flag_of_an_older_row(spark):
+    assert flags(spark, ("10 14:10", "a", None, 1), ("10 14:50", "a", None, 0)) == [1]
+    assert flags(spark, ("10 14:10", "a", None, 0), ("10 14:50", "a", None, None)) == [0]
+
+
+def test_blank_reason(spark):
+    samples = [("10 14:10", "old", "x", 0), ("10 14:50", "new", "", 0)]
+    assert latest(spark, *samples) == [("new", "")]
+    assert latest(spark, *samples, where=L.non_blank("safety_reason")) == [("old", "x")]
+    assert latest(spark, ("10 14:10", "old", None, 0), where=L.non_blank("safety_reason")) == []
+    assert latest(spark, ("10 14:10", "old", None, 0)) == [("old", None)]
+
+
+def test_tie_on_time_is_stable(spark):
+    rows_ = health(spark, ("10 14:10", "a", None, 0), ("10 14:10", "b", None, 0))
+    for n in (1, 2, 5):
+        found = L.latest_in_lookback(
+            removal(spark, R), rows_.repartition(n), ["bot_id"], "event_ts", "timestamp", HOUR, ["bot_state"], None, EASTERN
+        )
+        assert rows(found, "bot_state") == [("b",)]
+
+
+def test_repeated_hour(spark, zone):
+    first, second = ("2024-11-03 05:30:00", "first", "x", 0), ("2024-11-03 06:30:00", "second", "x", 0)
+    assert latest(spark, first, second, at=("2024-11-03 01:45",)) == [("second", "x")]
+    # 01:50 of the first pass is in the hour before 02:30, 01:05 of the second pass is not
+    assert latest(
+        spark, ("2024-11-03 05:50:00", "first", "x", 0), ("2024-11-03 06:05:00", "second", "x", 0),
+        at=("2024-11-03 02:30",),
+    ) == [("first", "x")]
+
+
+def test_hot_cells_and_cell_borders(spark):
+    """Rows on both sides of cell borders, events at and around them, against plain comparison."""
+    times = [f"10 {h:02d}:{m:02d}:{s:02d}" for h in (8, 9) for m in (0, 4, 5, 6, 10, 55) for s in (0, 1, 59)]
+    samples = [(x, f"s{i:03d}", None, i % 2) for i, x in enumerate(times)]
+    ats = [f"10 {h:02d}:{m:02d}:{s:02d}" for h in (8, 9, 10) for m in (0, 5, 9) for s in (0, 30)]
+    found = L.latest_in_lookback(
+        removal(spark, *ats), health(spark, *samples), ["bot_id"], "event_ts", "timestamp", HOUR, ["bot_state"]
+    )
+    expected = []
+    for at in ats:
+        seen = [s for x, s, *_ in samples if t(at) - HOUR <= t(x) <= t(at)]
+        if seen:
+            expected.append((t(at), seen[-1]))
+    assert rows(found, "event_ts", "bot_state") == sorted(expected)
+
+
+def counts(spark, *errors, at=(R,)):
+    df = spark.createDataFrame([(1, t(x), c) for x, c in errors], "bot_id long, error_ts timestamp_ntz, c string")
+    found = L.bounded_counts(removal(spark, *at), df, ["bot_id"], "event_ts", "error_ts", "c", COUNTS)
+    return rows(found, *COUNTS)
+
+
+@pytest.mark.parametrize(
+    "errors,expected",
+    [
+        ([("07 10:00", "WRANGLE"), ("10 10:00", "WRANGLE")], (2, 0, 0)),
+        ([("07 09:59:59", "WRANGLE"), ("10 10:00:01", "WRANGLE")], (0, 0, 0)),
+        ([("09 10:00", "IWE")], (0, 0, 1)),
+        ([("09 09:00", "IWE"), ("09 09:59:59.999999", "IWE")], (0, 0, 0)),
+        ([("09 09:00", "OTHER"), ("09 09:00", None)], (0, 0, 0)),
+        ([("09 09:00", "CHD")] * 5, (0, 5, 0)),
+    ],
+)
+def test_bounded_counts(spark, errors, expected):
+    assert counts(spark, *errors) == [expected]
+
+
+def test_counts_double_for_a_doubled_event(spark):
+    assert counts(spark, ("09 10:00", "WRANGLE"), at=(R, R)) == [(2, 0, 0)]
+
+
+def test_null_machines_match_nothing(spark):
+    errors = spark.createDataFrame([(None, t(R), "CHD")], "bot_id long, error_ts timestamp_ntz, c string")
+    found = L.bounded_counts(removal(spark, R, bot=None), errors, ["bot_id"], "event_ts", "error_ts", "c", COUNTS)
+    assert rows(found, *COUNTS) == [(0, 0, 0)]
+
+
+def issue(spark, *groups):
+    """Groups of (type, count, duration of each, last lost time)."""
+    data = [(1, kind, d, t(last)) for kind, n, d, last in groups for _ in range(n)]
+    lost = spark.createDataFrame(data, "bot_id long, kind string, duration double, lost timestamp_ntz")
+    rules = (L.Threshold("Flicker", 500), L.Threshold("Disconnect", 5, 1800))
+    found = L.disconnect_issue(
+        removal(spark, R), lost, ["bot_id"], "event_ts", "kind", "duration", "lost", rules, timedelta(hours=72)
+    )
+    return rows(found, "has_disconnect_issue")[0][0]
+
+
+@pytest.mark.parametrize(
+    "groups,expected",
+    [
+        ([("Flicker", 500, 0.0, "10 09:00")], 1),
+        ([("Flicker", 499, 9.0, "10 09:00")], 0),
+        ([("Disconnect", 5, 360.0, "10 09:00")], 1),
+        ([("Disconnect", 5, 359.8, "10 09:00")], 0),
+        ([("Disconnect", 4, 900.0, "2023-01-10 09:00"), ("Disconnect", 1, 0.0, "10 09:00")], 1),
+        ([("Flicker", 500, 0.0, "10 10:00:01")], 0),
+        ([("Flicker", 500, 0.0, "07 10:00")], 1),
+        ([("Flicker", 500, 0.0, "07 09:59:59")], 0),
+        ([("Other", 900, 9000.0, "10 09:00")], 0),
+    ],
+)
+def test_disconnect_issue(spark, groups, expected):
+    assert issue(spark, *groups) == expected
+
+
+def test_flag_if_hit(spark):
+    hits = spark.createDataFrame([(1, t("10 09:00"))], "bot_id long, h timestamp_ntz")
+    at = ("10 10:00:00", "10 10:00:01", "10 08:59:59")
+    found = L.flag_if_hit(removal(spark, *at), hits, ["bot_id"], "event_ts", "h", HOUR, "red")
+    assert rows(found, "event_ts", "red") == [(t("10 08:59:59"), 0), (t("10 10:00:00"), 1), (t("10 10:00:01"), 0)]
+
+
+def recs(spark, *items, bot=1):
+    data = [(bot, t(x), float(p)) for x, p in items]
+    return spark.createDataFrame(data, "bot_id long, last_updated timestamp_ntz, pull_score double")
+
+
+def scores(spark, records, at=(R,), tie="all"):
+    found = asof_join(
+        removal(spark, *at), records, ["bot_id"], "event_ts", "last_updated", ["pull_score"], zone=EASTERN, tie=tie
+    )
+    return [r[0] for r in rows(found, "pull_score")]
+
+
+def test_asof_takes_the_latest_not_after(spark, zone):
+    assert scores(spark, recs(spark, ("10 14:00", 1), ("10 15:00", 2), ("10 15:00:01", 3))) == [2.0]
+    assert scores(spark, recs(spark, ("10 15:00:01", 3))) == [None]
+    assert scores(spark, recs(spark, ("2020-01-01 00:00", 7))) == [7.0]
+
+
+def test_asof_ties(spark):
+    tied = recs(spark, ("10 15:00", 2), ("10 15:00", 5), ("10 15:00", 5))
+    assert scores(spark, tied) == [2.0, 5.0, 5.0]
+    assert scores(spark, tied, at=(R, R)) == [2.0, 2.0, 5.0, 5.0, 5.0, 5.0]
+    assert scores(spark, tied, tie="one") == [5.0]
+
+
+def test_asof_null_machine(spark):
+    found = asof_join(
+        removal(spark, R, bot=None), recs(spark, ("10 14:00", 1), bot=None), ["bot_id"], "event_ts", "last_updated",
+        ["pull_score"], zone=EASTERN,
+    )
+    assert rows(found, "pull_score") == [(None,)]

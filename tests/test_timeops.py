@@ -1,0 +1,69 @@
+from datetime import date, datetime
+
+from pyspark.sql import functions as F
+
+from rovelog.functions import timeops as T
+
+
+def one(spark, *columns):
+    return tuple(spark.range(1).select(*columns).first())
+
+
+def test_minutes_between_counts_boundaries(spark, zone):
+    pairs = [
+        ("2024-01-10 10:00:59", "2024-01-10 10:30:00", 30),
+        ("2024-01-10 23:59:59", "2024-01-11 00:00:00", 1),
+        ("2024-03-10 01:59:30", "2024-03-10 03:00:10", 61),
+        ("2024-03-10 02:30:45", "2024-03-10 03:30:00", 60),
+        ("1969-12-31 23:59:59", "1970-01-01 00:00:00", 1),
+    ]
+    got = one(spark, *[T.minutes_between(T.wall(a), T.wall(b)) for a, b, _ in pairs])
+    assert got == tuple(n for _, _, n in pairs)
+
+
+def test_weeks_and_days_are_wall_clock(spark, zone):
+    got = one(
+        spark,
+        T.week_start(T.wall("2024-01-07 23:00:00")),
+        T.week_start(T.wall("2024-01-08 00:00:00")),
+        T.day_start(T.wall("2024-03-10 02:30:00")),
+    )
+    assert got == (datetime(2024, 1, 1), datetime(2024, 1, 8), datetime(2024, 3, 10))
+
+
+def test_week_type_is_ntz(spark):
+    assert spark.range(1).select(T.week_start(T.wall("2024-01-07")).alias("w")).dtypes == [("w", "timestamp_ntz")]
+
+
+def test_text_keeps_the_skipped_hour(spark, zone):
+    assert one(spark, T.second_text(T.wall("2024-03-10 02:30:45.123"))) == ("2024-03-10 02:30:45",)
+
+
+def test_eastern_time_across_both_changes(spark, zone):
+    times = ["2024-03-10 06:59:59", "2024-03-10 07:00:00", "2024-11-03 05:30:00", "2024-11-03 06:30:00"]
+    got = one(spark, *[T.to_zone(T.wall(x)) for x in times])
+    assert [str(x)[11:] for x in got] == ["01:59:59", "03:00:00", "01:30:00", "01:30:00"]
+
+
+def test_repeated_hour_is_the_second_pass_only(spark, zone):
+    raw = [f"2024-11-03 0{h}:{m}:00" for h in (4, 5, 6, 7) for m in ("00", "59")]
+    got = one(spark, *[T.in_repeated_hour(T.wall(x), T.to_zone(T.wall(x))) for x in raw])
+    assert got == (False, False, False, False, True, True, False, False)
+
+
+def test_micros_round_trip(spark, zone):
+    times = ["2024-03-10 02:30:45.123456", "1969-12-31 23:59:59.5", "1970-01-01 00:00:00"]
+    got = one(spark, *[T.micros(T.wall(x)) for x in times], *[T.from_micros(T.micros(T.wall(x))) for x in times])
+    assert got[:3] == (1710037845123456, -500000, 0)
+    assert list(got[3:]) == [datetime.fromisoformat(x) for x in times]
+
+
+def test_floor_below_zero(spark):
+    assert one(spark, T.floor_to(F.lit(-1), 10), T.floor_to(F.lit(19), 10)) == (-10, 10)
+
+
+def test_wall_accepts_dates(spark, zone):
+    assert one(spark, T.wall(date(2024, 1, 2)), T.wall(datetime(2024, 1, 2, 3))) == (
+        datetime(2024, 1, 2),
+        datetime(2024, 1, 2, 3),
+    )
