@@ -1,0 +1,226 @@
+import random
+from datetime import timedelta
+
+import duckdb
+import pandas as pd
+import pytest
+from conftest import SITES, fleet, frame, rows, t
+
+from checks.compare import difference
+from checks.oracle import compliance_sql
+from rovelog.operators.lookback import Threshold
+from rovelog.plans.compliance import COLUMNS, Settings, compliance
+from rovelog.sources.tables import SCHEMAS, FleetTables, schema_of
+
+AS_OF = "2024-01-15 12:00:00"
+R = t("10 10:00:00")
+
+
+def removed(bot, at=R, site="NO"):
+    return {"site_id": site, "botnumber": bot, "timestamp": at, "action": "Removed"}
+
+
+def health(bot, **states):
+    base = {"environment": "e", "bot_id": bot, "timestamp": t("10 14:30"), "bot_state": "Idle", "health_state": "Ok",
+            "safety_reason": None, "case_handling_disabled": 0, "system_flagged": 0, "drive_system_not_ok": 0}
+    return {**base, **states}
+
+
+def error(bot, **values):
+    return {"bot_id": bot, "site_id": "north-one", "datetime": t("10 12:00"), "level": "1", **values}
+
+
+def score(bot, pull, tcts, at="10 14:00", site="north-one", text=None):
+    return {"bot_id": bot, "site_id": site, "last_updated": t(at), "pull_score": pull, "tcts_daily_avg": tcts,
+            "issue_classifications": text}
+
+
+def one_removal_per_rule():
+    wrangle = {"event": "alarm", "recoverflag": "N", "alarmoperationalstate": "operating"}
+    suspect = {"event": "suspect", "actiontype": "PICK", "transfertype": "SHELF_TRANSFER"}
+    iwe = {"event": "alarm", "subevent": "initialized_with_error", "recoverflag": "Y"}
+    flicker = {"Bot Id": 6, "Site Id": "NO", "Disconnect Type": "Flicker", "Disconnect Duration": 1.0,
+               "Lost Time": t("10 09:00"), "connect_operational_status": "Operating",
+               "lost_operational_status": "Operating"}
+    return {
+        "removals": [removed(b) for b in range(0, 13)] + [removed(20, t("10 10:00:30"))],
+        "bot_health": [
+            health(2, case_handling_disabled=1), health(3, system_flagged=1), health(8, bot_state="Disabled"),
+            health(9, bot_state="Disabled"), health(11, case_handling_disabled=1), health(12, drive_system_not_ok=1),
+        ],
+        "bot_errors": [error(4, **wrangle)] * 3 + [error(5, **suspect)] * 20 + [error(8, event="caseHandlingDisabled")]
+        + [error(9, **iwe), error(10, **iwe)],
+        "bot_disconnect": [flicker] * 500 + [{**flicker, "Bot Id": 10, "connect_operational_status": "Down"}] * 600,
+        "bot_recs": [
+            score(1, 50.04, 99.0), score(11, 60.0, 1.0), score(10, 60.0, 1.0, site="south-two"),
+            score(7, 0.0, 0.0, site="south-two", text="power fault"),
+        ],
+        "diagnostic_message": [
+            {"bot_id": 20, "datetime": t(x), "casegroupid": 7} for x in ("10 08:00:45", "10 10:00:05")
+        ],
+    }
+
+
+def test_one_removal_per_rule(spark, zone):
+    found = compliance(fleet(spark, **one_removal_per_rule()), AS_OF)
+    assert tuple(found.columns) == COLUMNS
+    got = {r["botnumber"]: r for r in found.collect()}
+    assert {b: r["valid_removal_reason"] for b, r in got.items()} == {
+        0: None, 1: "Pull Score + TCTS OK", 2: "Case Handling Disabled", 3: "System Flagged", 4: "WRANGLE Count >= 3",
+        5: "SUSPECT Count >= 20", 6: "Disconnect Issue", 7: "Red Flag Trigger", 8: "Disabled + CHD",
+        9: "Disabled + IWE", 10: None, 11: "Pull Score + TCTS OK", 12: None, 20: "Stale Case",
+    }
+    assert all(r["valid_removal"] == (r["valid_removal_reason"] is not None) for r in got.values())
+    assert (got[0]["bot_state"], got[0]["health_state"], got[0]["stale_case"], got[0]["pull_score"]) == (
+        "UNKNOWN", "UNKNOWN", "0", None,
+    )
+    assert got[1]["pull_score"] == 50.0
+    assert (got[20]["stale_case"], got[20]["removed_timestamp_est"]) == ("7", "2024-01-10 10:00:30")
+
+
+def test_output_types(spark):
+    found = dict(compliance(fleet(spark), AS_OF).dtypes)
+    assert found == {
+        "site_id": "string", "removed_timestamp_est": "string", "removed_date": "date", "botnumber": "bigint",
+        "action": "string", "bot_state": "string", "health_state": "string", "safety_reason": "string",
+        "3_DAY_REMOVAL_COUNT": "bigint", "pull_score": "double", "tcts_daily_avg": "double",
+        "case_handling_disabled": "int", "system_flagged": "int", "drive_system_not_ok": "int",
+        "wrangle_count": "bigint", "chd_count": "bigint", "suspect_count": "bigint", "iwe_count": "bigint",
+        "has_disconnect_issue": "int", "red_flag": "int", "stale_case": "string", "valid_removal": "int",
+        "valid_removal_reason": "string",
+    }
+
+
+def test_doubled_removal_doubles_counts_and_rows(spark):
+    tables = fleet(
+        spark, removals=[removed(1), removed(1)], bot_errors=[error(1, event="caseHandlingDisabled")],
+        bot_recs=[score(1, 1.0, 1.0), score(1, 2.0, 1.0)],
+    )
+    found = compliance(tables, AS_OF)
+    # one new event, counted once per tied score
+    assert rows(found, "chd_count", "3_DAY_REMOVAL_COUNT", "pull_score") == [
+        (2, 2, 1.0), (2, 2, 1.0), (2, 2, 2.0), (2, 2, 2.0),
+    ]
+
+
+def test_errors_before_the_ten_day_limit(spark):
+    tables = fleet(
+        spark, removals=[removed(1, t("03 12:30"))],
+        bot_errors=[{**error(1, event="caseHandlingDisabled"), "datetime": t("03 17:00")}],
+    )
+    assert rows(compliance(tables, AS_OF), "chd_count") == [(0,)]
+
+
+def test_rows_come_in_time_order(spark):
+    times = [t(f"1{d} {h:02d}:00") for d in (3, 1, 2) for h in (9, 3, 20)]
+    found = compliance(fleet(spark, removals=[removed(i, x) for i, x in enumerate(times)]), AS_OF)
+    assert [r[0] for r in found.select("removed_timestamp_est").collect()] == sorted(map(str, times))
+
+
+# Times on a coarse grid make borders, ties and copies common; the period holds the
+# night on which the clock goes back.
+SETTINGS = Settings(
+    gap_minutes=45,
+    health=timedelta(hours=1),
+    thresholds=(Threshold("Flicker", 12), Threshold("Disconnect", 8, 40)),
+    stale=timedelta(hours=3),
+    stale_minutes=100,
+    min_suspects=4,
+)
+
+
+def random_fleet(seed):
+    rng = random.Random(seed)
+    base = t("2024-10-31 00:00")
+
+    def moment(grid=600):
+        night = rng.random() < 0.5
+        seconds = rng.randrange(3 * 86400, 3 * 86400 + 12 * 3600) if night else rng.randrange(0, 5 * 86400)
+        return base + timedelta(seconds=seconds // grid * grid)
+
+    def bot():
+        return rng.choice((1, 1, 1, 2, 3, None))
+
+    def site():
+        return rng.choice(("NO", "SO"))
+
+    def full():
+        return rng.choice(("north-one", "south-two", "unknown"))
+
+    pick = rng.choice
+    return {
+        "removals": [
+            {"site_id": site(), "botnumber": bot(), "timestamp": moment(), "action": pick(("Removed",) * 3 + ("Added",))}
+            for _ in range(160)
+        ],
+        "bot_health": [
+            health(bot(), timestamp=moment(60), bot_state=pick(("Disabled", "Idle")), health_state=pick(("Ok", "Bad")),
+                   safety_reason=pick((None, "", "x", "y")), case_handling_disabled=pick((0, 0, 0, 0, None, 1)),
+                   system_flagged=pick((0,) * 9 + (1,)), drive_system_not_ok=pick((0, 1)))
+            for _ in range(500)
+        ],
+        "bot_errors": [
+            {"bot_id": bot(), "site_id": full(), "datetime": moment(), "level": pick(("1", "2.5", "x", None)),
+             "event": pick(("alarm", "Alarm", "caseHandlingDisabled", "suspect", "logFileWritten", None)),
+             "subevent": pick(("initialized_with_error", "under_voltage", "other", None)),
+             "recoverflag": pick(("Y", "N", None)), "alarmoperationalstate": pick(("operating", "Disabled", None)),
+             "actiontype": pick(("PICK", "PLACE", "MOVE", None)),
+             "transfertype": pick(("SHELF_TRANSFER", "BUFFER_TRANSFER", "OTHER", None))}
+            for _ in range(400)
+        ],
+        "bot_disconnect": [
+            {"Bot Id": bot(), "Site Id": site(), "Disconnect Type": pick(("Flicker", "Disconnect", "Other")),
+             "Disconnect Duration": float(pick((1, 5, 9))), "Lost Time": moment() - timedelta(days=pick((0, 1, 30))),
+             "connect_operational_status": pick(("Operating", "Operating", "Down")),
+             "lost_operational_status": "Operating"}
+            for _ in range(150)
+        ],
+        "bot_recs": [
+            score(bot(), float(pick((10, 49, 50, 51, 60))) + 0.25, pick((None, 50.0, 99.5, 100.0)), str(moment(3600)),
+                  full(), pick((None, "a power fault b", "Drive Fault Alarm --> {CAN1Bus Error 1}",
+                                "Drive Fault Alarm --> {CAN1Bus Error 1}.")))
+            for _ in range(120)
+        ],
+        "diagnostic_message": [
+            {"bot_id": bot(), "datetime": moment(30), "casegroupid": pick((5, 6, 7, None))} for _ in range(600)
+        ],
+        "sites": SITES,
+    }
+
+
+def duck_tables(data):
+    con = duckdb.connect()
+    kinds = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+    for name in SCHEMAS:
+        fields = [(f.name, kinds[f.dataType.simpleString()]) for f in schema_of(name)]
+        con.execute(f"CREATE TABLE {name} ({', '.join(f'\"{n}\" {k}' for n, k in fields)})")
+        values = [[r.get(n) for n, _ in fields] for r in data.get(name, ())]
+        if values:
+            con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(fields))})", values)
+    return con
+
+
+@pytest.mark.parametrize("seed,session_zone", [(1, "UTC"), (2, "America/New_York"), (3, "Asia/Kolkata"), (4, "UTC")])
+def test_against_sql_on_random_fleets(spark, seed, session_zone):
+    data = random_fleet(seed)
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        found = compliance(FleetTables(**{n: frame(spark, n, data[n]) for n in SCHEMAS}), "2024-11-05 00:00:00", 13, SETTINGS)
+        reasons = {r[0] for r in found.select("valid_removal_reason").distinct().collect()}
+        sql = compliance_sql(SETTINGS, "2024-11-05 00:00:00", 13, roles=None)
+        assert difference(found, duck_tables(data).sql(sql)) == ""
+        assert len(reasons) >= 6
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_all_sites_equal_the_sites_one_by_one(spark):
+    data = random_fleet(7)
+    tables = FleetTables(**{n: frame(spark, n, data[n]) for n in SCHEMAS})
+    args = ("2024-11-05 00:00:00", 13, SETTINGS)
+    together = compliance(tables, *args).toPandas()
+    single = pd.concat([compliance(tables, *args, sites=[s]).toPandas() for s in ("NO", "SO", "EM")])
+    key = list(COLUMNS)
+    a = together.astype(str).sort_values(key).reset_index(drop=True)
+    b = single.astype(str).sort_values(key).reset_index(drop=True)
+    pd.testing.assert_frame_equal(a, b)
