@@ -88,7 +88,7 @@ def errors(spark, sf_dir):
 def bounded_counts(spark, sf_dir):
     counts = {name: lookback.Count(kind, period) for name, kind, period in WIDE.counts}
     return lookback.bounded_counts(
-        removed(spark, sf_dir), errors(spark, sf_dir), KEYS, "event_ts", "error_ts", "error_category", counts
+        removed(spark, sf_dir), errors(spark, sf_dir), KEYS, "event_ts", "error_ts", "error_category", counts, "datetime"
     )
 
 

@@ -12,9 +12,11 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SECOND = 1_000_000  # microseconds
-MINUTE = 60 * SECOND
 EASTERN = "America/New_York"
+# Eastern wall clocks are this much behind UTC
+EASTERN_BEHIND = (timedelta(hours=4), timedelta(hours=5))
+
+_EPOCH = "1970-01-01 00:00:00"
 
 
 def wall(moment: datetime | date | str) -> Column:
@@ -30,24 +32,28 @@ def span(length: timedelta) -> Column:
     return F.lit(length)
 
 
-def micros_in(length: timedelta) -> int:
-    return length // timedelta(microseconds=1)
+def seconds(ts: Column) -> Column:
+    """Whole seconds since 1970-01-01 00:00 on the same wall clock, as bigint."""
+    return (ts - wall(_EPOCH)).cast("bigint")
 
 
 def micros(ts: Column) -> Column:
     """Microseconds since 1970-01-01 00:00 on the same wall clock, as bigint."""
-    elapsed = ts - wall("1970-01-01 00:00:00")
-    return (elapsed.cast("decimal(20,6)") * SECOND).cast("bigint")
+    return ((ts - wall(_EPOCH)).cast("decimal(20,6)") * 1_000_000).cast("bigint")
 
 
 def from_micros(us: Column) -> Column:
-    seconds = (us.cast("decimal(26,0)") / SECOND).cast("decimal(18,6)")
-    return wall("1970-01-01 00:00:00") + F.make_dt_interval(secs=seconds)
+    return wall(_EPOCH) + F.make_dt_interval(secs=(us.cast("decimal(26,0)") / 1_000_000).cast("decimal(18,6)"))
+
+
+def mirrored(ts: Column) -> Column:
+    """The time as far on the other side of 1970: later times come first."""
+    return wall(_EPOCH) - (ts - wall(_EPOCH))
 
 
-def floor_to(us: Column, width: int) -> Column:
-    """Start of the ``width`` microsecond cell that holds ``us``; floors below zero too."""
-    return us - F.pmod(us, F.lit(width).cast("bigint"))
+def floor_to(number: Column, width: int) -> Column:
+    """Start of the ``width`` wide cell that holds the number; floors below zero too."""
+    return number - F.pmod(number, F.lit(width).cast("bigint"))
 
 
 def minute_number(ts: Column) -> Column:

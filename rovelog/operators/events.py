@@ -8,11 +8,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rovelog.functions.timeops import micros, minutes_between, span, wall
+from rovelog.functions.timeops import minutes_between, span, wall
 from rovelog.operators.keyed import COPIES, collapse, expand, key_total
-from rovelog.operators.timeline import Feature, Track, cell_of, enrich
-
-DAY = 24 * 3600 * 1_000_000
+from rovelog.operators.timeline import DAY, Feature, Track, cell_of, enrich
 
 
 def recent_events(
@@ -42,7 +40,7 @@ def event_times(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def previous_event(events: DataFrame, ts: str, name: str = "prev_ts") -> Feature:
     """Time of the previous event of the key, among events at other times."""
     track = Track(
-        events, micros(F.col(ts)), latest={name: F.col(ts)}, after=F.lit(True), whole=True, null_keys=True
+        events, F.col(ts), latest={name: F.col(ts)}, after=F.lit(True), whole=True, null_keys=True
     )
     return Feature([track], {name: F.col(name)})
 

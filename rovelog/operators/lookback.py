@@ -14,10 +14,10 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rovelog.functions.timeops import in_repeated_hour, micros, span, to_zone
+from rovelog.functions.timeops import EASTERN, EASTERN_BEHIND, in_repeated_hour, span, to_zone
 from rovelog.operators.events import event_times
 from rovelog.operators.keyed import COPIES
-from rovelog.operators.timeline import Feature, Track, enrich
+from rovelog.operators.timeline import Feature, Reach, Track, enrich
 
 LOCAL = "_local"
 
@@ -82,23 +82,32 @@ def states_before(
         candidates = []
         for suffix, in_pass in passes.items():
             keep = [c for c in (pick.where, in_pass) if c is not None]
-            value = F.struct(raw.alias("_raw"), local.alias("_loc"), *pick.columns)
+            value = F.struct(raw.alias("_raw"), *pick.columns)
             for condition in keep:
                 value = F.when(condition, value)
             state = f"_pick_{name}{suffix}"
             latest[state] = value
-            candidates.append(F.when(F.col(f"{state}._loc") >= start, F.col(state)))
+            found = F.col(f"{state}._raw")
+            candidates.append(F.when((to_zone(found, zone) if zone else found) >= start, F.col(state)))
         columns[name] = F.greatest(*candidates) if len(candidates) > 1 else candidates[0]
-    return Feature([Track(rows, micros(local), latest=latest, reach=lookback)], columns)
+    return Feature([Track(rows, local, latest=latest, reach=_reach(raw, local, lookback, zone))], columns)
+
+
+def _reach(raw: Column, local: Column, lookback: timedelta, zone: str | None) -> Reach:
+    """Rows are dropped by raw time where the distance of the clocks is known."""
+    return Reach(raw, lookback, EASTERN_BEHIND) if zone == EASTERN else Reach(local, lookback)
 
 
 def counts_before(
-    rows: DataFrame, ts: str, category: str, counts: dict[str, Count]
+    rows: DataFrame, ts: str, category: str, counts: dict[str, Count], raw: str | None = None
 ) -> Feature:
     """Rows per category in a period before the event, 0 if none.
 
     A row adds 1 at its own time and takes it away right after its period ends.
+    ``raw`` names the UTC time from which an Eastern ``ts`` was made.
     """
+    longest = max(spec.lookback for spec in counts.values())
+    reach = Reach(F.col(raw), longest, EASTERN_BEHIND) if raw else Reach(F.col(ts), longest)
     entries = None
     for kind in sorted({spec.category for spec in counts.values()}):
         both = F.array(
@@ -118,11 +127,10 @@ def counts_before(
     moves = rows.withColumn("_entry", F.explode(entries))  # no entry, no row
     track = Track(
         moves,
-        micros(F.col(ts) + F.col("_entry.delay")),
+        F.col(ts) + F.col("_entry.delay"),
         total={n: F.when(F.col("_entry.name") == n, F.col("_entry.step")).otherwise(0) for n in counts},
         after=F.col("_entry.step") < 0,
-        reach=max(spec.lookback for spec in counts.values()),
-        reach_at=micros(F.col(ts)),
+        reach=reach,
     )
     return Feature([track], {name: F.col(name).cast("bigint") for name in counts})
 
@@ -131,7 +139,8 @@ def seen_before(rows: DataFrame, ts: str, event_ts: str, lookback: timedelta, na
     """1 if any row lies in the period, else 0."""
     state = f"_seen_{name}"
     hit = F.when(F.col(state) >= F.col(event_ts) - span(lookback), 1).otherwise(0)
-    return Feature([Track(rows, micros(F.col(ts)), latest={state: F.col(ts)}, reach=lookback)], {name: hit})
+    reach = Reach(F.col(ts), lookback)
+    return Feature([Track(rows, F.col(ts), latest={state: F.col(ts)}, reach=reach)], {name: hit})
 
 
 def lookback_flags(
@@ -182,12 +191,13 @@ def bounded_counts(
     rows_ts: str,
     category: str,
     counts: dict[str, Count],
+    raw: str | None = None,
 ) -> DataFrame:
     """Per event time, rows per category in the period before it.
 
     An event that occurs n times counts each row n times, as a join would.
     """
-    found = enrich(event_times(events, [*keys, ts]), keys, ts, [counts_before(rows, rows_ts, category, counts)])
+    found = enrich(event_times(events, [*keys, ts]), keys, ts, [counts_before(rows, rows_ts, category, counts, raw)])
     return found.select(*keys, ts, *[(F.col(n) * F.col(COPIES)).alias(n) for n in counts])
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rovelog.functions.timeops import EASTERN, span, to_zone, wall
+from rovelog.functions.timeops import EASTERN_BEHIND, span, to_zone, wall
 
 Rule = tuple[str, Column]
 
@@ -60,20 +60,21 @@ def classified_errors(
     *,
     error_days: int = 10,
     strict: bool = False,
-    zone: str = EASTERN,
 ) -> DataFrame:
     """Usable error rows with ``error_ts`` (local) and ``error_category``.
 
     ``strict`` raises on a level that is not a number; otherwise the row is dropped.
-    The zone is behind UTC, so the bound on the raw column only drops rows that the
-    exact bound would drop too, and it reaches the file scan.
+    Eastern time is 4 or 5 hours behind UTC, so the raw time alone settles the age of
+    all rows but those of a few hours; only these are converted to be tested, and the
+    bound reaches the file scan.
     """
     since = wall(as_of) - span(timedelta(days=error_days))
     level = F.col("level").cast("decimal(38,0)") if strict else F.col("level").try_cast("decimal(38,0)")
-    local = to_zone(F.col("datetime"), zone)
+    local = to_zone(F.col("datetime"))
+    nearest, farthest = EASTERN_BEHIND
     usable = errors.where(
-        (F.col("datetime") > since)
-        & (local > since)
+        (F.col("datetime") > since + span(nearest))
+        & ((F.col("datetime") > since + span(farthest)) | (local > since))
         & (F.col("event").isNull() | ~F.col("event").isin(*IGNORED_EVENTS))
         & level.isNotNull()
     )

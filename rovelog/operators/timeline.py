@@ -29,24 +29,49 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rovelog.functions.timeops import MINUTE, floor_to, micros, micros_in
+from rovelog.functions.timeops import floor_to, seconds
 
-CELL = 5 * MINUTE
+CELL = 300  # seconds
+DAY = 86400
 
 # order of rows that share a time: carried state, rows that count at their own
 # time, events, rows that count only later
 _CARRIED, _AT, _EVENT, _AFTER = -1, 0, 1, 2
 
 
+@dataclass(frozen=True)
+class Reach:
+    """Only rows whose time is in the ``length`` before an event matter.
+
+    ``at`` may be on another clock than the events; ``behind`` gives the least and the
+    greatest distance from the events' clock.  A test of the raw time is cheaper than
+    converting every row first.
+    """
+
+    at: Column
+    length: timedelta
+    behind: tuple[timedelta, timedelta] = (timedelta(0), timedelta(0))
+
+    @property
+    def step(self) -> int:
+        """Seconds; about a twelfth of the period, so an event lists a dozen steps."""
+        whole = int((self.length + self.behind[1] - self.behind[0]).total_seconds())
+        return -(-whole // (12 * CELL)) * CELL
+
+    @property
+    def start(self) -> Column:
+        return floor_to(seconds(self.at), self.step)
+
+
 @dataclass(frozen=True)
 class Track:
     """Timed rows of one source and what to remember of them.
 
     ``latest`` keeps the greatest value per name, ``total`` the sum.  Where ``after``
-    holds, a row counts only for strictly later events.  ``reach`` promises that rows
-    further back than that (by ``reach_at``, if not by ``at``) do not matter, so they
-    are not taken into the pass.  ``whole`` says that all rows are near events anyway.
-    ``null_keys`` treats null keys as one key (grouping) instead of no key (joining).
+    holds, a row counts only for strictly later events.  ``reach`` says which rows can
+    matter at all; the others are dropped as early as possible.  ``whole`` says that
+    all rows are near events anyway.  ``null_keys`` treats null keys as one key
+    (grouping) instead of no key (joining).
     """
 
     rows: DataFrame
@@ -54,8 +79,7 @@ class Track:
     latest: dict[str, Column] = field(default_factory=dict)
     total: dict[str, Column] = field(default_factory=dict)
     after: Column | None = None
-    reach: timedelta | None = None
-    reach_at: Column | None = None
+    reach: Reach | None = None
     whole: bool = False
     null_keys: bool = False
 
@@ -69,7 +93,7 @@ class Feature:
 
 
 def cell_of(ts: Column, width: int = CELL) -> Column:
-    return floor_to(micros(ts), width)
+    return floor_to(seconds(ts), width)
 
 
 def enrich(
@@ -80,45 +104,42 @@ def enrich(
     *,
     at: Column | None = None,
     times: DataFrame | None = None,
-    cell: int = CELL,
 ) -> DataFrame:
     """``events`` with the columns of all ``features``; one output row per input row.
 
-    ``at`` replaces the event time by another bigint position on the axis of the
-    tracks.  ``times`` may be a cheaper frame with the same keys and times, used to
+    ``at`` replaces the event time by another time on the axis of the tracks.  ``times`` may be a cheaper frame with the same keys and times, used to
     find the cells that hold events.
     """
     keys = list(keys)
     tracks = [track for feature in features for track in feature.tracks]
-    at = micros(F.col(ts)) if at is None else at
+    at = F.col(ts) if at is None else at
 
     probes = events.select(
         *keys,
-        floor_to(at, cell).alias("_cell"),
+        cell_of(at).alias("_cell"),
         at.alias("_at"),
         F.lit(_EVENT).alias("_side"),
         F.struct(*events.columns).alias("_event"),
     )
-    cells = (times if times is not None else events).select(*keys, floor_to(at, cell).alias("_cell")).distinct()
+    cells = (times if times is not None else events).select(*keys, cell_of(at).alias("_cell")).distinct()
 
     latest = sorted({name for track in tracks for name in track.latest})
     totals = sorted({name for track in tracks for name in track.total})
 
     before, near = [], []
     for track in tracks:
-        rows = _positioned(track, keys, cell)
-        distinct = _distinct(rows, track, keys)
+        rows = _positioned(track, keys)
+        combined = _combined(rows, track, [*keys, "_cell", "_at", "_side"])
         if track.reach is not None:
             # few rows are left: combine them once and use them for both
-            distinct = within_reach(distinct, cells, keys, track.reach, cell, track.null_keys)
-            before.append(_per_cell(distinct, track, keys))
-            near.append(distinct)
+            combined = within_reach(combined, cells, keys, track.reach, track.null_keys)
+            before.append(_combined(combined, track, [*keys, "_cell"]))
         elif track.whole:
-            before.append(_per_cell(distinct, track, keys))
-            near.append(distinct)
+            before.append(_combined(combined, track, [*keys, "_cell"]))
         else:
-            before.append(_per_cell(rows, track, keys))
-            near.append(_only(distinct, cells, keys, track.null_keys))
+            before.append(_combined(rows, track, [*keys, "_cell"]))
+            combined = _only(combined, cells, keys, track.null_keys)
+        near.append(combined)
 
     earlier = Window.partitionBy(*keys).orderBy("_cell").rangeBetween(Window.unboundedPreceding, -1)
     carried = (
@@ -140,56 +161,42 @@ def enrich(
     return seen.select(*events.columns, *[c.alias(name) for name, c in results.items()])
 
 
-def _positioned(track: Track, keys: list[str], cell: int) -> DataFrame:
+def _positioned(track: Track, keys: list[str]) -> DataFrame:
     side = F.lit(_AT) if track.after is None else F.when(track.after, _AFTER).otherwise(_AT)
-    columns = {"_at": track.at, "_side": side, **track.latest, **track.total}
+    columns = {"_at": track.at, "_cell": cell_of(track.at), "_side": side, **track.latest, **track.total}
     if track.reach is not None:
-        columns["_start"] = floor_to(
-            track.at if track.reach_at is None else track.reach_at, reach_step(track.reach, cell)
-        )
+        columns["_start"] = track.reach.start
     rows = track.rows.select(*keys, *[c.alias(name) for name, c in columns.items()])
     usable = [F.col("_at").isNotNull()]
     if not track.null_keys:
         usable += [F.col(k).isNotNull() for k in keys]
     if track.latest:
         usable.append(reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in track.latest]))
-    rows = rows.where(reduce(lambda a, b: a & b, usable))
-    return rows.withColumn("_cell", floor_to(F.col("_at"), cell))
-
+    return rows.where(reduce(lambda a, b: a & b, usable))
 
-def _distinct(rows: DataFrame, track: Track, keys: list[str]) -> DataFrame:
-    """One row per key, time and value, however many copies there are."""
-    same = [c for c in rows.columns if c not in track.total and c not in keys]
-    if not track.total:
-        return rows.distinct()
-    return rows.groupBy(*keys, *same).agg(*[F.sum(c).alias(c) for c in track.total])
 
-
-def _per_cell(rows: DataFrame, track: Track, keys: list[str]) -> DataFrame:
-    return rows.groupBy(*keys, "_cell").agg(
+def _combined(rows: DataFrame, track: Track, by: list[str]) -> DataFrame:
+    """One row per ``by``, combined before the shuffle, however many copies there are."""
+    if "_start" in rows.columns:
+        by = [*by, "_start"]
+    return rows.groupBy(*by).agg(
         *[F.max(c).alias(c) for c in track.latest], *[F.sum(c).alias(c) for c in track.total]
     )
 
 
-def reach_step(reach: timedelta, cell: int = CELL) -> int:
-    return -(-micros_in(reach) // (12 * cell)) * cell
-
-
 def within_reach(
-    rows: DataFrame, cells: DataFrame, keys: Sequence[str], reach: timedelta, cell: int = CELL, null_keys: bool = False
+    rows: DataFrame, cells: DataFrame, keys: Sequence[str], reach: Reach, null_keys: bool = False
 ) -> DataFrame:
-    """Rows whose ``_start`` (time cut to steps) lies at most ``reach``, rounded up, before an event.
-
-    A step is about a twelfth of the reach, so an event lists a dozen steps however
-    long the reach is.
-    """
-    step = reach_step(reach, cell)
-    back = -(-micros_in(reach) // step)
+    """Rows whose ``_start`` is in reach of an event, give or take a step."""
+    step = reach.step
+    nearest = int(reach.behind[1].total_seconds())
+    farthest = int((reach.behind[0] - reach.length).total_seconds())
+    first = floor_to(F.col("_cell") + farthest, step)
+    last = floor_to(F.col("_cell") + CELL + nearest, step)
     steps = (
-        cells.select(*keys, floor_to(F.col("_cell"), step).alias("_start"))
+        cells.select(*keys, first.alias("_first"), last.alias("_last"))
         .distinct()
-        .withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(back))))
-        .select(*keys, (F.col("_start") - F.col("_back").cast("bigint") * step).alias("_start"))
+        .select(*keys, F.explode(F.sequence("_first", "_last", F.lit(step).cast("bigint"))).alias("_start"))
         .distinct()
     )
     return _only(rows, steps, keys, null_keys, "_start").drop("_start")

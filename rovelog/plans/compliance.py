@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rovelog.functions.timeops import EASTERN, second_text, span, to_zone, wall
 from rovelog.operators.asof import attach_records, latest_time_before, record_variants
-from rovelog.operators.events import DAY, event_times, is_new, previous_event, recent_events
+from rovelog.operators.events import event_times, is_new, previous_event, recent_events
 from rovelog.operators.keyed import COPIES, expand, is_small, key_total
 from rovelog.operators.lookback import (
     Count,
@@ -32,7 +32,7 @@ from rovelog.operators.rules import (
 )
 from rovelog.operators.sites import short_site_codes
 from rovelog.operators.stale import stale_group
-from rovelog.operators.timeline import cell_of, enrich
+from rovelog.operators.timeline import DAY, cell_of, enrich
 from rovelog.sources.sinks import written
 from rovelog.sources.tables import FleetTables
 
@@ -131,6 +131,9 @@ def compliance(
     recs = short_site_codes(
         tables.bot_recs, tables.sites, cell_of(F.col("last_updated"), DAY), small=few_sites
     )
+    scores = written(
+        record_variants(recs, by_site, "last_updated", "_rec_at", ["pull_score", "tcts_daily_avg"], "_tied")
+    )
     errors = short_site_codes(
         classified_errors(tables.bot_errors, as_of, error_days=settings.error_days, strict=settings.strict_levels),
         tables.sites,
@@ -144,10 +147,10 @@ def compliance(
         TS,
         [
             previous_event(events, TS, "_prev"),
-            latest_time_before(recs, "last_updated", "_rec_at", EASTERN),
+            latest_time_before(scores, "_rec_at", "_rec_at", EASTERN),
         ],
     )
-    rows = written(_with_sessions(written(rows), recs, settings.gap_minutes))
+    rows = written(_with_sessions(written(rows), scores, settings.gap_minutes))
 
     rows = enrich(
         rows,
@@ -165,9 +168,6 @@ def compliance(
     )
     rows = rows.join(stale_cases(events, tables.diagnostic_message, start, settings, until), [BOT, TS], "left")
 
-    scores = record_variants(
-        recs, by_site, "last_updated", "_rec_at", ["pull_score", "tcts_daily_avg"], "_tied"
-    )
     rows = attach_records(rows, scores, by_site, TS, "_rec_at")
     rows = _assembled(rows, settings)
     rows = expand(rows.withColumn(COPIES, F.col(COPIES) * F.coalesce("_tied", F.lit(1))))
@@ -177,13 +177,13 @@ def compliance(
     return rows.select(*COLUMNS)
 
 
-def _with_sessions(rows: DataFrame, recs: DataFrame, gap_minutes: int) -> DataFrame:
+def _with_sessions(rows: DataFrame, scores: DataFrame, gap_minutes: int) -> DataFrame:
     """Adds the number of new events of the machine.
 
     The report sums the flags after joining the scores, so an event with n tied
     scores counts n times.
     """
-    ties = record_variants(recs, [SITE, BOT], "last_updated", "_rec_at", [], "_ties")
+    ties = scores.groupBy(SITE, BOT, "_rec_at").agg(F.sum("_tied").alias("_ties"))
     rows = attach_records(rows, ties, [SITE, BOT], TS, "_rec_at")
     weight = is_new("_prev", TS, gap_minutes) * F.coalesce("_ties", F.lit(1))
     total = key_total(rows, [SITE, BOT], cell_of(F.col(TS), DAY), weight, "removal_sessions")
@@ -226,7 +226,7 @@ def red_flag_feature(recs: DataFrame, start: Column, settings: Settings):
 
 def error_feature(errors: DataFrame, settings: Settings):
     counts = {name: Count(category, period) for name, category, period in settings.counts}
-    return counts_before(errors, "error_ts", "error_category", counts)
+    return counts_before(errors, "error_ts", "error_category", counts, raw="datetime")
 
 
 def disconnect_feature(disconnects: DataFrame, settings: Settings):

@@ -58,6 +58,13 @@ def test_micros_round_trip(spark, zone):
     assert list(got[3:]) == [datetime.fromisoformat(x) for x in times]
 
 
+def test_mirrored_turns_the_order_round(spark, zone):
+    a, b = T.wall("2024-03-10 02:30:45.123456"), T.wall("1969-12-31 23:59:59.5")
+    assert one(spark, T.mirrored(a) < T.mirrored(b), T.mirrored(T.mirrored(a)) == a, T.seconds(a)) == (
+        True, True, 1710037845,
+    )
+
+
 def test_floor_below_zero(spark):
     assert one(spark, T.floor_to(F.lit(-1), 10), T.floor_to(F.lit(19), 10)) == (-10, 10)
 
