@@ -67,8 +67,8 @@ def states_before(
     # so the last row of a pass up to the event is also the last one in the period
     passes = {"": None}
     if zone:
-        second = in_repeated_hour(raw, local, zone)
-        passes = {"": ~second, "_second": second}
+        rows = rows.withColumn("_is_second", in_repeated_hour(raw, local, zone))
+        passes = {"": ~F.col("_is_second"), "_second": F.col("_is_second")}
 
     latest: dict[str, Column] = {}
     columns: dict[str, Column] = {}

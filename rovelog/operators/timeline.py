@@ -9,9 +9,9 @@ and running aggregates are read off at the events:
 * what happened before the cell arrives as one row: rows are first combined
   map-side to one row per (key, cell), and a running aggregate over those few rows
   per key gives the state carried into each cell that holds an event;
-* only rows in a cell that holds an event are sorted.  Copies (same key, time and
-  value) are combined first, so a cell never holds more rows than it has distinct
-  times and values, however large the table is.
+* only rows that some event can see are sorted.  Copies (same key and time) are
+  combined map-side first, so a cell never holds more rows than it has distinct times,
+  however large the table is.
 
 Work and output are linear in rows + events.  Every lookback here reduces to a
 running maximum or sum: "was X seen in the last hour" is "is the latest X at most an
@@ -21,18 +21,20 @@ when it enters and -1 when it leaves.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import timedelta
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rovelog.functions.timeops import floor_to, seconds
+from rovelog.operators.keyed import all_known, is_small
 
 CELL = 300  # seconds
 DAY = 86400
+FEW_CELLS = 100_000  # a dozen steps each: some 80 MB when broadcast
 
 # order of rows that share a time: carried state, rows that count at their own
 # time, events, rows that count only later
@@ -70,8 +72,8 @@ class Track:
     ``latest`` keeps the greatest value per name, ``total`` the sum.  Where ``after``
     holds, a row counts only for strictly later events.  ``reach`` says which rows can
     matter at all; the others are dropped as early as possible.  ``whole`` says that
-    all rows are near events anyway.  ``null_keys`` treats null keys as one key
-    (grouping) instead of no key (joining).
+    all rows are near events anyway; such a track may also treat null keys as one key
+    (``null_keys``, as grouping does) instead of as no key.
     """
 
     rows: DataFrame
@@ -104,6 +106,7 @@ def enrich(
     *,
     at: Column | None = None,
     times: DataFrame | None = None,
+    few: bool | None = None,
 ) -> DataFrame:
     """``events`` with the columns of all ``features``; one output row per input row.
 
@@ -126,20 +129,24 @@ def enrich(
     latest = sorted({name for track in tracks for name in track.latest})
     totals = sorted({name for track in tracks for name in track.total})
 
+    if few is None:
+        few = all(t.whole for t in tracks) or is_small(cells, FEW_CELLS)
+
     before, near = [], []
     for track in tracks:
         rows = _positioned(track, keys)
-        combined = _combined(rows, track, [*keys, "_cell", "_at", "_side"])
-        if track.reach is not None:
+        by = [*keys, "_cell", "_at", "_side"]
+        if track.whole:
+            seen = _combined(rows, track, by)
+        elif track.reach is not None:
             # few rows are left: combine them once and use them for both
-            combined = within_reach(combined, cells, keys, track.reach, track.null_keys)
-            before.append(_combined(combined, track, [*keys, "_cell"]))
-        elif track.whole:
-            before.append(_combined(combined, track, [*keys, "_cell"]))
+            seen = within_reach(rows, partial(_combined, track=track, by=by), cells, keys, track.reach, few)
         else:
+            seen = matching(rows, partial(_combined, track=track, by=by), cells, [*keys, "_cell"], few)
             before.append(_combined(rows, track, [*keys, "_cell"]))
-            combined = _only(combined, cells, keys, track.null_keys)
-        near.append(combined)
+        if track.whole or track.reach is not None:
+            before.append(_combined(seen, track, [*keys, "_cell"]))
+        near.append(seen)
 
     earlier = Window.partitionBy(*keys).orderBy("_cell").rangeBetween(Window.unboundedPreceding, -1)
     carried = (
@@ -167,27 +174,35 @@ def _positioned(track: Track, keys: list[str]) -> DataFrame:
     if track.reach is not None:
         columns["_start"] = track.reach.start
     rows = track.rows.select(*keys, *[c.alias(name) for name, c in columns.items()])
-    usable = [F.col("_at").isNotNull()]
+    # a converted time is null where the raw one is, and that is cheaper to ask
+    usable = ["_at" if track.reach is None else "_start"]
     if not track.null_keys:
-        usable += [F.col(k).isNotNull() for k in keys]
-    if track.latest:
-        usable.append(reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in track.latest]))
-    return rows.where(reduce(lambda a, b: a & b, usable))
+        usable += keys
+    return rows.where(all_known(*usable))
 
 
 def _combined(rows: DataFrame, track: Track, by: list[str]) -> DataFrame:
-    """One row per ``by``, combined before the shuffle, however many copies there are."""
+    """One row per ``by``, combined before the shuffle, however many copies there are.
+
+    Values are in the same order everywhere, or Spark would not see that two uses of
+    the combined rows can share one shuffle.
+    """
     if "_start" in rows.columns:
         by = [*by, "_start"]
     return rows.groupBy(*by).agg(
-        *[F.max(c).alias(c) for c in track.latest], *[F.sum(c).alias(c) for c in track.total]
+        *[F.max(c).alias(c) for c in sorted(track.latest)], *[F.sum(c).alias(c) for c in sorted(track.total)]
     )
 
 
 def within_reach(
-    rows: DataFrame, cells: DataFrame, keys: Sequence[str], reach: Reach, null_keys: bool = False
+    rows: DataFrame,
+    combine: Callable[[DataFrame], DataFrame],
+    cells: DataFrame,
+    keys: Sequence[str],
+    reach: Reach,
+    few: bool,
 ) -> DataFrame:
-    """Rows whose ``_start`` is in reach of an event, give or take a step."""
+    """Combined rows whose ``_start`` is in reach of an event, give or take a step."""
     step = reach.step
     nearest = int(reach.behind[1].total_seconds())
     farthest = int((reach.behind[0] - reach.length).total_seconds())
@@ -199,25 +214,25 @@ def within_reach(
         .select(*keys, F.explode(F.sequence("_first", "_last", F.lit(step).cast("bigint"))).alias("_start"))
         .distinct()
     )
-    return _only(rows, steps, keys, null_keys, "_start").drop("_start")
+    return matching(rows, combine, steps, [*keys, "_start"], few).drop("_start")
 
 
-def _only(
-    rows: DataFrame, cells: DataFrame, keys: Sequence[str], null_keys: bool, cell: str = "_cell"
+def matching(
+    rows: DataFrame,
+    combine: Callable[[DataFrame], DataFrame],
+    wanted: DataFrame,
+    on: list[str],
+    few: bool,
 ) -> DataFrame:
-    """Rows in the given cells.
+    """Combined rows of the ``wanted`` (distinct) keys.
 
-    A semi-join written after the map-side combine.  Spark moves it in front of the
-    combine when it can broadcast the cells and leaves it behind the combine when it
-    has to shuffle, which is the better place in both cases.
+    Few keys are broadcast and thin out the rows before anything else is done.  Many
+    keys have to be met by a shuffle, and that takes the combined rows, so that a
+    million copies of a row do not all travel to one task.
     """
-    if not null_keys:
-        return rows.join(cells, [*keys, cell], "left_semi")
-    other = cells.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(cell).alias("_c"))
-    same = F.col(cell) == F.col("_c")
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
-    return rows.join(other, same, "left_semi")
+    if few:
+        return combine(rows.join(F.broadcast(wanted), on, "left_semi"))
+    return combine(rows).join(wanted, on)
 
 
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:

@@ -32,7 +32,7 @@ from rovelog.operators.rules import (
 )
 from rovelog.operators.sites import short_site_codes
 from rovelog.operators.stale import stale_group
-from rovelog.operators.timeline import DAY, cell_of, enrich
+from rovelog.operators.timeline import DAY, FEW_CELLS, cell_of, enrich
 from rovelog.sources.sinks import written
 from rovelog.sources.tables import FleetTables
 
@@ -127,7 +127,7 @@ def compliance(
     start = wall(as_of) - span(timedelta(days=days))
 
     by_site = [SITE, BOT]
-    few_sites = is_small(tables.sites)
+    few_sites, few = is_small(tables.sites), is_small(events, FEW_CELLS)
     recs = short_site_codes(
         tables.bot_recs, tables.sites, cell_of(F.col("last_updated"), DAY), small=few_sites
     )
@@ -149,6 +149,7 @@ def compliance(
             previous_event(events, TS, "_prev"),
             latest_time_before(scores, "_rec_at", "_rec_at", EASTERN),
         ],
+        few=few,
     )
     rows = written(_with_sessions(written(rows), scores, settings.gap_minutes))
 
@@ -158,6 +159,7 @@ def compliance(
         TS,
         [health_feature(tables.bot_health, start, settings, until), red_flag_feature(tables.bot_recs, start, settings)],
         times=events,
+        few=few,
     )
     rows = enrich(
         rows,
@@ -165,8 +167,10 @@ def compliance(
         TS,
         [error_feature(errors, settings), disconnect_feature(tables.bot_disconnect, settings)],
         times=events,
+        few=few,
     )
-    rows = rows.join(stale_cases(events, tables.diagnostic_message, start, settings, until), [BOT, TS], "left")
+    stale = stale_cases(events, tables.diagnostic_message, start, settings, few, until)
+    rows = rows.join(stale, [BOT, TS], "left")
 
     rows = attach_records(rows, scores, by_site, TS, "_rec_at")
     rows = _assembled(rows, settings)
@@ -247,7 +251,12 @@ def disconnect_feature(disconnects: DataFrame, settings: Settings):
 
 
 def stale_cases(
-    events: DataFrame, messages: DataFrame, start: Column, settings: Settings, until: datetime | str | None = None
+    events: DataFrame,
+    messages: DataFrame,
+    start: Column,
+    settings: Settings,
+    few: bool | None = None,
+    until: datetime | str | None = None,
 ) -> DataFrame:
     rows = messages.where(F.col("datetime") >= start - span(settings.stale))
     if until is not None:
@@ -262,6 +271,7 @@ def stale_cases(
         settings.stale,
         settings.stale_minutes,
         with_span=False,
+        few=few,
     )
     return found.select(BOT, TS, "stale_group")
 

@@ -200,8 +200,14 @@ def duck_tables(data):
     return con
 
 
-@pytest.mark.parametrize("seed,session_zone", [(1, "UTC"), (2, "America/New_York"), (3, "Asia/Kolkata"), (4, "UTC")])
-def test_against_sql_on_random_fleets(spark, seed, session_zone):
+@pytest.mark.parametrize(
+    "seed,session_zone,few",
+    [(1, "UTC", True), (2, "America/New_York", True), (3, "Asia/Kolkata", False), (4, "UTC", False)],
+)
+def test_against_sql_on_random_fleets(spark, monkeypatch, seed, session_zone, few):
+    """With the event cells broadcast (few) and met by shuffles (many)."""
+    if not few:
+        monkeypatch.setattr("rovelog.plans.compliance.FEW_CELLS", 0)
     data = random_fleet(seed)
     spark.conf.set("spark.sql.session.timeZone", session_zone)
     try:
