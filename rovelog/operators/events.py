@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rovelog.functions.timeops import minutes_between, span, wall
 from rovelog.operators.keyed import COPIES, collapse, expand, key_total
-from rovelog.operators.timeline import DAY, Feature, Track, cell_of, enrich
+from rovelog.operators.timeline import Feature, Track, cell_of, enrich
 
 
 def recent_events(
@@ -73,4 +73,4 @@ def session_total(
 ) -> DataFrame:
     """Every row with the number of new events of its key."""
     value = F.col(flag) * F.col(COPIES) if COPIES in df.columns else F.col(flag)
-    return key_total(df, keys, cell_of(F.col(ts), DAY), value, name)
+    return key_total(df, keys, cell_of(F.col(ts)), value, name)

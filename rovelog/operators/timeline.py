@@ -33,7 +33,6 @@ from rovelog.functions.timeops import floor_to, seconds
 from rovelog.operators.keyed import all_known, is_small
 
 CELL = 300  # seconds
-DAY = 86400
 FEW_CELLS = 100_000  # a dozen steps each: some 80 MB when broadcast
 
 # order of rows that share a time: carried state, rows that count at their own
@@ -72,8 +71,8 @@ class Track:
     ``latest`` keeps the greatest value per name, ``total`` the sum.  Where ``after``
     holds, a row counts only for strictly later events.  ``reach`` says which rows can
     matter at all; the others are dropped as early as possible.  ``whole`` says that
-    all rows are near events anyway; such a track may also treat null keys as one key
-    (``null_keys``, as grouping does) instead of as no key.
+    the rows have been thinned out already; such a track may also treat null keys as
+    one key (``null_keys``, as grouping does) instead of as no key.
     """
 
     rows: DataFrame
@@ -110,8 +109,10 @@ def enrich(
 ) -> DataFrame:
     """``events`` with the columns of all ``features``; one output row per input row.
 
-    ``at`` replaces the event time by another time on the axis of the tracks.  ``times`` may be a cheaper frame with the same keys and times, used to
-    find the cells that hold events.
+    ``at`` replaces the event time by another time on the axis of the tracks.
+    ``times`` may be a cheaper frame with the same keys and times, used to find the
+    cells that hold events.  ``few`` says whether these are few enough to be
+    broadcast; left out, they are counted.
     """
     keys = list(keys)
     tracks = [track for feature in features for track in feature.tracks]

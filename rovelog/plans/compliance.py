@@ -32,7 +32,7 @@ from rovelog.operators.rules import (
 )
 from rovelog.operators.sites import short_site_codes
 from rovelog.operators.stale import stale_group
-from rovelog.operators.timeline import DAY, FEW_CELLS, cell_of, enrich
+from rovelog.operators.timeline import FEW_CELLS, cell_of, enrich
 from rovelog.sources.sinks import written
 from rovelog.sources.tables import FleetTables
 
@@ -129,7 +129,7 @@ def compliance(
     by_site = [SITE, BOT]
     few_sites, few = is_small(tables.sites), is_small(events, FEW_CELLS)
     recs = short_site_codes(
-        tables.bot_recs, tables.sites, cell_of(F.col("last_updated"), DAY), small=few_sites
+        tables.bot_recs, tables.sites, cell_of(F.col("last_updated")), small=few_sites
     )
     scores = written(
         record_variants(recs, by_site, "last_updated", "_rec_at", ["pull_score", "tcts_daily_avg"], "_tied")
@@ -173,8 +173,8 @@ def compliance(
     rows = rows.join(stale, [BOT, TS], "left")
 
     rows = attach_records(rows, scores, by_site, TS, "_rec_at")
-    rows = _assembled(rows, settings)
-    rows = expand(rows.withColumn(COPIES, F.col(COPIES) * F.coalesce("_tied", F.lit(1))))
+    rows = _assembled(rows, settings).withColumn(COPIES, F.col(COPIES) * F.coalesce("_tied", F.lit(1)))
+    rows = expand(rows.select(TS, COPIES, *COLUMNS))
     if ordered:
         # the copy number lets a range sort split even one hot time
         rows = rows.orderBy(F.col(TS).asc_nulls_last(), SITE, "botnumber", "copy_number")
@@ -190,7 +190,7 @@ def _with_sessions(rows: DataFrame, scores: DataFrame, gap_minutes: int) -> Data
     ties = scores.groupBy(SITE, BOT, "_rec_at").agg(F.sum("_tied").alias("_ties"))
     rows = attach_records(rows, ties, [SITE, BOT], TS, "_rec_at")
     weight = is_new("_prev", TS, gap_minutes) * F.coalesce("_ties", F.lit(1))
-    total = key_total(rows, [SITE, BOT], cell_of(F.col(TS), DAY), weight, "removal_sessions")
+    total = key_total(rows, [SITE, BOT], cell_of(F.col(TS)), weight, "removal_sessions")
     return total.drop("_prev", "_ties")
 
 
