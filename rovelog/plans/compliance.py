@@ -151,7 +151,7 @@ def compliance(
         ],
         few=few,
     )
-    rows = written(_with_sessions(written(rows), scores, settings.gap_minutes))
+    rows = _with_sessions(written(rows), scores, settings.gap_minutes)
 
     rows = enrich(
         rows,
