@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from rovelog.llm.hilbert import op3_hilbert_shards
+from rovelog.llm.language_id import op9_language_id
+from rovelog.llm.packing import op7_pack_powers_of_two
+from rovelog.llm.secrets import op5_secret_scan
 from rovelog.llm.url_filter import op4_url_lm_ratio
 
-QUERIES = {f.__name__: f for f in (op4_url_lm_ratio,)}
+QUERIES = {
+    f.__name__: f
+    for f in (op3_hilbert_shards, op4_url_lm_ratio, op5_secret_scan, op7_pack_powers_of_two, op9_language_id)
+}
 
 ORACLE: dict[str, str] = {}

@@ -65,8 +65,9 @@ def lower_ascii(text: Column) -> Column:
 
 
 def ranked(df: DataFrame, cell: str, order: list[Column], name: str, spread: int = 1024) -> DataFrame:
-    """Adds ``name``, the gapless rank from 0 in the order of ``cell``, without one task holding a whole cell.
+    """Adds ``name``, the gapless rank from 0 in the order of ``cell``, and ``name``_of, the number of rows.
 
+    No task holds a whole cell.
     ``cell`` must have few distinct values (a table over them is sorted in one task).  Rows of a
     cell are dealt to ``spread`` buckets by the hash of ``order``; a bucket is sorted in one task,
     and offsets of cells and buckets come from counts.  Within a cell the order is by bucket, then
@@ -76,9 +77,11 @@ def ranked(df: DataFrame, cell: str, order: list[Column], name: str, spread: int
     counts = rows.groupBy(cell, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     of_cell = counts.groupBy(cell).agg(F.sum("_n").alias("_cell_n"))
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     of_cell = of_cell.withColumn(
         "_cell_from", F.coalesce(F.sum("_cell_n").over(before.orderBy(cell)), F.lit(0))
-    ).select(F.col(cell).alias("_cell"), "_cell_from")
+    ).withColumn(f"{name}_of", F.sum("_cell_n").over(whole))
+    of_cell = of_cell.select(F.col(cell).alias("_cell"), "_cell_from", f"{name}_of")
     in_cell = Window.partitionBy(cell).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         counts.withColumn("_in_cell", F.coalesce(F.sum("_n").over(in_cell), F.lit(0)))
@@ -87,6 +90,7 @@ def ranked(df: DataFrame, cell: str, order: list[Column], name: str, spread: int
             F.col("_cell").alias("_cell"),
             F.col("_bucket").alias("_b"),
             (F.col("_cell_from") + F.col("_in_cell")).alias("_from"),
+            f"{name}_of",
         )
     )
     numbered = rows.withColumn(
