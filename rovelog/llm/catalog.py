@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from rovelog.llm.hilbert import op3_hilbert_shards
 from rovelog.llm.language_id import op9_language_id
+from rovelog.llm.minhash import OP6_SQL, op6_chosen_path
 from rovelog.llm.packing import op7_pack_powers_of_two
+from rovelog.llm.quality import op2_quality_qda
 from rovelog.llm.secrets import op5_secret_scan
 from rovelog.llm.url_filter import op4_url_lm_ratio
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_hilbert_shards, op4_url_lm_ratio, op5_secret_scan, op7_pack_powers_of_two, op9_language_id)
-}
+    for f in (
+        op2_quality_qda, op3_hilbert_shards, op4_url_lm_ratio, op5_secret_scan, op6_chosen_path, op7_pack_powers_of_two,
+        op9_language_id,
+    )
+}
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op6_chosen_path": OP6_SQL}
