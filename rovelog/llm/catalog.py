@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from rovelog.llm.decontaminate import op8_rare_seed_alignment
 from rovelog.llm.hilbert import op3_hilbert_shards
 from rovelog.llm.language_id import op9_language_id
+from rovelog.llm.line_dedup import op10_fuzzy_lines
 from rovelog.llm.minhash import OP6_SQL, op6_chosen_path
 from rovelog.llm.packing import op7_pack_powers_of_two
 from rovelog.llm.quality import op2_quality_qda
@@ -14,7 +16,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_quality_qda, op3_hilbert_shards, op4_url_lm_ratio, op5_secret_scan, op6_chosen_path, op7_pack_powers_of_two,
-        op9_language_id,
+        op8_rare_seed_alignment, op9_language_id, op10_fuzzy_lines,
     )
 }
 

@@ -9,13 +9,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+T = TypeVar("T")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -55,6 +60,31 @@ def dropped(df: DataFrame) -> None:
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def shipped(spark: SparkSession, value: T) -> Callable[[], T]:
+    """``value`` for the tasks: broadcast once, unpacked once a task.  The caller bounds its size."""
+    sent, unpacked = spark.sparkContext.broadcast(cloudpickle.dumps(value)), []
+
+    def get() -> T:
+        if not unpacked:
+            unpacked.append(cloudpickle.loads(sent.value))
+        return unpacked[0]
+
+    return get
+
+
+#: Bytes up to which a counted table is broadcast in :func:`join_counted`.
+BROADCAST_BYTES = 32 << 20
+
+
+def join_counted(large: DataFrame, small: DataFrame, on: Column, how: str, row_bytes: int) -> DataFrame:
+    """Joins a stored ``small``: broadcast if its counted rows fit BROADCAST_BYTES, else shuffled.
+
+    The result is the same either way; only the large side's shuffle is saved.
+    """
+    fits = small.count() * row_bytes <= BROADCAST_BYTES
+    return large.join(F.broadcast(small) if fits else small.hint("shuffle_hash"), on, how)
+
+
 def fold(column: str | Column, folds: int) -> Column:
     """crc32 of an id as text, modulo ``folds``; null for a null id."""
     return F.crc32(F.col(column).cast("string") if isinstance(column, str) else column.cast("string")) % folds

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import stored, table
+from rovelog.llm.common import join_counted, stored, table
 from rovelog.llm.linking import linked_groups
 
 COORDINATES, TREES, DEPTH, DEEPER, BRANCH = 128, 8, 4, 6, 0.25
@@ -143,8 +143,8 @@ def word_key(text: Column) -> Column:
 
 def full_sets(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """key and ``grams`` of the classes (key, rep), from the text of the document ``rep``."""
-    wanted = classes.select(F.col("rep").alias("_rep")).distinct()
-    rows = docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_rep")))
+    wanted = stored(classes.select(F.col("rep").alias("_rep")).distinct())
+    rows = join_counted(docs.select("doc_id", "text"), wanted, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi", 24)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

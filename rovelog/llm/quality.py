@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import fold, stored, table
+from rovelog.llm.common import fold, shipped, stored, table
 
 FOLDS, HELD_OUT_FOLD = 3, 1
 #: Weight of the pooled covariance in each class, and of the mean variance in the pooled one.
@@ -139,13 +139,13 @@ def train(labelled: DataFrame) -> Discriminant | None:
 
 def score(x: Column, model: Discriminant | None, spark: SparkSession) -> Column:
     """The score of a features column; 0.5 where no model could be trained."""
-    shared = spark.sparkContext.broadcast(model)
+    model_of = shipped(spark, model)
 
     @F.pandas_udf("double")
     def of(rows: pd.Series) -> pd.Series:
-        if shared.value is None or not len(rows):
+        if model_of() is None or not len(rows):
             return pd.Series(0.5, index=rows.index, dtype="float64")
-        return pd.Series(shared.value.score(np.stack(rows.to_numpy())), index=rows.index)
+        return pd.Series(model_of().score(np.stack(rows.to_numpy())), index=rows.index)
 
     return of(x)
 
