@@ -11,13 +11,14 @@ from rovelog.llm.packing import op7_pack_powers_of_two
 from rovelog.llm.quality import op2_quality_qda
 from rovelog.llm.secrets import op5_secret_scan
 from rovelog.llm.url_filter import op4_url_lm_ratio
+from rovelog.llm.vector_graph import OP1_SQL, op1_vector_graph
 
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_quality_qda, op3_hilbert_shards, op4_url_lm_ratio, op5_secret_scan, op6_chosen_path, op7_pack_powers_of_two,
+        op1_vector_graph, op2_quality_qda, op3_hilbert_shards, op4_url_lm_ratio, op5_secret_scan, op6_chosen_path, op7_pack_powers_of_two,
         op8_rare_seed_alignment, op9_language_id, op10_fuzzy_lines,
     )
 }
 
-ORACLE = {"op6_chosen_path": OP6_SQL}
+ORACLE = {"op1_vector_graph": OP1_SQL, "op6_chosen_path": OP6_SQL}
