@@ -25,6 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from rovelog.llm.common import join_counted, stored, table
 from rovelog.llm.linking import linked_groups
@@ -192,9 +193,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
-    """doc_id, key, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text).
+    """doc_id, key, group, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text).
 
-    Documents with the same words in the same order are one class; each class enters the join
+    ``key`` names the word sequence and ``group`` the connected group (null without words).  Documents with the same words in the same order are one class; each class enters the join
     once.  A document without words, or with a null text, is linked with nothing.  Documents with
     a null id take part; component_id is then the least id there is, or null.  kept is true where
     doc_id = component_id, for repeated rows in each.
@@ -226,17 +227,44 @@ def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
     groups = linked_groups(members, lambda pairs: confirmed(pairs, sets, percent), deepen)
     label = groups.select(F.col("node").alias("key"), "component").join(classes.select("key", "rep"), "key")
     least = label.groupBy("component").agg(F.min("rep").alias("least"))
-    of_class = classes.select("key", "rep").join(label.join(least, "component").select("key", "least"), "key", "left").select(
-        "key", F.coalesce("least", "rep").alias("least")
+    of_class = (
+        classes.select("key", "rep")
+        .join(label.join(least, "component").select("key", "least", "component"), "key", "left")
+        .select("key", F.coalesce("component", "key").alias("group"), F.coalesce("least", "rep").alias("least"))
     )
     return found.select("doc_id", "key", "n").join(of_class, "key", "left").select(
         "doc_id",
         "key",
+        "group",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def keep_one_of_each(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all their columns, less all but one of each near-duplicate group.
+
+    The document of the least id stays.  Of rows with the same id and words one stays.  Documents
+    without words link with nothing and all stay.  In a group where no document has an id, one of them stays.
+    """
+    found = stored(near_duplicates(docs, size, percent).where("n_shingles > 0").select("doc_id", "key", "group"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    first = found.groupBy("group").agg(F.min(order).alias("first"))
+    judged = found.groupBy("group", "doc_id", "key").agg(F.count(F.lit(1)).alias("rows")).join(first, "group")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    named = [F.col("doc_id").alias("_id"), F.col("key").alias("_key")]
+    lost = stored(judged.where(~stays).select(*named))
+    repeated = stored(judged.where(stays & (F.col("rows") > 1)).select(*named))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_word_key") == F.col("_key"))
+    kept = join_counted(docs.withColumn("_word_key", word_key(F.col("text"))), lost, same, "left_anti", 48)
+    if not repeated.isEmpty():
+        once = join_counted(kept, repeated, same, "left_anti", 48)
+        again = join_counted(kept, repeated, same, "left_semi", 48)
+        nth = F.row_number().over(Window.partitionBy("doc_id", "_word_key").orderBy(F.lit(1)))
+        kept = once.unionByName(again.withColumn("_nth", nth).where("_nth = 1").drop("_nth"))
+    return kept.drop("_word_key")
+
+
 def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return near_duplicates(docs, size=4).select("doc_id", "n_shingles", "component_id", "kept")

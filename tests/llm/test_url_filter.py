@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+from rovelog.llm import url_filter as U
+
+URLS = [
+    None, "", "no scheme", "http://a.com", "http://a.com/", "HTTP://WWW.Example.COM/en/1?x=/fr/", "http://www.example.com/en/2",
+    "https://blog.example.com/en/3#f", "https://example.com/EN/4", "https://x.net/fr/5", "https://x.net/de/6",
+    "https://net/es/", "https://xcom/", "http://b.org/en/7", "ftp://é.org/ü", "http://x://y/z", "http://a.com?x", "x" * 5000,
+]
+
+
+def plain(url):
+    """Host, path, rule and verdict by the words of the contract."""
+    url = url or ""
+    at = url.find("://")
+    if at < 0:
+        return "", "", None, None
+    rest = url[at + 3:]
+    end = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:end])
+    tail = rest[end:]
+    path = tail[:min([tail.find(c) for c in "?#" if c in tail], default=len(tail))]
+    fits = [r for r in U.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    rule = max(fits, key=lambda r: len(r.name), default=None)
+    return host, path, rule and rule.name, rule and rule.verdict
+
+
+def test_rules_and_parts(spark):
+    rows = spark.createDataFrame([(i, u, "x") for i, u in enumerate(URLS)], "page_id long, url string, host string")
+    found = {r["page_id"]: r for r in U.filter_urls(rows).collect()}
+    assert len(found) == len(URLS)
+    for i, url in enumerate(URLS):
+        host, path, rule, verdict = plain(url)
+        assert (found[i]["host"], found[i]["path"], found[i]["rule"]) == (host, path, rule)
+        assert found[i]["verdict"] == verdict or verdict is None and found[i]["verdict"] in ("allow", "block")
+
+
+def test_empty_table_and_no_labels(spark):
+    assert U.filter_urls(spark.createDataFrame([], "url string")).count() == 0
+    rows = spark.createDataFrame([("http://a.org/x",), (None,)], "url string")
+    assert [r["verdict"] for r in U.filter_urls(rows).collect()] == ["allow", "allow"]
+
+
+def test_ratio_equals_a_model_of_plain_dictionaries():
+    good, bad = ["http://a.org/good/1", "http://a.org/good/22"], ["http://b.org/spam/1"] * 3
+    counts = np.zeros((2, 2 * U.ORDER * U.SLOTS))
+    seen: list[dict] = [{}, {}]
+    for kind, urls in ((0, bad), (1, good)):
+        for url in urls:
+            np.add.at(counts[kind], U._grams(url).ravel(), 1)
+            text = "\x02" * (U.ORDER - 1) + url + "\x03"
+            for at in range(U.ORDER - 1, len(text)):
+                for k in range(U.ORDER):
+                    for gram in (text[at - k:at], text[at - k:at + 1] + "|"):
+                        seen[kind][k, gram] = seen[kind].get((k, gram), 0) + 1
+
+    def log_likelihood(url, kind):
+        text, total = "\x02" * (U.ORDER - 1) + url + "\x03", 0.0
+        for at in range(U.ORDER - 1, len(text)):
+            p = 1 / U.ALPHABET
+            for k in range(U.ORDER):
+                before = seen[kind].get((k, text[at - k:at]), 0)
+                p = (seen[kind].get((k, text[at - k:at + 1] + "|"), 0) + 2 * p) / (before + 2)
+            total += math.log(p)
+        return total
+
+    for url in ("http://a.org/good/3", "http://b.org/spam/9", "", "zzz"):
+        expected = (log_likelihood(url, 1) - log_likelihood(url, 0)) / (len(url) + 1)
+        assert U.log_ratio(url, counts) == pytest.approx(expected, abs=0.02)  # but for rare hash collisions
+
+
+def test_urls_without_a_rule_follow_the_ruled_ones(spark):
+    rows = [f"http://h{i}.com/news/{i}" for i in range(60)] + [f"http://h{i}.net/fr/win-{i}" for i in range(60)]
+    asked = ["http://h7.org/news/7", "http://h8.org/fr/win-8"]
+    found = U.filter_urls(spark.createDataFrame([(u,) for u in rows + asked], "url string"))
+    assert [{r["url"]: r["verdict"] for r in found.collect()}[u] for u in asked] == ["allow", "block"]
