@@ -57,9 +57,8 @@ def pairs_with_pivots(members: DataFrame, pivots: int = PIVOTS) -> DataFrame:
 
 def with_group(members: DataFrame, groups: DataFrame) -> DataFrame:
     """``members`` with ``group``: the component of the id, or the id itself."""
-    return members.join(groups.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("group")
-    )
+    known = members.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
+    return known.withColumn("group", F.coalesce("component", "id")).drop("component")
 
 
 def divided(grouped: DataFrame) -> DataFrame:
@@ -100,11 +99,10 @@ def linked_groups(
         rest = stored(divided(with_group(large, groups)).select("bucket", "id"))
         if rest.isEmpty():
             return groups
-        split = stored(sized(deepen(rest)))
-        large = split.where(F.col("n") > SMALL).select("bucket", "id")
-        few = with_group(split.where(F.col("n") <= SMALL).select("bucket", "id"), groups)
-        many = divided(with_group(large, groups)).select("bucket", "id")
-        groups = joined_groups(groups, confirm(pairs_across(divided(few)).union(pairs_with_pivots(many)).distinct()))
+        split = stored(divided(with_group(sized(deepen(rest)), groups)))
+        few, many = split.where(F.col("n") <= SMALL), split.where(F.col("n") > SMALL)
+        large = many.select("bucket", "id")
+        groups = joined_groups(groups, confirm(pairs_across(few).union(pairs_with_pivots(large)).distinct()))
     rest = stored(divided(with_group(large, groups)))
     if rest.isEmpty():
         return groups

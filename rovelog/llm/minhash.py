@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 from rovelog.llm.common import join_counted, stored, table
 from rovelog.llm.linking import linked_groups
 
-COORDINATES, TREES, DEPTH, DEEPER, BRANCH = 128, 8, 4, 6, 0.25
+COORDINATES, TREES, DEPTH, DEEPER, BRANCH = 128, 8, 4, 3, 0.25
 #: Sketch: the lowest 4 bits of every minwise value; two sets of similarity s agree in a share s + (1 - s) / 16.
 NIBBLES = 16
 #: Standard deviations below the expected agreement at which a candidate is given up: one in 30,000 links.
