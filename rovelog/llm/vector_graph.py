@@ -246,14 +246,8 @@ def searched(tasks: DataFrame, near: DataFrame, cosine: float) -> DataFrame:
         counts = link @ found["n"].to_numpy(dtype=np.int64)
         counted = np.flatnonzero(counts)
         pairs = list(_forest(link | link.T))
-        return pd.DataFrame(
-            {
-                "kind": ["links"] * len(counted) + ["edge"] * len(pairs),
-                "a": [*names[counted], *(names[a] for a, _ in pairs)],
-                "b": [None] * len(counted) + [names[b] for _, b in pairs],
-                "n": [*counts[counted].tolist(), *[0] * len(pairs)],
-            }
-        )
+        out = [("links", names[a], None, int(counts[a])) for a in counted] + [("edge", names[a], names[b], 0) for a, b in pairs]
+        return pd.DataFrame(out, columns=["kind", "a", "b", "n"], dtype=object)
 
     known = tasks.join(near, tasks["id"] == near["node"]).drop("node")
     return known.groupBy("label", "size", "shard", "i", "j").applyInPandas(run, "kind string, a binary, b binary, n long")
