@@ -60,6 +60,17 @@ def dropped(df: DataFrame) -> None:
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+#: Rows that go to a Python worker at once where the session leaves Spark's default: texts are long.
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a worker holds of long texts, unless the session sets its own batch size."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def shipped(spark: SparkSession, value: T) -> Callable[[], T]:
     """``value`` for the tasks: broadcast once, unpacked once a task.  The caller bounds its size."""
     sent, unpacked = spark.sparkContext.broadcast(cloudpickle.dumps(value)), []

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import shipped, table
+from rovelog.llm.common import shipped, small_batches, table
 
 SEED_WORDS = 3
 #: A 3-gram is a seed if it is in at most this many times as many documents as the item's median one.
@@ -172,6 +172,7 @@ def document_counts(docs: DataFrame, items: Items) -> np.ndarray:
 def item_blocks(docs: DataFrame, benchmark: DataFrame, text: str) -> list[Callable[[], Items]]:
     """Broadcast blocks of items with their seeds, chosen by counts over all of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     items = benchmark.select("item_id", "text").where("text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / BLOCK_CHARS))

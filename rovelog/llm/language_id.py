@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import fold, table
+from rovelog.llm.common import fold, small_batches, table
 
 BUCKETS = 1 << 15
 #: Pseudo-count of every n-gram in every language.
@@ -101,6 +101,7 @@ def identify(
     A null text, or one without a letter, or any text when nothing could be learned, is ``und``
     with score 0.  Repeated rows are scored alike.  Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     learned = training.select(F.col(lang).alias("_lang"), F.col(text).alias("_text"))
     languages, counts, texts = count_grams(learned)
     model = docs.sparkSession.sparkContext.broadcast((languages, *log_probabilities(counts, texts)))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rovelog.llm.common import join_counted, stored, table
+from rovelog.llm.common import join_counted, small_batches, stored, table
 from rovelog.llm.linking import linked_groups
 
 COORDINATES, TREES, DEPTH, DEEPER, BRANCH = 128, 8, 4, 6, 0.25
@@ -97,6 +97,7 @@ def paths(nodes: np.ndarray, rows: np.ndarray, signatures: np.ndarray, depth: in
 
 def described(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, key (of the word sequence), n, sketch, nodes and signature of every document."""
+    small_batches(docs.sparkSession)
     key_type = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

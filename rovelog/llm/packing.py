@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import ranked, stored, table
+from rovelog.llm.common import ranked, small_batches, stored, table
 
 MAX_TOKENS = 1024
 #: The id that ends a document.
@@ -56,6 +56,7 @@ def cut_pieces(
     A null text counts as empty and gives one piece that holds the end id alone.  Every row of
     ``docs`` is cut by itself, so repeated rows give repeated pieces.  ``longest`` is a power of two.
     """
+    small_batches(docs.sparkSession)
     key_type = dict(docs.dtypes)[key]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import fold, shipped, stored, table
+from rovelog.llm.common import fold, shipped, small_batches, stored, table
 
 FOLDS, HELD_OUT_FOLD = 3, 1
 #: Weight of the pooled covariance in each class, and of the mean variance in the pooled one.
@@ -76,6 +76,8 @@ def statistics(text: str | None) -> list[float]:
 
 
 def features(text: Column) -> Column:
+    small_batches(SparkSession.active())
+
     @F.pandas_udf("array<double>")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([statistics(t) for t in texts], dtype=object)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import table
+from rovelog.llm.common import small_batches, table
 
 KINDS = ("assign", "access", "hex", "github", "npm", "card", "iban", "jwt")
 BASE = KINDS[:3]
@@ -137,6 +137,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     The array is in order of start, then of KINDS; it is empty for a null or empty text.  Other
     columns of ``docs`` are not read.  A text is scanned whole in one task, whatever its length.
     """
+    small_batches(docs.sparkSession)
     key_type = dict(docs.dtypes)[key]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
