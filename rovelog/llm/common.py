@@ -144,6 +144,26 @@ def ranked(df: DataFrame, cell: str, order: list[Column], name: str, spread: int
     )
 
 
+def block_tasks(rows: DataFrame, place: list[str], chosen: str, size: int) -> DataFrame:
+    """``rows`` dealt to tasks (``place``, i, j) so that the ``chosen`` of a place meet all rows of it.
+
+    A place that fits one task is one.  Else its chosen rows and all its rows are cut into blocks
+    of about ``size`` by hash of ``id``, and every two blocks share a task.  ``target`` marks the
+    chosen in their first role; a chosen row is there in its second role as well.
+    """
+    parts = lambda n: F.greatest(F.lit(1), F.ceil(n / size)).cast("int")
+    sizes = rows.groupBy(*place).agg(
+        parts(F.count_if(chosen)).alias("_chosen_blocks"), parts(F.count(F.lit(1))).alias("_all_blocks")
+    )
+    sized = rows.join(sizes, place)
+    block = lambda of: F.pmod(F.xxhash64("id", F.lit(2)), F.col(of)).cast("int")
+    each = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    targets = sized.where(chosen).withColumn("j", each("_all_blocks")).withColumn("i", block("_chosen_blocks"))
+    others = sized.withColumn("i", each("_chosen_blocks")).withColumn("j", block("_all_blocks"))
+    both = targets.withColumn("target", F.lit(True)).unionByName(others.withColumn("target", F.lit(False)))
+    return both.drop("_chosen_blocks", "_all_blocks", chosen)
+
+
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     """(node, component) of every node of ``links`` (a, b): the least node of its connected group.
 
@@ -163,7 +183,6 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
         large = (
             both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
         ).distinct()
-        large = stored(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(least, "u")
@@ -177,7 +196,6 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
         )
         small = stored(small)
         dropped(edges)
-        dropped(large)
         edges = small
     else:
         raise RuntimeError(f"components are not found after {rounds} rounds")

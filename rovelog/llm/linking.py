@@ -5,12 +5,12 @@ members are already in one group needs no comparison:
 
 1. members of a small bucket are compared with each other;
 2. members of a large one are compared with a few pivots, the same in every bucket that holds them;
-3. groups are formed; of a large bucket whose members are not all in one group, the members
-   outside its largest group are compared with the members of other groups.
-
-A caller may split large buckets further before step 3 (``deepen``); step 3 then sees the smaller
-buckets.  Step 3 is exact for whatever is left: no pair that shares a bucket and belongs to
-different groups goes without comparison.
+3. groups are formed; large buckets whose members are not all in one group are looked at again.
+   Where no group has half of a bucket, the caller may split it further (``deepen``).
+4. What is left is compared exactly: the members outside a bucket's largest group with the members
+   of all other groups.  Buckets with the same largest group are one, so that a pair which shares
+   many buckets is compared once.  A caller that can compare blocks of members in a task
+   (``compare``) writes no pairs for this.
 """
 
 from __future__ import annotations
@@ -69,44 +69,60 @@ def divided(grouped: DataFrame) -> DataFrame:
     return grouped.join(mixed, "bucket")
 
 
-def pairs_across(grouped: DataFrame) -> DataFrame:
-    """(a, b) that share a bucket but no group: those outside a bucket's largest group against the others."""
-    largest = (
-        grouped.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("bucket").agg(F.max_by("group", F.struct("n", "group")).alias("main"))
-    )
-    minor = grouped.join(largest, "bucket").where("group <> main").select("bucket", F.col("id").alias("x"), F.col("group").alias("g"))
+def with_main(grouped: DataFrame) -> DataFrame:
+    """``grouped`` with ``main``, the largest group of the bucket, and ``ruled``: it has half of the bucket."""
+    of_group = grouped.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("_n"))
+    largest = of_group.groupBy("bucket").agg(
+        F.max(F.struct("_n", "group")).alias("_top"), F.sum("_n").alias("_all")
+    )
+    named = largest.select("bucket", F.col("_top.group").alias("main"), (F.col("_top._n") * 2 >= F.col("_all")).alias("ruled"))
+    return grouped.join(named, "bucket")
+
+
+def merged(mixed: DataFrame) -> DataFrame:
+    """(bucket, id, group, minor): buckets that have the same main group made one, named by it."""
+    return mixed.select(F.col("main").alias("bucket"), "id", "group", (F.col("group") != F.col("main")).alias("minor")).distinct()
+
+
+def pairs_across(rows: DataFrame) -> DataFrame:
+    """(a, b) that share a bucket but no group, of which one at least is minor."""
+    minor = rows.where("minor").select("bucket", F.col("id").alias("x"), F.col("group").alias("g"))
     return (
-        minor.join(grouped, "bucket")
+        minor.join(rows, "bucket")
         .where("group <> g")
         .select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
     )
 
 
 def linked_groups(
-    members: DataFrame, confirm: Callable[[DataFrame], DataFrame], deepen: Callable[[DataFrame], DataFrame] | None = None
+    members: DataFrame,
+    confirm: Callable[[DataFrame], DataFrame],
+    deepen: Callable[[DataFrame], DataFrame] | None = None,
+    compare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(node, component) of all ids that are linked to another.
 
-    ``members`` (bucket, id) is stored; ``confirm`` takes candidate pairs (a, b) and returns those
-    that are links; ``deepen`` takes (bucket, id) of large buckets and returns smaller buckets.
+    ``members`` (bucket, id) is stored.  ``confirm`` takes candidate pairs (a, b) and returns those
+    that are links.  ``deepen`` takes (bucket, id) of large buckets and returns smaller buckets.
+    ``compare`` takes (bucket, id, group, minor) and returns links (a, b) that connect what the links
+    between minor members and members of other groups connect.
     """
+    compare = compare or (lambda rows: confirm(pairs_across(rows).distinct()))
     members = stored(sized(members))
     large = members.where(F.col("n") > SMALL).select("bucket", "id")
     first = pairs_within(members.where(F.col("n") <= SMALL)).union(pairs_with_pivots(large))
     groups = stored(components(stored(confirm(first.distinct()))))
-    if deepen:
-        rest = stored(divided(with_group(large, groups)).select("bucket", "id"))
-        if rest.isEmpty():
-            return groups
-        split = stored(divided(with_group(sized(deepen(rest)), groups)))
-        few, many = split.where(F.col("n") <= SMALL), split.where(F.col("n") > SMALL)
-        large = many.select("bucket", "id")
-        groups = joined_groups(groups, confirm(pairs_across(few).union(pairs_with_pivots(large)).distinct()))
-    rest = stored(divided(with_group(large, groups)))
-    if rest.isEmpty():
+    mixed = stored(with_main(divided(with_group(large, groups))))
+    if mixed.isEmpty():
         return groups
-    return joined_groups(groups, confirm(pairs_across(rest).distinct()))
+    if deepen:
+        open_ = mixed.where("not ruled").select("bucket", "id")
+        split = stored(sized(deepen(open_)))
+        few, many = split.where(F.col("n") <= SMALL), split.where(F.col("n") > SMALL).select("bucket", "id")
+        groups = joined_groups(groups, confirm(pairs_within(few).union(pairs_with_pivots(many)).distinct()))
+        left = mixed.where("ruled").select("bucket", "id").union(many)
+        mixed = stored(with_main(divided(with_group(left, groups))))
+    return joined_groups(groups, compare(merged(mixed)))
 
 
 def joined_groups(groups: DataFrame, links: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rovelog.llm.common import join_counted, small_batches, stored, table
+from rovelog.llm.common import block_tasks, join_counted, small_batches, stored, table
 from rovelog.llm.linking import linked_groups
 
 COORDINATES, TREES, DEPTH, DEEPER, BRANCH = 128, 8, 4, 6, 0.25
@@ -37,6 +37,8 @@ NIBBLES = 16
 SLACK = 4.0
 #: Shingles whose minwise values are computed at once.
 CHUNK = 4096
+#: Members that a task holds of either side when a large bucket is compared in blocks.
+BLOCK = 512
 
 _U = np.uint64
 _MULTIPLIERS = (np.random.default_rng(20240130).integers(1, 1 << 63, COORDINATES, dtype=np.uint64) << _U(1)) | _U(1)
@@ -171,8 +173,7 @@ def agreement(a: Column, b: Column) -> Column:
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of keys whose full sets have at least that similarity."""
-    expected = percent / 100 + (1 - percent / 100) / NIBBLES
-    least = int(COORDINATES * expected - SLACK * (COORDINATES * expected * (1 - expected)) ** 0.5)
+    least = least_agreement(percent)
     side = lambda name, *columns: sets.select(
         F.col("key").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns]
     )
@@ -193,6 +194,62 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def least_agreement(percent: int) -> int:
+    """Coordinates whose sketches must agree for a pair to be looked at."""
+    expected = percent / 100 + (1 - percent / 100) / NIBBLES
+    return int(COORDINATES * expected - SLACK * (COORDINATES * expected * (1 - expected)) ** 0.5)
+
+
+def compared(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between minor members of a bucket and members of other groups, in blocks.
+
+    A task holds two blocks of members with their full sets.  It writes no more links than it has
+    members: a member is compared only with those it is not yet connected to.
+    """
+    tasks = block_tasks(rows, ["bucket"], "minor", BLOCK).join(sets.withColumnRenamed("key", "id"), "id")
+    least = least_agreement(percent)
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        asked, others = part[part["target"]], part[~part["target"]]
+        ids = others["id"].to_numpy()
+        sketches = np.stack(others["sketch"].to_numpy()).view(np.uint64) if len(others) else None
+        sizes, grams = others["n"].to_numpy(), others["grams"].to_numpy()
+        head = {name: group for name, group in zip(part["id"], part["group"])}
+        parent = {group: group for group in head.values()}
+
+        def root(group):
+            while parent[group] != group:
+                parent[group] = group = parent[parent[group]]
+            return group
+
+        links = []
+        for name, size, sketch, own in zip(asked["id"], asked["n"], asked["sketch"], asked["grams"]):
+            if sketches is None:
+                break
+            agree = _agreeing(np.asarray(sketch).view(np.uint64), sketches)
+            near = (agree >= least) & (100 * np.minimum(sizes, size) >= percent * np.maximum(sizes, size))
+            at = np.flatnonzero(near)
+            for k in at[np.argsort(-agree[at], kind="stable")]:
+                mine, theirs = root(head[name]), root(head[ids[k]])
+                if mine == theirs:
+                    continue
+                shared = len(np.intersect1d(own, grams[k], assume_unique=True))
+                if 100 * shared >= percent * (size + sizes[k] - shared):
+                    parent[max(mine, theirs)] = min(mine, theirs)
+                    links.append((name, ids[k]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype=object)
+
+    return tasks.groupBy("bucket", "i", "j").applyInPandas(run, "a binary, b binary")
+
+
+def _agreeing(sketch: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """:func:`agreement` of one sketch with each of many."""
+    x = sketches ^ sketch
+    x |= x >> _U(1)
+    x |= x >> _U(2)
+    return COORDINATES - np.bitwise_count(x & _U(0x1111111111111111)).sum(axis=1, dtype=np.int64)
+
+
 def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
     """doc_id, key, group, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text).
 
@@ -225,7 +282,9 @@ def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
         signatures = found.select("key", "signature").join(wanted, "key").dropDuplicates(["key"]).withColumnRenamed("key", "id")
         return nodes.join(signatures, "id").mapInPandas(run, "bucket long, id binary")
 
-    groups = linked_groups(members, lambda pairs: confirmed(pairs, sets, percent), deepen)
+    groups = linked_groups(
+        members, lambda pairs: confirmed(pairs, sets, percent), deepen, lambda rows: compared(rows, sets, percent)
+    )
     label = groups.select(F.col("node").alias("key"), "component").join(classes.select("key", "rep"), "key")
     least = label.groupBy("component").agg(F.min("rep").alias("least"))
     of_class = (

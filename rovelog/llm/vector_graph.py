@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import components, shipped, stored, table
+from rovelog.llm.common import block_tasks, components, shipped, stored, table
 
 ALPHA = 1.1
 #: Vectors of a shard that are wanted, and the most that one task takes of either side.
@@ -180,27 +180,6 @@ def placed(classes: DataFrame, pivots: Pivots, margin: float) -> DataFrame:
     return classes.mapInPandas(run, PLACED.format(label=dict(classes.dtypes)["label"]))
 
 
-def blocks(members: DataFrame) -> DataFrame:
-    """``members`` dealt to tasks: (task, side) so that a shard's own vectors meet all its members.
-
-    A shard that fits one task is one.  Else both its own vectors and all its members are cut into
-    blocks by hash, and every two blocks share a task.
-    """
-    place = ["label", "size", "shard"]
-    sizes = members.groupBy(*place).agg(
-        F.greatest(F.lit(1), F.ceil(F.count_if("own") / BLOCK)).cast("int").alias("own_blocks"),
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / BLOCK)).cast("int").alias("all_blocks"),
-    )
-    sized = members.join(sizes, place)
-    block = lambda of: F.pmod(F.xxhash64("id", F.lit(2)), F.col(of)).cast("int")
-    as_target = F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1))
-    as_member = F.explode(F.sequence(F.lit(0), F.col("own_blocks") - 1))
-    targets = sized.where("own").withColumn("j", as_target).withColumn("i", block("own_blocks")).withColumn("target", F.lit(True))
-    others = sized.withColumn("i", as_member).withColumn("j", block("all_blocks")).withColumn("target", F.lit(False))
-    columns = [*place, "i", "j", "id", "n", "vector", "target"]
-    return targets.select(columns).unionByName(others.select(columns))
-
-
 def _members(part: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
     """The distinct vectors of a task, whether each counts as a target and as a query."""
     part = part.sort_values("id", kind="stable")
@@ -299,7 +278,8 @@ def link_vectors(
         # a link's part along one direction has about this standard deviation
         deviation = F.sqrt(F.lit(2 - 2 * cosine) / F.col("size"))
         width = classes.agg(F.max(deviation)).first()[0] or 0.0
-        tasks = stored(blocks(placed(classes.select("id", "n", "vector", "label", "size"), pivots, overlap * width)))
+        members = placed(classes.select("id", "n", "vector", "label", "size"), pivots, overlap * width)
+        tasks = stored(block_tasks(members, ["label", "size", "shard"], "own", BLOCK))
         found = stored(searched(tasks, stored(adjacency(tasks)), cosine))
         counts = found.where("kind = 'links'").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("linked"))
         if not pivots.vectors or audit(classes, counts, cosine) >= least_recall:
