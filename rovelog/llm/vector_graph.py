@@ -1,22 +1,24 @@
 """Near-duplicate vectors by a robust-pruned flat graph.
 
-Vectors of one label are dealt to shards by their nearest pivot, and also to every shard whose
-border is close, so shards overlap.  In each shard a flat graph is built: a vector's neighbours are
-chosen from all others, nearest first, and a candidate is pruned if a chosen neighbour is nearer to
-it by the factor ALPHA.  The adjacency lists that a vector gets in several shards are united.  A
-query goes from the medoid greedily to itself and then expands over all vectors within
-``radius * (1 + 1 / ALPHA)``; what lies within the radius is verified by the cosine.
+Vectors of one label are dealt to shards several times over: in each of several rounds by the
+nearest of other pivots, so the shards of different rounds overlap.  In each shard a flat graph is
+built: a vector's neighbours are chosen from all others, nearest first, and a candidate is pruned if
+a chosen neighbour is nearer to it by the factor ALPHA; of the neighbours beyond twice the radius
+only the first FAR are kept, to find the way by.  The adjacency lists that a vector gets in its
+shards are united.  A query walks greedily from the medoid towards itself and then expands over all
+vectors within ``radius * (1 + 1 / ALPHA)``; what lies within the radius is verified by the cosine.
 
 Why the search is whole within a shard: for every vector y and every other vector p, either p has an
-edge to y or an edge to some p' with ALPHA d(p', y) <= d(p, y).  So a greedy walk reaches the query,
-and from the query q a path leads to any y within the radius over p with d(p, y) <= radius / ALPHA,
-that is d(q, p) <= radius (1 + 1 / ALPHA), which the expansion covers.  What can be missed is a
-vector beyond the overlap of shards.  A sample of vectors is therefore compared with all vectors of
-their label, and the overlap is widened until the audit finds at least the wanted recall.
-
-A shard's own vectors are counted in it alone, so no pair is counted twice and no pair is written:
-a shard gives numbers of links and a spanning forest.  A shard with more vectors than fit a task is
-cut into blocks; every two of them meet in a task of bounded size.
+edge to y or an edge to some p' with ALPHA d(p', y) <= d(p, y).  So from the query q a path leads to
+any y within the radius over p with d(p, y) <= radius / ALPHA, that is d(q, p) <= radius (1 + 1 / ALPHA),
+which the expansion covers; its edges are no longer than twice the radius.  What can be missed is a
+vector that shares no shard with the query.  A sample of vectors is therefore compared with all
+vectors of their label, and rounds are added until the audit finds at least the wanted recall.
+
+A link is counted in the first round in which both vectors share a shard, which their places in the
+rounds before tell, so no pair is counted twice and no pair is written: a shard gives numbers of
+links and a spanning forest.  A shard with more vectors than fit a task is cut into blocks; every
+two of them meet in a task of bounded size.
 """
 
 from __future__ import annotations
@@ -29,89 +31,91 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import block_tasks, components, shipped, stored, table
+from rovelog.llm.common import components, shipped, stored, table
 
 ALPHA = 1.1
-#: Vectors of a shard that are wanted, and the most that one task takes of either side.
-SHARD, BLOCK = 800, 1600
+#: Neighbours beyond twice the radius that a vector keeps.
+FAR = 8
+#: Vectors of a shard that are wanted, and the most of a block; a task takes two blocks.
+SHARD, BLOCK = 400, 1200
 #: Pivots of all labels together that are sent to the tasks; with more data the shards grow and are cut into blocks.
 MOST_PIVOTS = 100_000
-#: Overlap, in standard deviations of a link's component across a border: tried in turn until the audit is content.
-OVERLAPS = (2.0, 3.0, 4.5, 8.0)
+#: Rounds of shards: tried in turn until the audit is content.
+ROUNDS = (8, 16, 32)
 #: Audited: this many vectors of each label at most, by hash, each against all vectors of its label.
 AUDITED = 40
 
 
 @dataclass(frozen=True)
 class Pivots:
-    """Unit pivots of each (label, size) in rows of one matrix."""
+    """Unit pivots of each (label, size): rounds x pivots x size."""
 
     vectors: dict[tuple, np.ndarray]
 
-    def shards(self, group: tuple, unit: np.ndarray, margin: float) -> Iterator[tuple[int, int, bool]]:
-        """(row of ``unit``, shard, own) for the nearest pivot and each whose border is within ``margin``."""
+    def shards(self, group: tuple, unit: np.ndarray) -> np.ndarray:
+        """The shard of each row of ``unit`` in each round; one round where there is one shard."""
         pivots = self.vectors.get(group)
-        if pivots is None or len(pivots) == 1:
-            yield from ((row, 0, True) for row in range(len(unit)))
-            return
-        apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 1e-12))
-        near = unit @ pivots.T
-        best = near.argmax(axis=1)
-        beyond = (near[np.arange(len(unit)), best][:, None] - near) / apart[best]  # distance to the bisector
-        rows, shards = np.nonzero(beyond <= margin)
-        own = shards == best[rows]
-        yield from zip(rows.tolist(), shards.tolist(), own.tolist())
+        if pivots is None:
+            return np.zeros((len(unit), 1), dtype=np.int32)
+        return np.stack([(unit @ p.T).argmax(axis=1) for p in pivots], axis=1).astype(np.int32)
 
 
 def valid_vectors(rows: DataFrame) -> DataFrame:
-    """label, size and vector (double) of the rows that can link."""
-    vector = F.col("_vector").cast("array<double>")
+    """The rows that can link, with their ``vector`` as float or double."""
+    kind = dict(rows.dtypes)["_vector"]
+    vector = F.col("_vector") if kind == "array<float>" else F.col("_vector").cast("array<double>")
     finite = F.forall(
         "vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
     ) & F.exists("vector", lambda v: v != 0)
     return rows.withColumn("vector", vector).where(F.col("_label").isNotNull() & F.col("vector").isNotNull()).where(finite)
 
 
-def chosen_pivots(classes: DataFrame) -> Pivots:
-    """Pivots: vectors with the least hashes of each label, one for SHARD classes, MOST_PIVOTS at most in all."""
-    sizes = classes.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.agg(F.sum(F.ceil(F.col("n") / SHARD))).first()[0] or 0
-    shrink = max(1.0, total / MOST_PIVOTS)
+def chosen_pivots(classes: DataFrame, rounds: int) -> Pivots:
+    """Vectors with the least hashes of each label: for each round one for SHARD classes, MOST_PIVOTS at most in all."""
+    sizes = classes.groupBy("label", "size").agg(F.count(F.lit(1)).alias("_of"))
+    total = sizes.agg(F.sum(F.ceil(F.col("_of") / SHARD))).first()[0] or 0
+    shrink = max(1.0, rounds * total / MOST_PIVOTS)
     wanted = sizes.select(
-        F.col("label").alias("_l"), F.col("size").alias("_s"), F.ceil(F.col("n") / (SHARD * shrink)).alias("k"), F.col("n").alias("_of")
+        F.col("label").alias("_l"), F.col("size").alias("_s"), F.ceil(F.col("_of") / (SHARD * shrink)).alias("k"), "_of"
     ).where("k > 1")
-    # 3 times the wanted share by hash, so that enough are there; the driver keeps k of each label
-    share = F.least(F.lit(1.0), 3 * F.col("k") / F.col("_of") + 20 / F.col("_of"))
+    # more than the wanted share by hash, so that enough are there; the driver keeps what is wanted of each label
+    share = F.least(F.lit(1.0), (2 * rounds * F.col("k") + 20) / F.col("_of"))
     hash_ = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 30))
     same = (F.col("label") == F.col("_l")) & (F.col("size") == F.col("_s"))
     sample = classes.join(wanted, same).where(hash_ < share * (1 << 30)).select("label", "size", "k", "vector", hash_.alias("h"))
     vectors: dict[tuple, np.ndarray] = {}
-    for (label, size), part in sample.toPandas().groupby(["label", "size"]):  # about 3 * MOST_PIVOTS rows at most
-        part = part.sort_values("h").head(int(part["k"].iloc[0]))
-        if len(part) > 1:
-            vectors[(label, size)] = _unit(np.stack(part["vector"].to_numpy()))
+    for (label, size), part in sample.toPandas().groupby(["label", "size"]):  # about 2 * MOST_PIVOTS rows at most
+        part = part.sort_values("h")
+        k = min(int(part["k"].iloc[0]), len(part))
+        unit = _unit(np.stack(part["vector"].to_numpy()))
+        at = (np.arange(rounds)[:, None] * k + np.arange(k)) % len(unit)
+        vectors[(label, size)] = unit[at]
     return Pivots(vectors)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors.astype(np.float64)
     vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def robust_pruned(distance: np.ndarray, alpha: float = ALPHA) -> np.ndarray:
+def robust_pruned(distance: np.ndarray, radius: float, alpha: float = ALPHA, far: int = FAR) -> np.ndarray:
     """Adjacency (a boolean matrix) of the flat graph over all vectors, by their distances.
 
     All rows are pruned side by side: each takes its nearest candidate left, and drops those
-    candidates that the new neighbour is nearer to by ``alpha``.
+    candidates that the new neighbour is nearer to by ``alpha``.  A row is done when no candidate is
+    left, or when it has ``far`` neighbours beyond twice the ``radius``.
     """
     n = len(distance)
     edge = np.zeros((n, n), dtype=bool)
     left = np.where(np.eye(n, dtype=bool), np.inf, distance)
-    rows = np.arange(n)
+    rows, beyond = np.arange(n), np.zeros(n, dtype=np.int64)
     while len(rows):
         part = left[rows]
         nearest = part.argmin(axis=1)
-        some = np.isfinite(part[np.arange(len(rows)), nearest])
+        apart = part[np.arange(len(rows)), nearest]
+        beyond[rows] += apart > 2 * radius
+        some = np.isfinite(apart) & (beyond[rows] <= far)
         rows, nearest, part = rows[some], nearest[some], part[some]
         edge[rows, nearest] = True
         part[alpha * distance[nearest] <= distance[rows]] = np.inf
@@ -121,7 +125,11 @@ def robust_pruned(distance: np.ndarray, alpha: float = ALPHA) -> np.ndarray:
 
 
 def search(distance: np.ndarray, edge: np.ndarray, queries: np.ndarray, radius: float, alpha: float = ALPHA) -> np.ndarray:
-    """Which vectors each query reaches: greedily from the medoid to the query, then over all within the wider radius."""
+    """Which vectors within the radius each query reaches.
+
+    It walks greedily from the medoid towards itself, and expands from where the walk ends and from
+    its own place over all within the wider radius.
+    """
     at = np.full(len(queries), int(distance.sum(axis=1).argmin()))  # the medoid
     going = np.arange(len(queries))
     while len(going):
@@ -133,7 +141,8 @@ def search(distance: np.ndarray, edge: np.ndarray, queries: np.ndarray, radius:
     inside = distance[queries] <= radius * (1 + 1 / alpha)
     reached = np.zeros((len(queries), len(distance)), dtype=bool)
     reached[np.arange(len(queries)), at] = True
-    reached &= inside  # a walk that ended elsewhere starts no expansion
+    reached &= inside  # a walk may have ended far away
+    reached[np.arange(len(queries)), queries] = True
     front = reached.copy()
     links = edge.astype(np.float32)
     while front.any():
@@ -162,45 +171,49 @@ def _forest(link: np.ndarray) -> Iterator[tuple[int, int]]:
             yield from ((node, int(other)) for other in new)
 
 
-PLACED = "id binary, n long, vector array<double>, label {label}, size int, shard int, own boolean"
+PLACED = "id long, n long, vector {vector}, label {label}, size int, round int, shard int, shards array<int>"
 
 
-def placed(classes: DataFrame, pivots: Pivots, margin: float) -> DataFrame:
-    """Each class once for every shard it belongs to; ``own`` marks the shard of its nearest pivot."""
+def placed(classes: DataFrame, pivots: Pivots) -> DataFrame:
+    """Each class once for every round, with its shard in that round and in all."""
     shared = shipped(classes.sparkSession, pivots)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for (label, size), part in batch.groupby(["label", "size"]):
-                unit = _unit(np.stack(part["vector"].to_numpy()))
-                rows, shards, own = zip(*shared().shards((label, size), unit, margin))
-                out = part.iloc[list(rows)][["id", "n", "vector", "label", "size"]]
-                yield out.assign(shard=shards, own=own)
+            for group, part in batch.groupby(["label", "size"]):
+                shards = shared().shards(group, _unit(np.stack(part["vector"].to_numpy())))
+                for at in range(shards.shape[1]):
+                    yield part.assign(round=at, shard=shards[:, at], shards=list(shards))[
+                        ["id", "n", "vector", "label", "size", "round", "shard", "shards"]
+                    ]
+
+    kinds = dict(classes.dtypes)
+    return classes.mapInPandas(run, PLACED.format(label=kinds["label"], vector=kinds["vector"]))
 
-    return classes.mapInPandas(run, PLACED.format(label=dict(classes.dtypes)["label"]))
 
+PLACE = ["label", "size", "round", "shard"]
 
-def _members(part: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
-    """The distinct vectors of a task, whether each counts as a target and as a query."""
-    part = part.sort_values("id", kind="stable")
-    target = part.groupby("id", sort=True)["target"]
-    found = part.drop_duplicates("id")
-    return found, target.any().to_numpy(), (~part["target"]).groupby(part["id"], sort=True).any().to_numpy()
 
+def blocks(members: DataFrame) -> DataFrame:
+    """``members`` dealt to tasks (i, j): a shard that fits a task is one, else every two of its blocks meet."""
+    sizes = members.groupBy(*PLACE).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(sizes, PLACE).withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
 
-def adjacency(tasks: DataFrame) -> DataFrame:
+
+def adjacency(tasks: DataFrame, radius: float) -> DataFrame:
     """node and neighbours of the flat graphs of all shards, the lists of one node united.
 
     A list holds what survives pruning; its length does not follow the size of the data.
     """
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
-        found, _, _ = _members(part)
-        edge = robust_pruned(_distances(_unit(np.stack(found["vector"].to_numpy()))))
-        names = found["id"].to_numpy()
-        return pd.DataFrame({"node": names, "near": [names[row].tolist() for row in edge]})
+        edge = robust_pruned(_distances(_unit(np.stack(part["vector"].to_numpy()))), radius)
+        names = part["id"].to_numpy()
+        return pd.DataFrame({"node": names, "near": [names[row] for row in edge]})
 
-    lists = tasks.groupBy("label", "size", "shard", "i", "j").applyInPandas(build, "node binary, near array<binary>")
+    lists = tasks.groupBy(*PLACE, "i", "j").applyInPandas(build, "node long, near array<long>")
     return lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
 
 
@@ -209,31 +222,37 @@ def searched(tasks: DataFrame, near: DataFrame, cosine: float) -> DataFrame:
     radius = float(np.sqrt(2 - 2 * cosine))
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        found, target, query = _members(part)
-        names = found["id"].to_numpy()
-        place = {name: at for at, name in enumerate(names)}
-        unit = _unit(np.stack(found["vector"].to_numpy()))
+        names, at_round = part["id"].to_numpy(), int(part["round"].iloc[0])
+        order = np.argsort(names)
+        unit = _unit(np.stack(part["vector"].to_numpy()))
         distance = _distances(unit)
         edge = np.zeros((len(names), len(names)), dtype=bool)
-        for row, others in enumerate(found["near"]):
-            edge[row, [place[o] for o in others if o in place]] = True
-        asking = np.flatnonzero(query)
-        link = np.zeros_like(edge)
-        link[asking] = search(distance, edge, asking, radius + 1e-6)
+        for row, others in enumerate(part["near"]):
+            spot = np.searchsorted(names[order], others)
+            spot[spot == len(names)] = 0
+            there = order[spot]
+            edge[row, there[names[there] == others]] = True
+        link = search(distance, edge, np.arange(len(names)), radius + 1e-6)
         link &= unit @ unit.T >= cosine  # verified
-        link[:, ~target] = False
-        counts = link @ found["n"].to_numpy(dtype=np.int64)
-        counted = np.flatnonzero(counts)
-        pairs = list(_forest(link | link.T))
-        out = [("links", names[a], None, int(counts[a])) for a in counted] + [("edge", names[a], names[b], 0) for a, b in pairs]
-        return pd.DataFrame(out, columns=["kind", "a", "b", "n"], dtype=object)
+        link |= link.T
+        np.fill_diagonal(link, False)
+        shards = np.stack(part["shards"].to_numpy())
+        for before in range(at_round):  # counted there
+            link &= shards[:, before][:, None] != shards[:, before]
+        block = part["block"].to_numpy()
+        if part["i"].iloc[0] != part["j"].iloc[0]:  # pairs of one block are counted where it meets itself
+            link &= block[:, None] != block
+        counts = link @ part["n"].to_numpy(dtype=np.int64)
+        out = [("links", int(names[a]), None, int(counts[a])) for a in np.flatnonzero(counts)]
+        out += [("edge", int(names[a]), int(names[b]), 0) for a, b in _forest(link)]
+        return pd.DataFrame(out, columns=["kind", "a", "b", "n"]).astype({"a": "int64", "b": "Int64", "n": "int64"})
 
     known = tasks.join(near, tasks["id"] == near["node"]).drop("node")
-    return known.groupBy("label", "size", "shard", "i", "j").applyInPandas(run, "kind string, a binary, b binary, n long")
+    return known.groupBy(*PLACE, "i", "j").applyInPandas(run, "kind string, a long, b long, n long")
 
 
 def audit(classes: DataFrame, counts: DataFrame, cosine: float) -> float:
-    """Links found of those that AUDITED classes of each label have with all vectors of their label."""
+    """The share found of the links that AUDITED classes of each label have with other classes, by comparing all."""
     sizes = classes.groupBy("label", "size").agg(F.count(F.lit(1)).alias("m"))
     drawn = F.pmod(F.xxhash64("id", F.lit(3)), F.col("m")) < AUDITED
     sample = classes.join(sizes, ["label", "size"]).where(drawn).select("id", "label", "size", "vector").toPandas()
@@ -246,9 +265,10 @@ def audit(classes: DataFrame, counts: DataFrame, cosine: float) -> float:
                 names, unit = asked().get(group, ((), None))
                 if len(names):
                     near = unit @ _unit(np.stack(part["vector"].to_numpy())).T >= cosine
+                    near &= names[:, None] != part["id"].to_numpy()
                     yield pd.DataFrame({"id": names, "there": near @ part["n"].to_numpy(dtype=np.int64)})
 
-    there = classes.mapInPandas(run, "id binary, there long").groupBy("id").agg(F.sum("there").alias("there"))
+    there = classes.mapInPandas(run, "id long, there long").groupBy("id").agg(F.sum("there").alias("there"))
     row = there.join(counts, "id", "left").agg(F.sum("there"), F.sum(F.coalesce("linked", F.lit(0)))).first()
     return 1.0 if not row[0] else row[1] / row[0]
 
@@ -264,40 +284,35 @@ def link_vectors(
     label are one class, each of whose rows links with all others.  component_id is the least
     ``key`` that links lead to, the row's own if there is none; a null key is never the least.
     """
+    radius = float(np.sqrt(2 - 2 * cosine))
     slim = rows.select(F.col(key).alias("_key"), F.col(vector).alias("_vector"), F.col(label).alias("_label"))
-    known = valid_vectors(slim).select(
-        "_key", F.col("_label").alias("label"), F.size("vector").alias("size"), "vector"
+    code = F.unhex(F.md5(F.concat_ws(",", F.col("_label").cast("string"), F.to_json("_vector"))))
+    usable = valid_vectors(slim).select(
+        "_key", F.col("_label").alias("label"), F.size("vector").alias("size"), "vector", code.alias("code")
     )
-    name = F.unhex(F.md5(F.concat_ws(",", F.col("label").cast("string"), F.to_json("vector"))))
-    named = known.withColumn("id", name)
     classes = stored(
-        named.groupBy("id", "label", "size", "vector").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("least"))
+        usable.groupBy("code", "label", "size", "vector")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("least"))
+        .withColumn("id", F.monotonically_increasing_id())
     )
-    pivots = chosen_pivots(classes)
-    for overlap in OVERLAPS:
-        # a link's part along one direction has about this standard deviation
-        deviation = F.sqrt(F.lit(2 - 2 * cosine) / F.col("size"))
-        width = classes.agg(F.max(deviation)).first()[0] or 0.0
-        members = placed(classes.select("id", "n", "vector", "label", "size"), pivots, overlap * width)
-        tasks = stored(block_tasks(members, ["label", "size", "shard"], "own", BLOCK))
-        found = stored(searched(tasks, stored(adjacency(tasks)), cosine))
+    for rounds in ROUNDS:
+        pivots = chosen_pivots(classes, rounds)
+        tasks = stored(blocks(placed(classes.select("id", "n", "vector", "label", "size"), pivots)))
+        found = stored(searched(tasks, stored(adjacency(tasks, radius)), cosine))
         counts = found.where("kind = 'links'").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("linked"))
         if not pivots.vectors or audit(classes, counts, cosine) >= least_recall:
             break
     else:
-        raise RuntimeError(f"the audit found a recall below {least_recall} at every overlap")
+        raise RuntimeError(f"the audit found a recall below {least_recall} with {ROUNDS[-1]} rounds")
     groups = components(found.where("kind = 'edge'").select("a", "b")).select(F.col("node").alias("id"), "component")
-    grouped = classes.join(groups, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "least")
+    grouped = classes.join(groups, "id", "left").select("id", "code", "n", F.coalesce("component", "id").alias("component"), "least")
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     of_class = grouped.join(least, "component").join(counts, "id", "left").select(
-        "id", "component_id", (F.coalesce("linked", F.lit(1)) - 1).alias("n_links")
-    )
-    every = slim.withColumn("vector", F.col("_vector").cast("array<double>")).withColumn(
-        "id", F.unhex(F.md5(F.concat_ws(",", F.col("_label").cast("string"), F.to_json("vector"))))
+        "code", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links")
     )
     return (
-        every.select("_key", "id")
-        .join(of_class, "id", "left")
+        slim.select("_key", code.alias("code"))
+        .join(of_class, "code", "left")
         .select(
             F.col("_key").alias(key),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
