@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import roles
+from checks.session import own_folder
 from rovelog.functions.timeops import EASTERN, to_zone
 from rovelog.operators import asof, dwell, events, lookback, reinduct, rules, sites, stale
 from rovelog.operators.keyed import COPIES
 from rovelog.operators.timeline import cell_of
-from rovelog.plans.compliance import Settings, compliance
+from rovelog.plans.compliance import COLUMNS, Settings, compliance
 from rovelog.sources.sinks import shared_folder, write_report
 
 AS_OF = "2024-01-30 00:00:00"
@@ -146,18 +147,22 @@ def asof_join_one(spark, sf_dir):
 
 
 def compliance_wide(spark, sf_dir):
+    own_folder(spark)
     return compliance(roles.fleet(spark, sf_dir), AS_OF, DAYS, WIDE)
 
 
 def compliance_report(spark, sf_dir):
+    own_folder(spark)
     return compliance(roles.fleet(spark, sf_dir), AS_OF, DAYS)
 
 
 def compliance_one_site(spark, sf_dir):
+    own_folder(spark)
     return compliance(roles.fleet(spark, sf_dir), AS_OF, DAYS, WIDE, sites=["NATION_7"])
 
 
 def verdict_counts(spark, sf_dir):
+    own_folder(spark)
     rows = compliance(roles.fleet(spark, sf_dir), AS_OF, DAYS, WIDE, ordered=False)
     return rows.groupBy("valid_removal", "valid_removal_reason").agg(F.count(F.lit(1)).alias("removals"))
 
@@ -187,7 +192,7 @@ def all_sites(spark, sf_dir):
     )
     region = nations.select(F.col("n_name").alias("site_id"), F.col("r_name").alias("region"))
     rows = roles.removals(spark, sf_dir).join(region, "site_id")
-    names = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+    names = [row["region"] for row in region.select("region").distinct().collect()]  # of the dimension
     per_region = {n: rows.where(F.col("region") == n).select("botnumber", "timestamp", "action") for n in names}
     return reinduct.weekly_reinduct(sites.union_sites(per_region), AS_OF_DAY, DAYS)
 
@@ -206,8 +211,9 @@ def classify(spark, sf_dir):
     return errors(spark, sf_dir)
 
 
-def write_by_site(spark, sf_dir):
-    """Writes the report, one folder per site, and reads it back."""
+def _written(spark, sf_dir):
+    """Writes the report, one folder per site, and the dwell summary; the path."""
+    own_folder(spark)
     path = shared_folder(spark)
     tables = roles.fleet(spark, sf_dir)
     write_report(
@@ -215,10 +221,39 @@ def write_by_site(spark, sf_dir):
         dwell.dwell_summary(tables.bot_health, AS_OF_DAY, DAYS, ordered=False),
         path,
     )
-    back = spark.read.parquet(f"{path}/compliance")
-    return back.groupBy("site_id").agg(
-        F.count(F.lit(1)).alias("removals"), F.sum("valid_removal").alias("valid_removals")
-    )
+    return path
+
+
+def write_by_site(spark, sf_dir):
+    """All rows of the report as read back from its folders."""
+    return spark.read.parquet(f"{_written(spark, sf_dir)}/compliance").select(*COLUMNS)
+
+
+def write_dwell(spark, sf_dir):
+    """The dwell summary as read back."""
+    return spark.read.parquet(f"{_written(spark, sf_dir)}/dwell")
+
+
+def _places(df, *columns):
+    """``columns`` with the place of each row in the order of ``df``.
+
+    The number given in order has gaps between partitions; counting them out takes one task, over
+    a report that is read in order anyway.
+    """
+    numbered = df.select(*columns, F.monotonically_increasing_id().alias("_id"))
+    return numbered.withColumn("place", F.row_number().over(Window.orderBy("_id")) - 1).drop("_id")
+
+
+def ordered_report(spark, sf_dir):
+    return _places(compliance_wide(spark, sf_dir), "removed_timestamp_est", "site_id", "botnumber")
+
+
+def ordered_dwell(spark, sf_dir):
+    return _places(dwell_summary(spark, sf_dir), "event_date")
+
+
+def ordered_reinduct(spark, sf_dir):
+    return _places(weekly_reinduct(spark, sf_dir), "week_start", "botnumber")
 
 
 QUERIES = {
@@ -228,6 +263,6 @@ QUERIES = {
         latest_in_lookback, classify, bounded_counts, disconnect_issue, red_flags, pattern_hits, flag_if_hit,
         stale_group, asof_join, asof_join_one, compliance_wide, compliance_report, compliance_one_site,
         verdict_counts, daily_snapshot, dwell_days, dwell_summary, weekly_reinduct, all_sites, site_report,
-        to_site_local, write_by_site,
+        to_site_local, write_by_site, write_dwell, ordered_report, ordered_dwell, ordered_reinduct,
     )
 }

@@ -33,7 +33,7 @@ removed AS (
 def flagged_cte(gap: int) -> str:
     return f"""
 flagged AS (
-  SELECT *, CAST(coalesce({_minutes('prev_ts', 'event_ts')} < {gap}, false) = false AS INTEGER) AS is_new_event
+  SELECT *, CAST(prev_ts IS NULL OR {_minutes('prev_ts', 'event_ts')} >= {gap} AS INTEGER) AS is_new_event
   FROM (SELECT *, lag(event_ts) OVER (PARTITION BY site_id, bot_id ORDER BY event_ts) AS prev_ts FROM removed))"""
 
 
@@ -45,11 +45,11 @@ errors AS (
     CASE WHEN upper(event) = 'ALARM' AND recoverflag <> 'Y'
               AND (upper(alarmoperationalstate) = 'OPERATING'
                    OR upper(alarmoperationalstate) = 'DISABLED'
-                      AND subevent <> 'estimation_error' AND subevent <> 'under_voltage') THEN 'WRANGLE'
+                      AND subevent NOT IN ('estimation_error', 'under_voltage')) THEN 'WRANGLE'
          WHEN event = 'caseHandlingDisabled' THEN 'CHD'
          WHEN event = 'alarm' AND subevent = 'initialized_with_error' THEN 'IWE'
-         WHEN event = 'suspect' AND (actiontype = 'PICK' OR actiontype = 'PLACE')
-              AND (transfertype = 'BUFFER_TRANSFER' OR transfertype = 'SHELF_TRANSFER') THEN 'SUSPECT'
+         WHEN event = 'suspect' AND actiontype IN ('PICK', 'PLACE')
+              AND transfertype IN ('BUFFER_TRANSFER', 'SHELF_TRANSFER') THEN 'SUSPECT'
     END AS error_category
   FROM bot_errors e JOIN sites s ON s.site_full = e.site_id
   WHERE {_local('datetime')} > TIMESTAMP '{as_of}' - INTERVAL '{days} days'
@@ -206,13 +206,13 @@ snapshot AS (
   SELECT environment, bot_id, CAST(CAST("timestamp" AS DATE) AS TIMESTAMP) AS event_date,
          min("timestamp") AS snapshot_time, max(bot_location_changed) AS entry_time
   FROM bot_health
-  WHERE health_state <> 'Unknown' AND hour("timestamp") = 23 AND minute("timestamp") >= 5 AND minute("timestamp") <= 55
+  WHERE health_state <> 'Unknown' AND hour("timestamp") = 23 AND minute("timestamp") BETWEEN 5 AND 55
   GROUP BY ALL)"""
 _DWELL = """
 dwelt AS (
   SELECT environment, bot_id, event_date,
          CAST(CAST(snapshot_time AS DATE) - CAST(entry_time AS DATE) AS INTEGER) AS dwell_days
-  FROM snapshot WHERE snapshot_time >= entry_time)"""
+  FROM snapshot WHERE entry_time <= snapshot_time)"""
 _REINDUCT = f"""
 weeks AS (
   SELECT site_id, botnumber, CAST(date_trunc('week', CAST("timestamp" AS DATE)) AS TIMESTAMP) AS week_start,
@@ -263,14 +263,15 @@ ORACLE = {
     "bounded_counts": _with(
         removed_cte(),
         errors_cte(),
-        select=f"""SELECT site_id, bot_id, event_ts, {", ".join(f"CAST({_count(c, p)} AS BIGINT) AS {n}" for n, c, p in WIDE.counts)}
-        FROM removed e""",
+        select=f"""SELECT site_id, bot_id, event_ts, {", ".join(f"CAST(copies * {_count(c, p)} AS BIGINT) AS {n}" for n, c, p in WIDE.counts)}
+        FROM (SELECT site_id, bot_id, event_ts, count(*) AS copies FROM removed GROUP BY ALL) e""",
     ),
     "disconnect_issue": _with(
         removed_cte(),
         lost_cte(WIDE),
         select=f"""SELECT site_id, bot_id, event_ts,
-        {_exists("lost", _SAME, "last_lost", WIDE.disconnect)} AS has_disconnect_issue FROM removed e""",
+        {_exists("lost", _SAME, "last_lost", WIDE.disconnect)} AS has_disconnect_issue
+        FROM (SELECT DISTINCT site_id, bot_id, event_ts FROM removed) e""",
     ),
     "red_flags": _with(flags_cte(), select="SELECT * FROM red"),
     "pattern_hits": """SELECT DISTINCT doc_id, lang FROM documents
@@ -310,7 +311,7 @@ ORACLE = {
         _SNAPSHOT,
         _DWELL,
         select=f"""SELECT environment, event_date, count(DISTINCT bot_id) AS unique_bot_count, avg(dwell_days) AS avg_dwell_days
-        FROM dwelt WHERE event_date >= DATE '2024-01-30' - {DAYS} AND event_date <= DATE '2024-01-30' GROUP BY ALL""",
+        FROM dwelt WHERE event_date BETWEEN DATE '2024-01-30' - {DAYS} AND DATE '2024-01-30' GROUP BY ALL""",
     ),
     "weekly_reinduct": f"WITH {ROLES}, {_REINDUCT}",
     "all_sites": f"WITH {ROLES}, {_REINDUCT}".replace(
@@ -328,9 +329,15 @@ ORACLE = {
         select="""SELECT r.*, r."timestamp" AT TIME ZONE 'UTC' AT TIME ZONE s.tz AS site_local_ts
         FROM removals r LEFT JOIN sites s ON s.site_short = r.site_id"""
     ),
-    "write_by_site": compliance_sql(
+    "write_by_site": compliance_sql(WIDE),
+    "ordered_report": compliance_sql(
         WIDE,
-        select="""SELECT site_id, count(*) AS removals, CAST(sum(valid_removal) AS BIGINT) AS valid_removals
-        FROM report GROUP BY ALL""",
+        select="""SELECT row_number() OVER (ORDER BY removed_timestamp_est, site_id, botnumber NULLS FIRST) - 1 AS place,
+          removed_timestamp_est, site_id, botnumber FROM report""",
     ),
 }
+ORACLE["write_dwell"] = ORACLE["dwell_summary"]
+ORACLE["ordered_dwell"] = f"""SELECT row_number() OVER (ORDER BY event_date DESC) - 1 AS place, event_date
+FROM ({ORACLE["dwell_summary"]})"""
+ORACLE["ordered_reinduct"] = f"""SELECT row_number() OVER (ORDER BY week_start DESC, botnumber NULLS LAST) - 1 AS place, week_start, botnumber
+FROM ({ORACLE["weekly_reinduct"]})"""

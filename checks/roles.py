@@ -55,9 +55,12 @@ def placed(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
 
 
 def removals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return placed(spark, sf_dir, "error", "signup").select(
+    """One removal in 17 is there three times; one in 19 has no machine."""
+    copies = F.when(F.col("k") % 17 == 0, 3).otherwise(1)
+    rows = placed(spark, sf_dir, "error", "signup").withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    return rows.select(
         F.col("site").alias("site_id"),
-        F.col("user_id").alias("botnumber"),
+        F.when(F.col("k") % 19 != 0, F.col("user_id")).alias("botnumber"),
         F.col("ts").alias("timestamp"),
         F.when(F.col("event_type") == "error", "Removed").otherwise("Added").alias("action"),
     )
@@ -125,7 +128,7 @@ def bot_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 8 == 2, "POWER FAULT on bus")
         .when(k % 8 == 3, F.lit(None)).otherwise("nothing").alias("issue_classifications"),
         (k / 4 + 40).alias("pull_score"),
-        F.when(k % 6 != 5, k * 3.0).alias("tcts_daily_avg"),
+        F.when(k % 6 != 5, 150 - k * 1.5).alias("tcts_daily_avg"),
     )
 
 
@@ -161,9 +164,10 @@ ev AS (
   SELECT e.*, CAST(regexp_extract(e.props, '"k": *([0-9]+)', 1) AS INTEGER) AS k, n.n_name AS site
   FROM events e JOIN nation n ON n.n_nationkey = e.user_id % 25),
 removals AS (
-  SELECT site AS site_id, user_id AS botnumber, ts AS "timestamp",
+  SELECT site AS site_id, CASE WHEN k % 19 <> 0 THEN user_id END AS botnumber, ts AS "timestamp",
          CASE event_type WHEN 'error' THEN 'Removed' ELSE 'Added' END AS action
-  FROM ev WHERE event_type IN ('error', 'signup')),
+  FROM ev, range(3) AS copies(copy)
+  WHERE event_type IN ('error', 'signup') AND (copy = 0 OR k % 17 = 0)),
 bot_health AS (
   SELECT 'env-' || (user_id % 3) AS environment, user_id AS bot_id, ts AS "timestamp",
          ts - to_hours(k - 5) AS bot_location_changed,
@@ -201,7 +205,7 @@ bot_recs AS (
               WHEN 1 THEN 'x Drive Fault Alarm --> {CAN1Bus Error: 7}, more'
               WHEN 2 THEN 'POWER FAULT on bus' WHEN 3 THEN NULL ELSE 'nothing' END AS issue_classifications,
          k / 4.0 + 40 AS pull_score,
-         CASE WHEN k % 6 <> 5 THEN CAST(k * 3 AS DOUBLE) END AS tcts_daily_avg
+         CASE WHEN k % 6 <> 5 THEN CAST(150 - k * 1.5 AS DOUBLE) END AS tcts_daily_avg
   FROM ev WHERE event_type = 'purchase'),
 diagnostic_message AS (
   SELECT user_id AS bot_id, ts AS datetime,

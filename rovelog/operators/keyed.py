@@ -23,12 +23,16 @@ def collapse(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(n.alias(COPIES))
 
 
-def expand(df: DataFrame, number: str = "copy_number") -> DataFrame:
+def expand(df: DataFrame, number: str = "copy_number", most: int | None = None) -> DataFrame:
     """Undo :func:`collapse`; ``number`` counts the copies of a row from 1.
 
     Copies are made in blocks and the blocks are dealt out first, so a row that
-    stands for a billion copies neither builds one array nor loads one task.
+    stands for a billion copies neither builds one array nor loads one task.  A caller
+    that knows that no row stands for more than ``most`` copies saves this shuffle
+    where they fit one block.
     """
+    if most is not None and most <= _COPY_BLOCK:
+        return df.withColumn(number, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(COPIES)))).drop(COPIES)
     blocks = df.withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.expr(f"({COPIES} - 1) div {_COPY_BLOCK}")))
     ).repartition(*[F.col(c) for c in _spread_columns(df)], F.col("_block"))
@@ -58,8 +62,8 @@ def join_spread(
 
 
 def is_small(df: DataFrame, max_rows: int = 200_000) -> bool:
-    """Counts, but never past the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Counts; only one number a partition is sent on."""
+    return df.count() <= max_rows
 
 
 def lookup(

@@ -233,7 +233,8 @@ def disconnect_last_times(
     thresholds: Sequence[Threshold],
 ) -> DataFrame:
     """Last lost time per key and type, over all history, of the types past their threshold."""
-    totals = disconnects.groupBy(*keys, kind).agg(
+    kinds = sorted({t.kind for t in thresholds})
+    totals = disconnects.where(F.col(kind).isin(kinds)).groupBy(*keys, kind).agg(
         F.count(F.lit(1)).alias("_events"),
         F.sum(duration).alias("_duration"),
         F.max(lost).alias("last_lost_time"),

@@ -69,7 +69,10 @@ def classified_errors(
     bound reaches the file scan.
     """
     since = wall(as_of) - span(timedelta(days=error_days))
-    level = F.col("level").cast("decimal(38,0)") if strict else F.col("level").try_cast("decimal(38,0)")
+    level = F.col("level").try_cast("decimal(38,0)")
+    if strict:
+        wrong = F.raise_error(F.concat(F.lit("level is not a number: "), F.col("level")))
+        level = F.when(F.col("level").isNotNull() & level.isNull(), wrong.cast("decimal(38,0)")).otherwise(level)
     local = to_zone(F.col("datetime"))
     nearest, farthest = EASTERN_BEHIND
     usable = errors.where(

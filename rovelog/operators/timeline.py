@@ -30,10 +30,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rovelog.functions.timeops import floor_to, seconds
-from rovelog.operators.keyed import all_known, is_small
+from rovelog.operators.keyed import all_known
 
 CELL = 300  # seconds
-FEW_CELLS = 100_000  # a dozen steps each: some 80 MB when broadcast
+# rows of (key, step) that are broadcast to thin out a source, some 60 bytes each; a cell with
+# events has STEPS of them at most
+BROADCAST_ROWS = 1_000_000
+STEPS = 16
 
 # order of rows that share a time: carried state, rows that count at their own
 # time, events, rows that count only later
@@ -57,7 +60,7 @@ class Reach:
     def step(self) -> int:
         """Seconds; about a twelfth of the period, so an event lists a dozen steps."""
         whole = int((self.length + self.behind[1] - self.behind[0]).total_seconds())
-        return -(-whole // (12 * CELL)) * CELL
+        return max(1, -(-whole // (12 * CELL))) * CELL
 
     @property
     def start(self) -> Column:
@@ -93,6 +96,11 @@ class Feature:
     columns: dict[str, Column]
 
 
+def fit_broadcast(cells: int, rows: int | None = None) -> bool:
+    """Whether the steps of that many cells are within the bound for a broadcast."""
+    return cells * STEPS <= (BROADCAST_ROWS if rows is None else rows)
+
+
 def cell_of(ts: Column, width: int = CELL) -> Column:
     return floor_to(seconds(ts), width)
 
@@ -130,8 +138,12 @@ def enrich(
     latest = sorted({name for track in tracks for name in track.latest})
     totals = sorted({name for track in tracks for name in track.total})
 
-    if few is None:
-        few = all(t.whole for t in tracks) or is_small(cells, FEW_CELLS)
+    history = any(t.reach is None and not t.whole for t in tracks)
+    first = last = None
+    if history or few is None and not all(t.whole for t in tracks):
+        found = cells.agg(F.count(F.lit(1)), F.min("_cell"), F.max("_cell")).first()
+        first, last = found[1], found[2]
+        few = fit_broadcast(found[0]) if few is None else few
 
     before, near = [], []
     for track in tracks:
@@ -144,7 +156,7 @@ def enrich(
             seen = within_reach(rows, partial(_combined, track=track, by=by), cells, keys, track.reach, few)
         else:
             seen = matching(rows, partial(_combined, track=track, by=by), cells, [*keys, "_cell"], few)
-            before.append(_combined(rows, track, [*keys, "_cell"]))
+            before.append(_history(rows, track, keys, first, last))
         if track.whole or track.reach is not None:
             before.append(_combined(seen, track, [*keys, "_cell"]))
         near.append(seen)
@@ -169,6 +181,17 @@ def enrich(
     return seen.select(*events.columns, *[c.alias(name) for name, c in results.items()])
 
 
+def _history(rows: DataFrame, track: Track, keys: list[str], first: int | None, last: int | None) -> DataFrame:
+    """One row per key and cell, all that came before the ``first`` cell with an event as one.
+
+    Rows after the ``last`` one are of no use.  So a key's list follows the period of the
+    events, not all history.
+    """
+    if first is not None:
+        rows = rows.where(F.col("_cell") <= last).withColumn("_cell", F.greatest("_cell", F.lit(first - CELL)))
+    return _combined(rows, track, [*keys, "_cell"])
+
+
 def _positioned(track: Track, keys: list[str]) -> DataFrame:
     side = F.lit(_AT) if track.after is None else F.when(track.after, _AFTER).otherwise(_AT)
     columns = {"_at": track.at, "_cell": cell_of(track.at), "_side": side, **track.latest, **track.total}
@@ -227,13 +250,11 @@ def matching(
 ) -> DataFrame:
     """Combined rows of the ``wanted`` (distinct) keys.
 
-    Few keys are broadcast and thin out the rows before anything else is done.  Many
-    keys have to be met by a shuffle, and that takes the combined rows, so that a
-    million copies of a row do not all travel to one task.
+    Few keys are broadcast, many are met by a shuffle.  Either way rows are thinned out
+    before they are combined: combining goes by the shuffled columns and more, so it
+    needs no further shuffle and sorts only what some event can see.
     """
-    if few:
-        return combine(rows.join(F.broadcast(wanted), on, "left_semi"))
-    return combine(rows).join(wanted, on)
+    return combine(rows.join(F.broadcast(wanted) if few else wanted, on, "left_semi"))
 
 
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:

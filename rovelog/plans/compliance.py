@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -32,9 +32,9 @@ from rovelog.operators.rules import (
 )
 from rovelog.operators.sites import short_site_codes
 from rovelog.operators.stale import stale_group
-from rovelog.operators.timeline import FEW_CELLS, cell_of, enrich
+from rovelog.operators.timeline import BROADCAST_ROWS, cell_of, enrich, fit_broadcast
 from rovelog.sources.sinks import written
-from rovelog.sources.tables import FleetTables
+from rovelog.sources.tables import DAY_PART, FleetTables
 
 SITE, BOT, TS = "site_id", "bot_id", "event_ts"
 FLAGS = ("case_handling_disabled", "system_flagged", "drive_system_not_ok")
@@ -42,7 +42,13 @@ FLAGS = ("case_handling_disabled", "system_flagged", "drive_system_not_ok")
 
 @dataclass(frozen=True)
 class Settings:
-    """Periods and thresholds; the defaults are those of the report."""
+    """Periods and thresholds; the defaults are those of the report.
+
+    ``broadcast_rows`` bounds what a source is thinned out with before its shuffle;
+    with more (machine, step) rows than that the steps are shuffled too.  ``site_scoped``
+    also matches health, red flags and messages by site, for fleets whose machine
+    numbers are not unique; these sources then need a ``site_id`` with short codes.
+    """
 
     gap_minutes: int = 30
     health: timedelta = timedelta(hours=1)
@@ -67,8 +73,11 @@ class Settings:
     max_tcts: float = 100
     min_wrangles: int = 3
     min_suspects: int = 20
+    broadcast_rows: int = BROADCAST_ROWS
+    site_scoped: bool = False
 
 
+# The columns of the report.
 COLUMNS = (
     SITE,
     "removed_timestamp_est",
@@ -94,6 +103,14 @@ COLUMNS = (
 )
 
 
+def within_days(rows: DataFrame, first: Column, last: Column | None) -> DataFrame:
+    """Leaves out the day folders before ``first`` and after ``last``, where a source has them."""
+    if DAY_PART not in rows.columns:
+        return rows
+    rows = rows.where(F.col(DAY_PART) >= F.to_date(first))
+    return (rows if last is None else rows.where(F.col(DAY_PART) <= F.to_date(last))).drop(DAY_PART)
+
+
 def removal_events(
     removals: DataFrame, as_of: datetime | str, days: int, until: datetime | str | None = None
 ) -> DataFrame:
@@ -117,22 +134,22 @@ def compliance(
 ) -> DataFrame:
     """One row per removal (and per tied score record) with features and verdict.
 
-    Health, red flags and diagnostic messages are matched by machine only, errors,
-    disconnects and scores by site and machine, as in the report.
+    Health, red flags and diagnostic messages are matched by machine only (see
+    ``Settings.site_scoped``), errors, disconnects and scores by site and machine, as in
+    the report.  ``sites`` (short codes) limits every source that knows its site.  The
+    call itself writes two steps to the shared folder: the removals, and these with what
+    was found by site and machine; and the scores that matched one.
     """
-    removals = tables.removals
+    scored = tables.bot_recs
     if sites is not None:
-        removals = removals.where(F.col(SITE).isin(list(sites)))
-    events = written(removal_events(removals, as_of, days, until))
+        tables, scored = of_sites(tables, sites)
+    events = written(removal_events(tables.removals, as_of, days, until))
     start = wall(as_of) - span(timedelta(days=days))
 
     by_site = [SITE, BOT]
-    few_sites, few = is_small(tables.sites), is_small(events, FEW_CELLS)
+    few_sites, few = is_small(tables.sites), fit_broadcast(events.count(), settings.broadcast_rows)
     recs = short_site_codes(
-        tables.bot_recs, tables.sites, cell_of(F.col("last_updated")), small=few_sites
-    )
-    scores = written(
-        record_variants(recs, by_site, "last_updated", "_rec_at", ["pull_score", "tcts_daily_avg"], "_tied")
+        scored, tables.sites, cell_of(F.col("last_updated")), small=few_sites
     )
     errors = short_site_codes(
         classified_errors(tables.bot_errors, as_of, error_days=settings.error_days, strict=settings.strict_levels),
@@ -147,40 +164,69 @@ def compliance(
         TS,
         [
             previous_event(events, TS, "_prev"),
-            latest_time_before(scores, "_rec_at", "_rec_at", EASTERN),
+            latest_time_before(recs, "last_updated", "_rec_at", EASTERN),
+            error_feature(errors, settings),
+            disconnect_feature(tables.bot_disconnect, settings),
         ],
         few=few,
     )
-    rows = _with_sessions(written(rows), scores, settings.gap_minutes)
+    rows = written(rows)
+    scores = written(matched_scores(rows, recs, few))
+    most = _most_copies(events, scores)
+    rows = _with_sessions(rows, scores, settings.gap_minutes)
 
+    by_bot = by_site if settings.site_scoped else [BOT]
     rows = enrich(
         rows,
-        [BOT],
-        TS,
-        [health_feature(tables.bot_health, start, settings, until), red_flag_feature(tables.bot_recs, start, settings)],
-        times=events,
-        few=few,
-    )
-    rows = enrich(
-        rows,
-        by_site,
+        by_bot,
         TS,
-        [error_feature(errors, settings), disconnect_feature(tables.bot_disconnect, settings)],
+        [
+            health_feature(tables.bot_health, start, settings, until),
+            red_flag_feature(recs if settings.site_scoped else tables.bot_recs, start, settings, by_bot),
+        ],
         times=events,
         few=few,
     )
-    stale = stale_cases(events, tables.diagnostic_message, start, settings, few, until)
-    rows = rows.join(stale, [BOT, TS], "left")
+    stale = stale_cases(events, tables.diagnostic_message, start, settings, few, until, by_bot)
+    rows = rows.join(stale, [*by_bot, TS], "left")
 
     rows = attach_records(rows, scores, by_site, TS, "_rec_at")
     rows = _assembled(rows, settings).withColumn(COPIES, F.col(COPIES) * F.coalesce("_tied", F.lit(1)))
-    rows = expand(rows.select(TS, COPIES, *COLUMNS))
+    rows = expand(rows.select(TS, COPIES, *COLUMNS), most=most)
     if ordered:
         # the copy number lets a range sort split even one hot time
         rows = rows.orderBy(F.col(TS).asc_nulls_last(), SITE, "botnumber", "copy_number")
     return rows.select(*COLUMNS)
 
 
+def of_sites(tables: FleetTables, sites: Sequence[str]) -> tuple[FleetTables, DataFrame]:
+    """``tables`` with the rows of some sites, given by short code, and the scores of these sites.
+
+    Names reach the scans as literals, one or two for each site asked for.  In the tables
+    the scores keep all sites, because red flags are matched by machine.
+    """
+    codes = list(sites)
+    dimension = tables.sites.where(F.col("site_short").isin(codes))
+    names = [row["site_full"] for row in dimension.select("site_full").distinct().collect()]
+    short = {"removals": SITE, "bot_disconnect": "Site Id"}
+    kept = {name: getattr(tables, name).where(F.col(column).isin(codes)) for name, column in short.items()}
+    kept["bot_errors"] = tables.bot_errors.where(F.col(SITE).isin(names))
+    return replace(tables, sites=dimension, **kept), tables.bot_recs.where(F.col(SITE).isin(names))
+
+
+def matched_scores(rows: DataFrame, recs: DataFrame, few: bool) -> DataFrame:
+    """The different scores at the times that matched an event, with their numbers of copies."""
+    times = rows.where(F.col("_rec_at").isNotNull()).select(SITE, BOT, F.col("_rec_at").alias("last_updated")).distinct()
+    wanted = recs.join(F.broadcast(times) if few else times, [SITE, BOT, "last_updated"], "left_semi")
+    return record_variants(wanted, [SITE, BOT], "last_updated", "_rec_at", ["pull_score", "tcts_daily_avg"], "_tied")
+
+
+def _most_copies(events: DataFrame, scores: DataFrame) -> int:
+    """A bound on the rows that one row of the assembled report stands for."""
+    copies, tied = events.agg(F.max(COPIES)).first()[0], scores.agg(F.max("_tied")).first()[0]
+    return (copies or 1) * (tied or 1)
+
+
 def _with_sessions(rows: DataFrame, scores: DataFrame, gap_minutes: int) -> DataFrame:
     """Adds the number of new events of the machine.
 
@@ -199,9 +245,12 @@ def health_feature(health: DataFrame, start: Column, settings: Settings, until:
 
     Eastern time is behind UTC, so the raw bounds cannot drop a matching row.
     """
-    rows = health.where(F.col("timestamp") >= start - span(settings.health))
+    first, last = start - span(settings.health), None
+    rows = health.where(F.col("timestamp") >= first)
     if until is not None:
-        rows = rows.where(F.col("timestamp") <= wall(until) + span(timedelta(hours=6)))
+        last = wall(until) + span(timedelta(hours=6))
+        rows = rows.where(F.col("timestamp") <= last)
+    rows = within_days(rows, first, last)
     return states_before(
         rows,
         "timestamp",
@@ -216,14 +265,14 @@ def health_feature(health: DataFrame, start: Column, settings: Settings, until:
     )
 
 
-def red_flag_feature(recs: DataFrame, start: Column, settings: Settings):
+def red_flag_feature(recs: DataFrame, start: Column, settings: Settings, keys: Sequence[str] = (BOT,)):
     hits = pattern_hits(
         recs.where(F.col("last_updated") >= start - span(settings.red_flag)).withColumn(
             "flagged_at", to_zone(F.col("last_updated"))
         ),
         "issue_classifications",
         settings.red_flag_patterns,
-        [BOT, "flagged_at"],
+        [*keys, "flagged_at"],
     )
     return seen_before(hits, "flagged_at", TS, settings.red_flag, "red_flag")
 
@@ -257,14 +306,16 @@ def stale_cases(
     settings: Settings,
     few: bool | None = None,
     until: datetime | str | None = None,
+    keys: Sequence[str] = (BOT,),
 ) -> DataFrame:
     rows = messages.where(F.col("datetime") >= start - span(settings.stale))
     if until is not None:
         rows = rows.where(F.col("datetime") <= wall(until))
+    rows = within_days(rows, start - span(settings.stale), None if until is None else wall(until))
     found = stale_group(
         events,
         rows.withColumnRenamed("casegroupid", "stale_group"),
-        [BOT],
+        list(keys),
         TS,
         "datetime",
         "stale_group",
@@ -273,7 +324,7 @@ def stale_cases(
         with_span=False,
         few=few,
     )
-    return found.select(BOT, TS, "stale_group")
+    return found.select(*keys, TS, "stale_group")
 
 
 def _assembled(rows: DataFrame, settings: Settings) -> DataFrame:

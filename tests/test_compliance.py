@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 from datetime import timedelta
 
 import duckdb
@@ -207,11 +208,12 @@ def duck_tables(data):
 def test_against_sql_on_random_fleets(spark, monkeypatch, seed, session_zone, few):
     """With the event cells broadcast (few) and met by shuffles (many)."""
     if not few:
-        monkeypatch.setattr("rovelog.plans.compliance.FEW_CELLS", 0)
+        monkeypatch.setattr("rovelog.operators.timeline.BROADCAST_ROWS", 0)
+    settings = replace(SETTINGS, broadcast_rows=1_000_000 if few else 0)
     data = random_fleet(seed)
     spark.conf.set("spark.sql.session.timeZone", session_zone)
     try:
-        found = compliance(FleetTables(**{n: frame(spark, n, data[n]) for n in SCHEMAS}), "2024-11-05 00:00:00", 13, SETTINGS)
+        found = compliance(FleetTables(**{n: frame(spark, n, data[n]) for n in SCHEMAS}), "2024-11-05 00:00:00", 13, settings)
         reasons = {r[0] for r in found.select("valid_removal_reason").distinct().collect()}
         sql = compliance_sql(SETTINGS, "2024-11-05 00:00:00", 13, roles=None)
         assert difference(found, duck_tables(data).sql(sql)) == ""

@@ -87,7 +87,7 @@ def test_repeated_hour(spark, zone):
 def test_cell_borders(spark, monkeypatch, few):
     """Rows on both sides of cell borders, events at and around them, against plain comparison."""
     if not few:
-        monkeypatch.setattr("rovelog.operators.timeline.FEW_CELLS", 0)
+        monkeypatch.setattr("rovelog.operators.timeline.BROADCAST_ROWS", 0)
     times = [f"10 {h:02d}:{m:02d}:{s:02d}" for h in (8, 9) for m in (0, 4, 5, 6, 10, 55) for s in (0, 1, 59)]
     samples = [(x, f"s{i:03d}", None, i % 2) for i, x in enumerate(times)]
     ats = [f"10 {h:02d}:{m:02d}:{s:02d}" for h in (8, 9, 10) for m in (0, 5, 9) for s in (0, 30)]

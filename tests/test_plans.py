@@ -1,13 +1,15 @@
 """What the plans must look like to hold at scale."""
 
 import random
-from datetime import timedelta
+from datetime import date, timedelta
 
 import pytest
 from conftest import SITES, frame, t
 from pyspark.sql import functions as F
 
 from rovelog.operators import lookback as L
+from rovelog.operators import timeline
+from rovelog.operators.dwell import dwell_summary
 from rovelog.plans.compliance import Settings, compliance
 from rovelog.sources.sinks import shared_folder
 from rovelog.sources.tables import SCHEMAS, load_fleet
@@ -56,8 +58,10 @@ def test_health_scan_is_bounded_and_pruned(tables):
         assert "environment" not in scan and "bot_location_changed" not in scan
 
 
-def test_error_and_message_scans_are_bounded(tables):
+def test_error_and_message_scans_are_bounded(tables, monkeypatch):
+    monkeypatch.setattr("rovelog.plans.compliance.written", lambda df: df)
     plan = explained(compliance(tables, "2024-01-15 12:00:00", settings=Settings(error_days=10)))
+    assert scans(plan, "bot_errors")
     assert all("GreaterThan(datetime,2024-01-05T16:00" in s for s in scans(plan, "bot_errors"))
     assert all("GreaterThanOrEqual(datetime,2024-01-02T10:00" in s for s in scans(plan, "diagnostic_message"))
 
@@ -92,3 +96,61 @@ def test_window_passes_work_on_cells_not_on_whole_keys(tables):
         spec = [line for line in w.split("\n") if line.startswith("Arguments:")][0]
         # _sum: totals per key and cell
         assert "_cell" in spec or "_minute" in spec or "sum(_sum" in spec, spec
+
+
+def test_the_list_of_a_key_follows_the_period_not_its_history(spark):
+    """200,000 old rows of one key reach the window by key as one row, and rows after the last event not at all."""
+    first, last = 5_000 * timeline.CELL, 5_010 * timeline.CELL
+    old = spark.range(200_000).select((F.col("id") % 4_990 * timeline.CELL).alias("_cell"), F.col("id").alias("v"))
+    late = spark.range(500).select((F.col("id") * timeline.CELL + last).alias("_cell"), F.col("id").alias("v"))
+    rows = old.union(late).withColumn("k", F.lit(1))
+    track = timeline.Track(rows, F.lit(None), latest={"v": F.col("v")})
+    found = timeline._history(rows, track, ["k"], first, last).collect()
+    assert [(r["_cell"], r["v"]) for r in found if r["_cell"] < first] == [(first - timeline.CELL, 199_999)]
+    assert len(found) <= (last - first) // timeline.CELL + 2
+
+
+def test_sites_reach_every_scan_that_knows_its_site(tables, monkeypatch):
+    monkeypatch.setattr("rovelog.plans.compliance.written", lambda df: df)
+    plan = explained(compliance(tables, "2024-01-15 12:00:00", sites=["NO"]))
+    assert scans(plan, "bot_errors") and all("north-one" in s for s in scans(plan, "bot_errors"))
+    assert any("north-one" in s for s in scans(plan, "bot_recs"))
+    assert scans(plan, "bot_disconnect") and all("Site Id" in s and "NO" in s for s in scans(plan, "bot_disconnect"))
+    assert not any("north-one" in s for s in scans(explained(compliance(tables, "2024-01-15 12:00:00")), "bot_errors"))
+
+
+def test_dwell_reads_the_snapshot_minutes_and_disconnects_their_kinds(spark, tables):
+    plan = explained(dwell_summary(tables.bot_health, date(2024, 1, 10), 2))
+    for day in ("08", "09", "10"):
+        assert any(f"2024-01-{day}T23:05" in s and f"2024-01-{day}T23:56" in s for s in scans(plan, "bot_health"))
+    lost = tables.bot_disconnect.select(
+        F.col("Bot Id").alias("bot_id"), F.col("Disconnect Type").alias("kind"), F.col("Disconnect Duration").alias("duration"),
+        F.col("Lost Time").alias("lost"),
+    )
+    plan = explained(L.disconnect_last_times(lost, ["bot_id"], "kind", "duration", "lost", [L.Threshold("Flicker", 5)]))
+    assert any("Flicker" in s.split("PushedFilters")[-1] for s in scans(plan, "bot_disconnect"))
+
+
+def test_many_cells_shuffle_telemetry_once(spark, tables, monkeypatch):
+    monkeypatch.setattr(timeline, "BROADCAST_ROWS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        events = tables.removals.select(F.col("botnumber").alias("bot_id"), F.col("timestamp").alias("event_ts"))
+        health = tables.bot_health.select("bot_id", "timestamp", "system_flagged")
+        track = timeline.Track(
+            health, F.col("timestamp"), latest={"f": F.col("system_flagged")}, reach=timeline.Reach(F.col("timestamp"), timedelta(hours=1))
+        )
+        cells = events.select("bot_id", timeline.cell_of(F.col("event_ts")).alias("_cell")).distinct()
+        rows = timeline._positioned(track, ["bot_id"])
+        by = ["bot_id", "_cell", "_at", "_side"]
+        seen = timeline.within_reach(rows, lambda r: timeline._combined(r, track, by), cells, ["bot_id"], track.reach, False)
+        tree = explained(seen).split("\n\n")[0]
+        scan = next(i for i, line in enumerate(tree.split("\n")) if "Scan parquet" in line)
+        above = tree.split("\n")[:scan]
+        assert "SortAggregate" not in tree
+        # one exchange between the scan of telemetry and the result; the other side has its own
+        left = [line for line in above if "Exchange" in line]
+        assert len(left) <= 1, tree
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -53,7 +53,7 @@ def test_error_categories(spark):
 
 def test_bad_level_raises_when_strict(spark):
     bad = frame(spark, "bot_errors", [error(("alarm", None, None, None, None, None, "abc"))])
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="level is not a number"):
         classified_errors(bad, AS_OF, strict=True).collect()
 
 
@@ -126,3 +126,16 @@ def test_first_match_goes_on_past_null_conditions(spark):
     df = spark.createDataFrame([(None,), (1,)], "a int")
     rules = [("one", F.col("a") == 1), ("rest", F.lit(True))]
     assert rows(df.select(first_match(rules).alias("r"))) == [("one",), ("rest",)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_levels_raise_in_either_mode(spark, ansi):
+    errors = frame(spark, "bot_errors", [{"bot_id": 1, "datetime": t("14 10:00"), "level": "abc"}])
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert classified_errors(errors, "2024-01-15 00:00:00").count() == 0
+        with pytest.raises(Exception, match="level is not a number: abc"):
+            classified_errors(errors, "2024-01-15 00:00:00", strict=True).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
