@@ -6,6 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 from conftest import SITES, fleet, frame, rows, t
+from pyspark.sql import functions as F
 
 from checks.compare import difference
 from checks.oracle import compliance_sql
@@ -232,3 +233,21 @@ def test_all_sites_equal_the_sites_one_by_one(spark):
     a = together.astype(str).sort_values(key).reset_index(drop=True)
     b = single.astype(str).sort_values(key).reset_index(drop=True)
     pd.testing.assert_frame_equal(a, b)
+
+
+def test_machine_numbers_shared_by_sites(spark):
+    """Health, messages and red flags of another site count unless ``site_scoped``."""
+    at = [{"site_id": s, "botnumber": 1, "timestamp": R, "action": "Removed"} for s in ("NO", "SO")]
+    tables = fleet(
+        spark, removals=at, bot_health=[health(1, bot_state="Disabled")],
+        bot_recs=[{"bot_id": 1, "site_id": "south-two", "last_updated": R + timedelta(hours=5), "issue_classifications": "power fault"}],
+    )
+    tables = replace(
+        tables,
+        bot_health=tables.bot_health.withColumn("site_id", F.lit("SO")),
+        diagnostic_message=tables.diagnostic_message.withColumn("site_id", F.lit("SO")),
+    )
+    mixed = compliance(tables, AS_OF)
+    assert rows(mixed, "site_id", "bot_state", "red_flag") == [("NO", "Disabled", 1), ("SO", "Disabled", 1)]
+    apart = compliance(tables, AS_OF, settings=Settings(site_scoped=True))
+    assert rows(apart, "site_id", "bot_state", "red_flag") == [("NO", "UNKNOWN", 0), ("SO", "Disabled", 1)]
