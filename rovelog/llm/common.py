@@ -60,6 +60,14 @@ def dropped(df: DataFrame) -> None:
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores in front until none of them is a column of ``df``."""
+    taken, front = {c.lower() for c in df.columns}, ""
+    while any(f"{front}{name}".lower() in taken for name in names):
+        front += "_"
+    return [f"{front}{name}" for name in names]
+
+
 #: Rows that go to a Python worker at once where the session leaves Spark's default: texts are long.
 BATCH_ROWS = "1000"
 

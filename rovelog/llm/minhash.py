@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rovelog.llm.common import block_tasks, join_counted, small_batches, stored, table
+from rovelog.llm.common import block_tasks, join_counted, small_batches, stored, table, unused
 from rovelog.llm.linking import linked_groups
 
 COORDINATES, TREES, DEPTH, DEEPER, BRANCH = 128, 8, 4, 6, 0.25
@@ -312,17 +312,18 @@ def keep_one_of_each(docs: DataFrame, size: int, percent: int = 80) -> DataFrame
     first = found.groupBy("group").agg(F.min(order).alias("first"))
     judged = found.groupBy("group", "doc_id", "key").agg(F.count(F.lit(1)).alias("rows")).join(first, "group")
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
-    named = [F.col("doc_id").alias("_id"), F.col("key").alias("_key")]
+    id_, key, own, nth = unused(docs, "_id", "_key", "_word_key", "_nth")
+    named = [F.col("doc_id").alias(id_), F.col("key").alias(key)]
     lost = stored(judged.where(~stays).select(*named))
     repeated = stored(judged.where(stays & (F.col("rows") > 1)).select(*named))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_word_key") == F.col("_key"))
-    kept = join_counted(docs.withColumn("_word_key", word_key(F.col("text"))), lost, same, "left_anti", 48)
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(key))
+    kept = join_counted(docs.withColumn(own, word_key(F.col("text"))), lost, same, "left_anti", 48)
     if not repeated.isEmpty():
         once = join_counted(kept, repeated, same, "left_anti", 48)
         again = join_counted(kept, repeated, same, "left_semi", 48)
-        nth = F.row_number().over(Window.partitionBy("doc_id", "_word_key").orderBy(F.lit(1)))
-        kept = once.unionByName(again.withColumn("_nth", nth).where("_nth = 1").drop("_nth"))
-    return kept.drop("_word_key")
+        place = F.row_number().over(Window.partitionBy("doc_id", own).orderBy(F.lit(1)))
+        kept = once.unionByName(again.withColumn(nth, place).where(F.col(nth) == 1).drop(nth))
+    return kept.drop(own)
 
 
 def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,7 +170,8 @@ def filter_urls(urls: DataFrame, url: str = "url", rules: Sequence[Rule] = RULES
     The verdict is that of the longest rule that fits; else ``allow`` if the language-model ratio
     reaches the calibrated threshold, else ``block``.  ``score`` is that ratio above the threshold.
     A null url is judged as the empty text.  Without any labelled url all ratios are 0 and urls
-    without a rule are allowed.  Columns of the same names in ``urls`` are replaced.
+    without a rule are allowed.  Columns of the same names in ``urls`` are replaced, and those
+    whose names are these with an underscore in front are dropped.
     """
     spark = urls.sparkSession
     spread = with_rules(urls.select(F.col(url).alias("_url")), rules)

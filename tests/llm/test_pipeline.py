@@ -63,7 +63,7 @@ def test_run_is_the_last_stage(spark):
 
 
 def test_stages_take_odd_documents(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, _key string, score string"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _key string, dropped_lines string"
     rows = [(1, None, None, None, None, "x", "y"), (None, "", "en", "s", 0, "x", "y"), (2, "word " * 30_000, "en", "s", 1, None, None),
             (2, "word " * 30_000, "en", "s", 1, None, None)]
     for data in (rows, []):
