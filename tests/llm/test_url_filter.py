@@ -79,3 +79,64 @@ def test_urls_without_a_rule_follow_the_ruled_ones(spark):
     asked = ["http://h7.org/news/7", "http://h8.org/fr/win-8"]
     found = U.filter_urls(spark.createDataFrame([(u,) for u in rows + asked], "url string"))
     assert [{r["url"]: r["verdict"] for r in found.collect()}[u] for u in asked] == ["allow", "block"]
+
+
+def urls_with_ids(n, seed=1):
+    """Urls of two disjoint word lists, with 20 random characters each: half of each kind has a rule."""
+    draw = np.random.default_rng(seed)
+    words = {ok: ["".join(draw.choice(list("abcdefghijklmnop"), 6)) for _ in range(30)] for ok in (True, False)}
+    rows = []
+    for i in range(4 * n):
+        ok, ruled = i % 2 == 0, i % 4 < 2
+        host = ("com" if ok else "net") if ruled else "org"
+        id_ = "".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 20))
+        text = "-".join(draw.choice(words[ok], 3))
+        rows.append((f"http://x.{host}/{'' if not ruled or ok else 'fr/'}{id_}/{text}", ok, ruled))
+    return rows
+
+
+def test_many_different_contexts_do_not_blur_the_models(spark):
+    rows = urls_with_ids(5000)
+    found = U.filter_urls(spark.createDataFrame(rows, "url string, ok boolean, ruled boolean")).where("not ruled").toPandas()
+    ranks = found["score"].rank()
+    n = int(found["ok"].sum())
+    auc = (ranks[found["ok"]].sum() - n * (n + 1) / 2) / n / (len(found) - n)
+    assert auc > 0.99
+
+
+def test_scores_are_those_of_exact_counts_sent_or_joined(spark, monkeypatch):
+    rows = [r[0] for r in urls_with_ids(60)] + ["http://a.com/é\U0001F600", "http://b.org/é", ""] + ["http://c.org/often"] * 50
+    frame = spark.createDataFrame([(u,) for u in rows] + [(None,)], "url string")
+    sent = {r["url"]: r["score"] for r in U.filter_urls(frame).collect()}
+    monkeypatch.setattr(U, "HOT", 100)
+    joined = U.filter_urls(frame).collect()
+    assert len(joined) == len(rows) + 1
+    for r in joined:
+        assert r["score"] == pytest.approx(sent[r["url"]], abs=1e-9)
+    held = {r[0] for r in spark.createDataFrame([(u,) for u in rows], "u string").where("pmod(xxhash64(u), 5) = 0").collect()}
+    seen: list[dict] = [{}, {}]
+    pad = lambda u: "\x02" * (U.ORDER - 1) + u + "\x03"
+    for u in rows:
+        verdict = plain(u)[3]
+        if verdict and u not in held:
+            for at in range(U.ORDER - 1, len(pad(u))):
+                for k in range(U.ORDER):
+                    for gram in (pad(u)[at - k:at], pad(u)[at - k:at + 1] + "|"):
+                        of = seen[int(verdict == "allow")]
+                        of[k, gram] = of.get((k, gram), 0) + 1
+
+    def ratio(u):
+        total = 0.0
+        for at in range(U.ORDER - 1, len(pad(u))):
+            p = [1 / U.ALPHABET] * 2
+            for k in range(U.ORDER):
+                p = [
+                    (s.get((k, pad(u)[at - k:at + 1] + "|"), 0) + 2 * q) / (s.get((k, pad(u)[at - k:at]), 0) + 2)
+                    for s, q in zip(seen, p)
+                ]
+            total += math.log(p[1] / p[0])
+        return total / (len(u) + 1)
+
+    shift = sent[rows[0]] - ratio(rows[0])  # the threshold
+    for u in rows:
+        assert sent[u] == pytest.approx(ratio(u) + shift, abs=1e-9)
