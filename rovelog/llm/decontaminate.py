@@ -1,13 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of the words around them.
-
-The seeds of a test item are its word 3-grams that are rare for it: found in at most RARE times as
-many documents as its median 3-gram.  A benchmark passage that was itself copied into very many
-documents therefore keeps its seeds, while turns of phrase are left out.  Around each seed that a
-document shares with an item, the words of both are aligned locally; the score, divided by that of
-the whole item aligned with itself, tells a copy, an edited copy or a paraphrase from a chance hit.
-
-Documents are read twice, once to count and once to align, and never shuffled.  Items go to the
-tasks in blocks of bounded size; a larger benchmark takes more passes.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of the words around them.
+
+The seeds of a test item are all its word 3-grams.  How often a 3-gram is in the corpus says nothing
+of whether it belongs to a copy: an edited passage that was itself copied into very many documents
+makes just those 3-grams common that its copies kept.  So none is left out, and chance hits are
+settled by what they cost least: around each seed that a document shares with an item, the words
+that both have are counted, which bounds the score of any alignment.  What may reach LEAST is aligned
+locally; the score, divided by that of the whole item aligned with itself, tells a copy, an edited
+copy or a paraphrase from a chance hit.
+
+Documents are read once and never shuffled.  Items go to the tasks in blocks of bounded size; a
+larger benchmark takes more of them.
 """
 
 from __future__ import annotations
@@ -26,8 +28,6 @@ from pyspark.sql import functions as F
 from rovelog.llm.common import shipped, small_batches, table
 
 SEED_WORDS = 3
-#: A 3-gram is a seed if it is in at most this many times as many documents as the item's median one.
-RARE = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of the item's own score from which a document is contaminated.
 LEAST = 0.6
@@ -63,22 +63,16 @@ def grams(words: np.ndarray) -> np.ndarray:
 class Items:
     """A block of items: their words, and their 3-grams sorted for lookup."""
 
-    def __init__(self, rows: list[tuple], counts: np.ndarray | None = None):
+    def __init__(self, rows: list[tuple]):
         known = WordHashes()
         self.ids = [r[0] for r in rows]
         self.words = [word_hashes(r[1], known) for r in rows]
-        per_item = [grams(w) for w in self.words]
-        self.grams = np.unique(np.concatenate(per_item)) if per_item else np.empty(0, dtype=np.uint64)
+        self.counts = [Counter(w.tolist()) for w in self.words]
         self.seeds: dict[int, list[tuple[int, int]]] = {}
-        if counts is not None:
-            for item, own in enumerate(per_item):
-                if not len(own):
-                    continue
-                often = counts[np.searchsorted(self.grams, own)]
-                rare = often <= RARE * max(1.0, float(np.median(often)))
-                for at in np.flatnonzero(rare):
-                    self.seeds.setdefault(int(own[at]), []).append((item, int(at)))
-            self.grams = np.array(sorted(self.seeds), dtype=np.uint64)
+        for item, own in enumerate(self.words):
+            for at, gram in enumerate(grams(own).tolist()):
+                self.seeds.setdefault(gram, []).append((item, at))
+        self.grams = np.array(sorted(self.seeds), dtype=np.uint64)
         # a table of the low bits rules out nearly all 3-grams of a document without a search
         self.mask = _U((1 << max(16, min(24, int(len(self.grams) * 16).bit_length()))) - 1)
         self.table = np.zeros(int(self.mask) + 1, dtype=bool)
@@ -110,10 +104,12 @@ class Items:
 
     def _aligned(self, words: np.ndarray, item: int, start: int, end: int) -> tuple[float, int, int]:
         own, part = self.words[item], words[start:end]
-        whole = MATCH * len(own)
-        there = Counter(part.tolist())
-        if MATCH * sum(min(n, there[w]) for w, n in Counter(own.tolist()).items()) < LEAST * whole:
+        whole, counts, there = MATCH * len(own), self.counts[item], part.tolist()
+        if MATCH * sum(map(counts.__contains__, there)) < LEAST * whole:
             return 0.0, start, start  # no alignment can match more words than both have
+        there = Counter(there)
+        if MATCH * sum(min(n, there[w]) for w, n in counts.items()) < LEAST * whole:
+            return 0.0, start, start
         score, last = align(own, part)
         if score < LEAST * whole:
             return 0.0, start, start
@@ -151,27 +147,9 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def document_counts(docs: DataFrame, items: Items) -> np.ndarray:
-    """In how many documents each of ``items.grams`` is; counts over all rows of ``docs`` (_text)."""
-    shared = shipped(docs.sparkSession, items)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, total = WordHashes(), np.zeros(len(shared().grams), dtype=np.int64)
-        for batch in batches:
-            for text in batch["_text"]:
-                total[np.unique(shared().hits(word_hashes(text, known))[1])] += 1
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"at": at, "n": total[at]})
-
-    rows = docs.mapInPandas(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()  # one a gram
-    counts = np.zeros(len(items.grams))
-    counts[rows["at"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy()
-    return counts
-
-
-def item_blocks(docs: DataFrame, benchmark: DataFrame, text: str) -> list[Callable[[], Items]]:
-    """Broadcast blocks of items with their seeds, chosen by counts over all of ``docs``."""
-    spark = docs.sparkSession
+def item_blocks(benchmark: DataFrame) -> list[Callable[[], Items]]:
+    """Broadcast blocks of items with their seeds."""
+    spark = benchmark.sparkSession
     small_batches(spark)
     items = benchmark.select("item_id", "text").where("text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -180,8 +158,7 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, text: str) -> list[Callab
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
         rows = sorted((tuple(r) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))  # about BLOCK_CHARS
-        counts = document_counts(docs.select(F.col(text).alias("_text")), Items(rows))
-        found.append(shipped(spark, Items(rows, counts)))
+        found.append(shipped(spark, Items(rows)))
     return found
 
 
@@ -192,7 +169,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     underscores, without regard to case.  Null and empty texts align with nothing, nor do items of
     fewer than three words.  Repeated rows give repeated pairs.  Other columns are not read.
     """
-    blocks = item_blocks(docs, benchmark, text)
+    blocks = item_blocks(benchmark)
     key_type, item_type = dict(docs.dtypes)[key], dict(benchmark.dtypes)["item_id"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -212,7 +189,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Column:
     """A column of ``docs``: true where the text aligns well enough with any item."""
-    blocks = item_blocks(docs, benchmark, text)
+    blocks = item_blocks(benchmark)
 
     @F.pandas_udf("boolean")
     def found(texts: pd.Series) -> pd.Series:

@@ -83,3 +83,22 @@ def test_odd_rows(spark):
     assert D.contaminated_pairs(docs.limit(0), bench).count() == 0
     assert D.contaminated_pairs(docs, bench.limit(0)).count() == 0
     assert docs.where(~D.contaminated(docs, bench)).count() == 3
+
+
+@pytest.mark.parametrize("edit", ["insert 3", "exchange 5", "exchange 4"])
+def test_every_copy_of_one_edited_passage_is_found(spark, edit):
+    """However many there are: 1,000 documents hold the same passage, most of its 3-grams are not the item's."""
+    words = [f"word{i}" for i in range(40)]
+    how, step = edit.split()
+    passage = []
+    for i, w in enumerate(words, 1):
+        passage += ([w, f"new{i}"] if how == "insert" else [f"new{i}"]) if i % int(step) == 0 else [w]
+    docs = [(i, f"before{i} {' '.join(passage)} after{i}") for i in range(1000)] + [(5000 + i, f"word3 word4 word5 alone{i}") for i in range(20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    score = plain_align(words, passage)[0] / (D.MATCH * len(words))
+    assert score >= D.LEAST
+    found = D.contaminated_pairs(frame, bench).collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(1000))
+    assert all(r["score"] == pytest.approx(score) for r in found)
+    assert frame.where(~D.contaminated(frame, bench)).count() == 20
