@@ -3,13 +3,15 @@
 Vectors of one label are dealt to shards several times over: in each of several rounds by the
 nearest of other pivots, so the shards of different rounds overlap.  In each shard a flat graph is
 built: a vector's neighbours are chosen from all others, nearest first, and a candidate is pruned if
-a chosen neighbour is nearer to it by the factor ALPHA; of the neighbours beyond twice the radius
+a chosen neighbour is nearer to it by the factor ALPHA (where it is at distance 0 from that
+neighbour, as multiples of one vector are, the two are linked both ways); of the neighbours beyond twice the radius
 only the first FAR are kept, to find the way by.  The adjacency lists that a vector gets in its
 shards are united.  A query walks greedily from the medoid towards itself and then expands over all
 vectors within ``radius * (1 + 1 / ALPHA)``; what lies within the radius is verified by the cosine.
 
 Why the search is whole within a shard: for every vector y and every other vector p, either p has an
-edge to y or an edge to some p' with ALPHA d(p', y) <= d(p, y).  So from the query q a path leads to
+edge to y or an edge to some p' with ALPHA d(p', y) <= d(p, y), where p' has an edge to y if that is 0
+but for rounding (SAME).  So the distance to y shrinks at each step until an edge ends in y, and from the query q a path leads to
 any y within the radius over p with d(p, y) <= radius / ALPHA, that is d(q, p) <= radius (1 + 1 / ALPHA),
 which the expansion covers; its edges are no longer than twice the radius.  What can be missed is a
 vector that shares no shard with the query.  A sample of vectors is therefore compared with all
@@ -34,6 +36,8 @@ from pyspark.sql import functions as F
 from rovelog.llm.common import components, shipped, stored, table
 
 ALPHA = 1.1
+#: Distance up to which unit vectors are the same but for rounding.
+SAME = 1e-6
 #: Neighbours beyond twice the radius that a vector keeps.
 FAR = 8
 #: Vectors of a shard that are wanted, and the most of a block; a task takes two blocks.
@@ -103,7 +107,8 @@ def robust_pruned(distance: np.ndarray, radius: float, alpha: float = ALPHA, far
     """Adjacency (a boolean matrix) of the flat graph over all vectors, by their distances.
 
     All rows are pruned side by side: each takes its nearest candidate left, and drops those
-    candidates that the new neighbour is nearer to by ``alpha``.  A row is done when no candidate is
+    candidates that the new neighbour is nearer to by ``alpha``; those that it is the SAME as get edges
+    from and to it instead, because no vector is nearer to them than another of the same.  A row is done when no candidate is
     left, or when it has ``far`` neighbours beyond twice the ``radius``.
     """
     n = len(distance)
@@ -118,7 +123,11 @@ def robust_pruned(distance: np.ndarray, radius: float, alpha: float = ALPHA, far
         some = np.isfinite(apart) & (beyond[rows] <= far)
         rows, nearest, part = rows[some], nearest[some], part[some]
         edge[rows, nearest] = True
-        part[alpha * distance[nearest] <= distance[rows]] = np.inf
+        pruned = (alpha * distance[nearest] <= distance[rows]) & np.isfinite(part)
+        row, other = np.nonzero(pruned & (distance[nearest] <= SAME))
+        two = nearest[row] != other
+        edge[nearest[row[two]], other[two]] = edge[other[two], nearest[row[two]]] = True
+        part[pruned] = np.inf
         part[np.arange(len(rows)), nearest] = np.inf
         left[rows] = part
     return edge
@@ -300,7 +309,7 @@ def link_vectors(
         tasks = stored(blocks(placed(classes.select("id", "n", "vector", "label", "size"), pivots)))
         found = stored(searched(tasks, stored(adjacency(tasks, radius)), cosine))
         counts = found.where("kind = 'links'").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("linked"))
-        if not pivots.vectors or audit(classes, counts, cosine) >= least_recall:
+        if audit(classes, counts, cosine) >= least_recall:
             break
     else:
         raise RuntimeError(f"the audit found a recall below {least_recall} with {ROUNDS[-1]} rounds")

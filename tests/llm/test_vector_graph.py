@@ -81,3 +81,23 @@ def test_the_flat_graph_reaches_every_neighbour(size):
         assert edge.sum() < edge.size / 2
         found = V.search(distance, edge, np.arange(len(unit)), radius)
         assert (found == (distance <= radius)).all()
+
+
+@pytest.mark.parametrize("size", [16, 64])
+def test_multiples_of_one_vector_reach_each_other(size):
+    draw = np.random.default_rng(size)
+    base = draw.normal(size=(60, size)).astype(np.float32)
+    for factors in (2.0 ** np.arange(10), 3.0 ** np.arange(10)):
+        unit = V._unit(np.concatenate([base * np.float32(f) for f in factors]))
+        distance = V._distances(unit)
+        radius = math.sqrt(2 - 2 * 0.93) + 1e-6
+        found = V.search(distance, V.robust_pruned(distance, radius), np.arange(len(unit)), radius)
+        assert (found == (distance <= radius)).all()
+
+
+def test_groups_of_scaled_copies_equal_comparing_all_pairs(spark):
+    rows = sample(5, groups=6, each=4)
+    for vec_id, vector, label, _ in rows[:12]:
+        rows += [(1000 * vec_id + 2 * k + 1, (np.float32(2.0 ** k) * np.array(vector, np.float32)).tolist(), label, "x") for k in range(1, 10)]
+    rows += [(999_999, [0.0, 1.0] * 8, 0, "x"), (999_997, [-0.0, 1.0] * 8, 0, "x")]
+    same(spark, rows)
