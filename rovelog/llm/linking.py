@@ -40,17 +40,26 @@ def pairs_within(members: DataFrame) -> DataFrame:
     return members.select("bucket", F.col("id").alias("a")).join(other, "bucket").where("a < b").select("a", "b")
 
 
+def pairs_between(grouped: DataFrame) -> DataFrame:
+    """As :func:`pairs_within`, of members that are not in one ``group`` already."""
+    other = grouped.select("bucket", F.col("id").alias("b"), F.col("group").alias("g"))
+    pairs = grouped.select("bucket", F.col("id").alias("a"), "group").join(other, "bucket")
+    return pairs.where("a < b and group <> g").select("a", "b")
+
+
 def pairs_with_pivots(members: DataFrame, pivots: int = PIVOTS) -> DataFrame:
-    """(a, b) of each member with up to ``pivots`` members of its bucket.
+    """(a, b) of each member with up to ``pivots`` members of its bucket, and of other groups if ``members`` has ``group``.
 
     Members are dealt to ``pivots`` parts by hash and the least of each part is a pivot, so the
     buckets of one group agree on their pivots and nothing is gathered per bucket.
     """
     part = F.pmod(F.xxhash64("id"), F.lit(pivots))
-    chosen = members.groupBy("bucket", part.alias("part")).agg(F.min("id").alias("pivot")).select("bucket", "pivot")
+    group = ["group"] if "group" in members.columns else []
+    least = members.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("id", *group)).alias("least"))
+    chosen = least.select("bucket", F.col("least.id").alias("pivot"), *[F.col("least.group").alias("of") for _ in group])
     return (
         members.join(chosen, "bucket")
-        .where("id <> pivot")
+        .where(" and ".join(["id <> pivot", *["group <> of" for _ in group]]))
         .select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
     )
 
@@ -117,10 +126,11 @@ def linked_groups(
         return groups
     if deepen:
         open_ = mixed.where("not ruled").select("bucket", "id")
-        split = stored(sized(deepen(open_)))
-        few, many = split.where(F.col("n") <= SMALL), split.where(F.col("n") > SMALL).select("bucket", "id")
-        groups = joined_groups(groups, confirm(pairs_within(few).union(pairs_with_pivots(many)).distinct()))
-        left = mixed.where("ruled").select("bucket", "id").union(many)
+        split = stored(divided(with_group(sized(deepen(open_)), groups)))
+        few, many = split.where(F.col("n") <= SMALL), split.where(F.col("n") > SMALL).select("bucket", "id", "group")
+        met = pairs_between(few).union(pairs_with_pivots(many))
+        groups = joined_groups(groups, confirm(met.distinct()))
+        left = mixed.where("ruled").select("bucket", "id").union(many.select("bucket", "id"))
         mixed = stored(with_main(divided(with_group(left, groups))))
     return joined_groups(groups, compare(merged(mixed)))
 

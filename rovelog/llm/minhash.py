@@ -6,13 +6,14 @@ moves on by chosen minwise values: a node chooses one coordinate, or two with pr
 and sends each of its documents to the child named by the document's minwise value there.  Which
 coordinates a node chooses depends on the node alone, so a document finds its own way down without
 seeing the others.  Documents that meet in a node DEPTH levels down are candidates; nodes with many
-documents branch DEEPER levels more.  Candidates are thinned by a sketch of the signatures and
+documents branch DEEPER levels more, RESTARTS times over by other coordinates.  Candidates are thinned by a sketch of the signatures and
 confirmed on the full sets.
 
 One tree keeps a pair of similarity s together over one level with probability
 ``(1 - BRANCH) s p + BRANCH (1 - (1 - s p)**2)``, p being that of the levels below; with the values
 here a tree finds a pair of similarity 0.8 with probability 0.57 at least, and TREES trees with
-0.9988 (:func:`recall`).  Groups, of which most documents have several links, are found nearly always.
+0.9988 (:func:`recall`).  Where all nodes in which the two meet have many documents, RESTARTS keep it
+at 0.9984 (:func:`found_below`).  Groups, of which most documents have several links, are found nearly always.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from rovelog.llm.common import block_tasks, join_counted, small_batches, stored,
 from rovelog.llm.linking import linked_groups
 
 COORDINATES, TREES, DEPTH, DEEPER, BRANCH = 128, 8, 4, 6, 0.25
+#: Times that a large node is branched anew, so that a pair which parts in one of them meets in another.
+RESTARTS = 4
 #: Sketch: the lowest 4 bits of every minwise value; two sets of similarity s agree in a share s + (1 - s) / 16.
 NIBBLES = 16
 #: Standard deviations below the expected agreement at which a candidate is given up: one in 30,000 links.
@@ -45,14 +48,22 @@ _MULTIPLIERS = (np.random.default_rng(20240130).integers(1, 1 << 63, COORDINATES
 _PLACES = np.random.default_rng(7).integers(1, 1 << 63, 64, dtype=np.uint64) << _U(1) | _U(1)
 
 
-def recall(similarity: float, depth: int = DEPTH, trees: int = TREES) -> float:
-    """The probability that a pair of that similarity meets at the bottom of at least one tree."""
-    p = 1.0
+def recall(similarity: float, depth: int = DEPTH, trees: int = TREES, below: float = 1.0) -> float:
+    """The probability that a pair of that similarity meets at the bottom of at least one tree.
+
+    ``below`` is that of being found once they meet there.
+    """
+    p = below
     for _ in range(depth):
         p = (1 - BRANCH) * similarity * p + BRANCH * (1 - (1 - similarity * p) ** 2)
     return 1 - (1 - p) ** trees
 
 
+def found_below(similarity: float) -> float:
+    """The probability that a pair which meets in a large node meets again below it, in one restart at least."""
+    return recall(similarity, DEEPER, RESTARTS)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words between the characters space and \\x09 to \\x0D, A-Z lower-cased, as UTF-8."""
     return (text or "").encode().lower().split()
@@ -97,6 +108,12 @@ def paths(nodes: np.ndarray, rows: np.ndarray, signatures: np.ndarray, depth: in
     return nodes, rows
 
 
+def restarted(nodes: np.ndarray, rows: np.ndarray, signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`paths`, DEEPER levels below ``nodes``, by RESTARTS independent ways."""
+    anew = np.arange(RESTARTS, dtype=np.uint64)[:, None] * _U(0x9FB21C651E98DF25)
+    return paths(_mixed(nodes + anew).ravel(), np.tile(rows, RESTARTS), signatures, DEEPER)
+
+
 def described(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, key (of the word sequence), n, sketch, nodes and signature of every document."""
     small_batches(docs.sparkSession)
@@ -275,7 +292,7 @@ def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
             for batch in batches:
                 values = np.stack([np.frombuffer(s, dtype=np.uint32) for s in batch["signature"]])
                 start = batch["bucket"].to_numpy(dtype=np.int64).view(np.uint64)
-                below, rows = paths(start, np.arange(len(batch)), values, DEEPER)
+                below, rows = restarted(start, np.arange(len(batch)), values)
                 yield pd.DataFrame({"bucket": below.view(np.int64), "id": batch["id"].to_numpy()[rows]}).drop_duplicates()
 
         wanted = nodes.select(F.col("id").alias("key")).distinct()

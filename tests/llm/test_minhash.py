@@ -111,3 +111,32 @@ def test_agreement_counts_equal_nibbles(spark):
 
     found = [r[0] for r in rows.select(M.agreement(F.col("a"), F.col("b"))).collect()]
     assert found == [sum(p == q for p, q in zip(nibbles(x), nibbles(y))) for x, y in zip(a, b)]
+
+
+def test_recall_below_large_nodes():
+    """Threshold pairs whose nodes are all large are found as often as others: on paper, and by the trees."""
+    assert M.recall(0.8, below=M.found_below(0.8)) > 0.998
+    draw = np.random.default_rng(5)
+    met, pairs = 0, 400
+    roots = np.repeat(M._mixed(np.arange(1, M.TREES + 1, dtype=np.uint64)), 2)
+    for _ in range(pairs):
+        shared = draw.integers(0, 1 << 62, 320, dtype=np.uint64)
+        own = draw.integers(0, 1 << 62, 80, dtype=np.uint64)
+        two = np.stack([M.signature(np.concatenate([shared, own[:40]])), M.signature(np.concatenate([shared, own[40:]]))])
+        nodes, rows = M.paths(roots, np.tile([0, 1], M.TREES), two, M.DEPTH)
+        nodes, rows = M.restarted(nodes, rows, two)
+        met += bool(set(nodes[rows == 0].tolist()) & set(nodes[rows == 1].tolist()))
+    assert met / pairs > 0.985
+
+
+def test_threshold_pairs_among_many_texts_of_one_template_are_linked(spark, monkeypatch):
+    """150 pairs of similarity 0.8 among texts that share a passage; every node counts as large."""
+    monkeypatch.setattr(linking, "SMALL", 2)
+    draw = random.Random(6)
+    fresh = lambda k: ["".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(k)]
+    passage, rows = fresh(30), []
+    for i in range(150):
+        own = fresh(60)
+        for side in range(2):
+            rows.append((2 * i + side, " ".join(passage + own + fresh(10)), "x"))
+    same(rows, M.near_duplicates(spark.createDataFrame(rows, SCHEMA), 4).collect())
