@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from rovelog.llm import merkle as M
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, leaf string, tree int, idx int, part string"
+
+
+def simulated(leaves):
+    """(level, idx) in the order in which one writer appends them."""
+    log = []
+    for leaf in range(leaves):
+        log.append((0, leaf))
+        level, idx = 0, leaf
+        while (idx % 8 == 7 or leaf == leaves - 1) and -(-leaves // 8**level) > 1:
+            level, idx = level + 1, idx // 8
+            log.append((level, idx))
+    return log
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 7, 8, 9, 16, 63, 64, 65, 70, 511, 512, 513, 585, 4096, 4097])
+def test_places_are_those_of_one_writer(spark, leaves):
+    log = simulated(leaves)
+    assert [M.position(level, idx, leaves) for level, idx in log] == list(range(len(log)))
+    assert max(level for level, _ in log) == M.height(leaves)
+    found = spark.createDataFrame([(i, level, idx, leaves) for i, (level, idx) in enumerate(log)], "i long, level int, idx long, leaves long")
+    found = found.select("i", M.position_of("level", "idx", "leaves").alias("p"), M.height_of("leaves").alias("h")).collect()
+    assert all(r["i"] == r["p"] and r["h"] == M.height(leaves) for r in found)
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf_of(row, text):
+    fields = (row[0], row[3], row[2], row[4], text)
+    return digest("".join("-" if f is None else f"{len(str(f).encode())}:{f}" for f in fields))
+
+
+def climb(leaves):
+    """Root, and for each leaf the siblings before and after it, level by level."""
+    paths, at, nodes = [[] for _ in leaves], list(range(len(leaves))), list(leaves)
+    while len(nodes) > 1:
+        for leaf, own in enumerate(at):
+            start = own - own % 8
+            paths[leaf].append((nodes[start:own], nodes[own + 1 : start + 8]))
+        nodes = [digest("".join(nodes[i : i + 8])) for i in range(0, len(nodes), 8)]
+        at = [own // 8 for own in at]
+    return nodes[0], paths
+
+
+def plain(rows):
+    langs = sorted({r[2] for r in rows}, key=lambda lang: (lang is not None, (lang or "").encode()))
+    trees, subroots = [], []
+    for lang in langs:
+        own = [(r, leaf_of(r, r[1])) for r in rows if r[2] == lang]
+        own.sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+        root, paths = climb([leaf for _, leaf in own])
+        trees.append((own, paths))
+        subroots.append(root)
+    top, tops = climb(subroots)
+    out = []
+    for (own, paths), subroot, above in zip(trees, subroots, tops):
+        for (row, leaf), path in zip(own, paths):
+            hit = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0 and row[1] is not None
+            node = leaf_of(row, "".join(c.lower() if "A" <= c <= "Z" else c for c in row[1])) if hit else leaf
+            for before, after in path + above:
+                node = digest("".join([*before, node, *after]))
+            proof = digest("".join(d for before, after in path + above for d in (*before, *after)))
+            out.append((row[0], leaf, subroot, top, proof, node, node == top))
+    return out
+
+
+def sample(seed, n, langs):
+    draw = random.Random(seed)
+    rows = [
+        (draw.choice([None, i, i, i, 7]), draw.choice([None, "", "Plain Text", "lower", "Ünï ÀB", f"n{i}"]), draw.choice(langs),
+         draw.choice([None, "src"]), draw.choice([None, 3, -4]), "x", 1, 2, "y")
+        for i in range(n)
+    ]
+    return rows + rows[:5] + rows[:5]
+
+
+@pytest.mark.parametrize(
+    "deep, n, langs",
+    [(4, 300, [None, "", "en", "é", "z"]), (1, 600, ["en", "en", None]), (2, 150, [f"l{i}" for i in range(75)]), (4, 1, ["en"])],
+)
+def test_equals_hashing_level_by_level(spark, monkeypatch, deep, n, langs):
+    monkeypatch.setattr(M, "DEEP", deep)
+    rows = sample(n, n, langs)
+    found = M.manifest(spark.createDataFrame(rows, SCHEMA))
+    key = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(plain(rows), key=key)
+
+
+def test_the_log_is_gapless(spark, monkeypatch):
+    monkeypatch.setattr(M, "DEEP", 1)
+    rows = spark.range(0, 1000).selectExpr("'=en' tree", "1000L leaves", "id idx", "sha2(string(id), 256) digest")
+    log = sorted((r["pos"], r["level"], r["idx"]) for r in M.append_log(rows).collect())
+    assert [(level, idx) for _, level, idx in log] == simulated(1000) and [p for p, *_ in log] == list(range(len(log)))
+
+
+def test_no_documents(spark):
+    assert M.manifest(spark.createDataFrame([], SCHEMA)).count() == 0
