@@ -6,9 +6,11 @@ gives a signature, the anchor and the chain of CHAIN content words that follow i
 beginning of a text.  Chains at the end of a text are as long as the text allows.  The fingerprint
 of a document is the set of its signatures; two are compared by the Jaccard similarity of the sets.
 
-:func:`near_groups` finds the documents whose fingerprints are similar.  Sets whose sizes are too far apart cannot be, so
-sets are partitioned by size and meet in their own partition and the next.  Of each set only the
-rarest signatures are looked up, as many as any similar set must share one of; a set too many of whose
+:func:`near_groups` finds the documents whose fingerprints are similar.  Sets whose sizes are too
+far apart cannot be, so sets are partitioned by size and meet in their own partition and the next.
+Of each set only as many signatures are looked up as any similar set must share one of.  In any
+order that all sets agree on this loses nothing: first it is the order of the hashes; sets that meet
+too many others there are looked up again by their rarest signatures, and a set too many of whose
 signatures occur nowhere else is done with.
 """
 
@@ -21,8 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rovelog.llm.common import stored, table
-from rovelog.llm.linking import linked_groups
+from rovelog.llm.common import join_counted, stored, table
+from rovelog.llm.linking import SMALL, linked_groups
 
 #: A word is an anchor if at least one in SHARE words is this one.
 SHARE = 200
@@ -30,8 +32,8 @@ SHARE = 200
 CHAIN = 3
 #: Percent of similarity from which fingerprints are near.
 SIMILAR_PERCENT = 80
-#: Bytes of text of a range of documents, and ranges at most (larger ranges spill).
-RANGE_BYTES, MOST_RANGES = 32 << 20, 1 << 16
+#: Bytes of text of a range of documents, ranges at most (larger ranges spill), and ranges of a task.
+RANGE_BYTES, MOST_RANGES, TASK_RANGES = 8 << 20, 1 << 18, 4
 
 NO_WORD = r"[^\p{L}\p{N}]+"
 
@@ -97,16 +99,17 @@ def near(a: Column, b: Column, percent: int) -> Column:
     return F.when(small * 100 < large * percent, False).otherwise(shared * 100 >= (small + large - shared) * percent)
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, copies, range, visitor and key, dealt out so that each document's next one is in its range.
+def with_next(docs: DataFrame, notes: DataFrame) -> DataFrame:
+    """doc_id, text, copies, component, kind, key, range and visitor, dealt out so that each document's next one is in its range.
 
     Documents go by descending doc_id, null last, then by descending hash of the text; rows that
-    agree in both are one, ``copies`` their number.  Ranges are cut at every so many documents; the
-    first document of each is in the range before as well, as ``visitor`` behind all others, and the
-    first of all in the last range.
+    agree in both are one, ``copies`` their number.  Each (kind 0) is followed by its row of
+    ``notes`` (doc_id, h, component), of kind 1.  Ranges are cut at every so many documents; the first
+    document of each is in the range before as well, as ``visitor`` behind all others, and the first of
+    all in the last range.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("text").isNull().alias("null"))
-    hashed = rows.select("doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").cast("long").alias("bytes"))
+    rows, whole = docs.select("doc_id", "text"), F.coalesce("text", F.lit(""))
+    hashed = rows.select("doc_id", F.xxhash64(whole).alias("h"), F.octet_length(whole).cast("long").alias("bytes"))
     keys = stored(hashed.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("copies"), F.max("bytes").alias("bytes")))
     repeated, size = keys.agg(F.max("copies"), F.sum("bytes")).first()
     ranges = min(MOST_RANGES, max(1, math.ceil((size or 0) / RANGE_BYTES)))
@@ -114,9 +117,13 @@ def with_next(docs: DataFrame) -> DataFrame:
     firsts = dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.max(F.struct("doc_id", "h")).alias("key"))
     bounds = [tuple(row["key"]) for row in firsts.orderBy(F.col("key").desc()).collect()]  # one a range
     if repeated and repeated > 1:
-        rows = rows.groupBy("doc_id", "text", "null").agg(F.count(F.lit(1)).alias("copies"))
+        rows = rows.groupBy("doc_id", whole.alias("text")).agg(F.count(F.lit(1)).alias("copies"))
     else:
         rows = rows.withColumn("copies", F.lit(1).cast("long"))
+    told = notes.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(0).cast("long").alias("copies"), "h", "component", F.lit(1).alias("kind"))
+    empty = lambda name: F.lit(None).cast(notes.schema[name].dataType).alias(name)
+    rows = rows.select("*", empty("h"), empty("component"), F.lit(0).alias("kind")).unionByName(told)
+    rows = rows.withColumn("text", whole).withColumn("key", F.struct("doc_id", F.coalesce("h", F.xxhash64("text")).alias("h")))
     kind = f"struct<doc_id:{docs.schema['doc_id'].dataType.simpleString()},h:bigint>"
     step = max(1, math.isqrt(len(bounds)))
     blocks = [bounds[at : at + step] for at in range(0, len(bounds), step)]
@@ -125,35 +132,46 @@ def with_next(docs: DataFrame) -> DataFrame:
     heads = said([named(block[0]) for block in blocks], f"array<{kind}>")
     inside = said([[named(key) for key in block] for block in blocks], f"array<array<{kind}>>")
     before = lambda some, key: F.size(F.filter(some, lambda first: first >= key))
-    found = rows.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("h")))
-    found = found.withColumn("block", before(heads, F.col("key")) - 1)
+    found = rows.withColumn("block", before(heads, F.col("key")) - 1)
     found = found.withColumn("at", before(F.get(inside, F.col("block")), F.col("key")) - 1)
-    leads = F.get(F.get(inside, F.col("block")), F.col("at")).eqNullSafe(F.col("key"))
+    leads = (F.col("kind") == 0) & F.get(F.get(inside, F.col("block")), F.col("at")).eqNullSafe(F.col("key"))
     own = F.col("block") * step + F.col("at")
     place = lambda range_, visitor: F.struct(range_.cast("int").alias("range"), F.lit(visitor).alias("visitor"))
     places = F.when(leads, F.array(place(own, False), place(F.pmod(own - 1, F.lit(len(bounds) or 1)), True))).otherwise(F.array(place(own, False)))
     spread = found.withColumn("place", F.explode(places))
-    return spread.select("doc_id", "text", "copies", "key", "place.range", "place.visitor").repartition(max(1, len(bounds)), "range")
+    columns = ["doc_id", "text", "copies", "component", "kind", "key", "place.range", "place.visitor"]
+    return spread.select(*columns).repartition(math.ceil(max(1, len(bounds)) / TASK_RANGES), "range")
 
 
-def fingerprints(docs: DataFrame, anchors: list[str]) -> DataFrame:
-    """n_chars, fingerprints of each text and of its edited text, and likenesses, one row a row of ``docs``.
+def signed(docs: DataFrame, anchors: list[str]) -> DataFrame:
+    """doc_id, h (hash of the text) and ``signed``, the signatures, of every row."""
+    return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), signatures(F.col("text"), anchors).alias("signed"))
+
+
+def fingerprints(docs: DataFrame, anchors: list[str], percent: int = SIMILAR_PERCENT) -> DataFrame:
+    """n_chars, fingerprints of each text and of its edited text, likenesses and group, one row a row of ``docs``.
 
     The edited text has in place of its last half (rounded down) as many of the first characters of
     the next document by descending doc_id, or all if it is shorter; after the last comes the first.
     Documents of the same id follow each other by text hash; rows with equal id and text are one
     document there, and have equal results.  A null id comes last, a null text is empty.  A text without
-    words has an empty fingerprint.  Other columns are not read.  An empty table gives no rows.
+    words has an empty fingerprint, which is like no other but an empty one and in a group of its own.
+    ``component_id`` is the least doc_id of the documents connected by fingerprints of ``percent`` or
+    more similarity (null if they have none).  Other columns are not read.  An empty table gives no rows.
     """
-    order = Window.partitionBy("range").orderBy("visitor", F.col("key").desc())
-    signed = with_next(docs).withColumn("signed", signatures(F.col("text"), anchors))
-    following = signed.select(
-        "doc_id", "text", "copies", "visitor", "signed",
-        F.lead("text").over(order).alias("next"), F.lead("signed").over(order).alias("next_signed"),
-    ).where(~F.col("visitor"))
+    notes = near_groups(stored(signed(docs, anchors)), ["doc_id", "h"], percent).dropDuplicates(["doc_id", "h"])
+    order = Window.partitionBy("range").orderBy("visitor", F.col("key").desc(), "kind")
+    placed = with_next(docs, notes).withColumn("signed", signatures(F.col("text"), anchors))
+    following = placed.select(
+        "doc_id", "text", "copies", "visitor", "kind", "signed",
+        F.lead("component").over(order).alias("component_id"),
+        F.lead("text", 2).over(order).alias("next"), F.lead("signed", 2).over(order).alias("next_signed"),
+    ).where(~F.col("visitor") & (F.col("kind") == 0))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next", F.lit(1), half))
-    changed = following.select("doc_id", "copies", F.length("text").cast("long").alias("n_chars"), "signed", "next_signed", edited.alias("edited"))
+    changed = following.select(
+        "doc_id", "copies", "component_id", F.length("text").cast("long").alias("n_chars"), "signed", "next_signed", edited.alias("edited")
+    )
     compared = changed.withColumn("edited_signed", signatures(F.col("edited"), anchors)).select(
         "doc_id", "copies", "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
@@ -162,39 +180,56 @@ def fingerprints(docs: DataFrame, anchors: list[str]) -> DataFrame:
         likeness(F.col("signed"), F.col("edited_signed")).alias("near_edited"),
         likeness(F.col("signed"), F.col("next_signed")).alias("near_next"),
         F.size("signed").alias("n_signatures"),
+        "component_id",
     )
     return compared.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
 
 
-def near_groups(sets: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    """id and ``component``: the least id of the sets that are connected by similarity of ``percent`` or more.
+def size_part(size: Column, percent: int) -> Column:
+    """Partition of a set by its size.  Sets that can be similar are in the same or in neighbouring ones."""
+    return F.floor(F.log(size.cast("double")) / -math.log(percent / 100) + 1e-9).cast("int")
+
+
+def looked_up(sets: DataFrame, prefix: Column, percent: int) -> DataFrame:
+    """(bucket, id) of ``sets`` (id, size, ...): each signature of ``prefix``, with the set's partition and with the one before."""
+    part = size_part(F.col("size"), percent)
+    rows = sets.select("id", F.explode(F.array(part, part - 1)).alias("part"), prefix.alias("prefix"))
+    return rows.select("id", "part", F.explode("prefix").alias("one")).select(F.xxhash64("part", "one").alias("bucket"), "id")
+
+
+def near_groups(sets: DataFrame, by: list[str], percent: int = SIMILAR_PERCENT) -> DataFrame:
+    """``by`` and ``component``, the least ``by[0]`` of the sets connected by similarity of ``percent`` or more.
 
-    ``sets`` (id, signed) is stored, with one row an id; sets without signatures are similar to nothing.
-    Equal sets are one class.  A signature's rarity is the number of classes that have it.
+    ``sets`` (by, signed) is stored; sets without signatures are similar to nothing.  Equal sets are one.
     """
-    named = sets.where(F.size("signed") > 0).withColumn("class", F.unhex(F.md5(F.concat_ws(",", F.col("signed").cast("array<string>")))))
-    classes = stored(named.groupBy("class").agg(F.first("signed").alias("signed")))
-    spots = classes.select("class", F.size("signed").alias("size"), F.explode("signed").alias("one"))
-    common = spots.groupBy("one").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # All that a similar set lacks are size - need signatures; a set with more that occur in no other has no partner.
-    need = F.ceil(F.col("size") * percent / 100).cast("int")
-    shared = spots.join(common, "one").groupBy("class", "size").agg(F.sort_array(F.collect_list(F.struct("n", "one"))).alias("some"))
-    looked_up = F.size("some") - need + 1
-    rarest = shared.where(looked_up > 0).select("class", "size", F.explode(F.slice("some", F.lit(1), looked_up)).alias("rare"))
-    part = F.floor(F.log(F.col("size").cast("double")) / -math.log(percent / 100) + 1e-9).cast("int")
-    bucket = lambda of: F.xxhash64(of, F.col("rare.one"))
-    keys = rarest.withColumn("part", part).select(F.explode(F.array(bucket(F.col("part")), bucket(F.col("part") - 1))).alias("bucket"), F.col("class").alias("id"))
+    named = sets.where(F.size("signed") > 0).withColumn("class", F.xxhash64("signed"))
+    classes = stored(named.groupBy(F.col("class").alias("id")).agg(F.first("signed").alias("signed")).withColumn("size", F.size("signed")))
+    need = F.ceil(F.col("size") * percent / 100).cast("int")  # signatures that a similar set shares
+    keys = stored(looked_up(classes, F.slice("signed", F.lit(1), F.col("size") - need + 1), percent))
+    crowded = stored(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SMALL).select("bucket"))
+    members = keys
+    if not crowded.isEmpty():
+        met = stored(keys.join(crowded, "bucket").select(F.col("id").alias("again")).distinct())
+        again = join_counted(classes, met, F.col("id") == F.col("again"), "left_semi", 16)
+        spots = again.select("id", "size", F.explode("signed").alias("one"))
+        common = spots.groupBy("one").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        shared = spots.join(common, "one").groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("n", "one"))).alias("some"))
+        # The signatures of no other set would come first in this order.
+        rest = F.greatest(F.size("some") - need + 1, F.lit(0))
+        rarest = F.transform(F.slice("some", F.lit(1), rest), lambda spot: spot["one"])
+        members = keys.join(crowded, "bucket", "left_anti").union(looked_up(shared, rarest, percent))
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        a = classes.select(F.col("class").alias("a"), F.col("signed").alias("x"))
-        b = classes.select(F.col("class").alias("b"), F.col("signed").alias("y"))
+        a = classes.select(F.col("id").alias("a"), F.col("signed").alias("x"))
+        b = classes.select(F.col("id").alias("b"), F.col("signed").alias("y"))
         return pairs.join(a, "a").join(b, "b").where(near(F.col("x"), F.col("y"), percent)).select("a", "b")
 
-    groups = linked_groups(stored(keys), confirm)
-    of_id = named.select("id", "class").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
-    least = of_id.select("id", F.coalesce("component", "class").alias("group"))
-    found = least.join(least.groupBy("group").agg(F.min("id").alias("component")), "group").select("id", "component")
-    return found.unionByName(sets.where(F.size("signed") == 0).select("id", F.col("id").alias("component")))
+    groups = linked_groups(stored(members), confirm)
+    of_set = named.select(*by, "class").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
+    grouped = of_set.select(*by, F.coalesce("component", "class").alias("group"))
+    least = grouped.groupBy("group").agg(F.min(by[0]).alias("component"))
+    found = grouped.join(least, "group").select(*by, "component")
+    return found.unionByName(sets.where(F.size("signed") == 0).select(*by, F.col(by[0]).alias("component")))
 
 
 def op11_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,6 +55,14 @@ def plain(spark, rows, anchors):
     key = lambda r: (r[0] is not None, r[0] or 0, version[r[1] or ""])
     order = sorted({(key(r), r[0], r[1] or "") for r in rows}, key=lambda x: x[0], reverse=True)
     following = {(name, text): order[(at + 1) % len(order)][2] for at, (_, name, text) in enumerate(order)}
+    sets = {(name, text): chains(text, anchors) for _, name, text in order}
+    near = lambda a, b: sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= S.SIMILAR_PERCENT * len(sets[a] | sets[b])
+    names = list(sets)
+    of = grouped([(a, b) for a in range(len(names)) for b in range(a) if near(names[a], names[b])])
+    least = {}
+    for at, (name, _) in enumerate(names):
+        if name is not None:
+            least[of.get(at, at)] = min(name, least.get(of.get(at, at), name))
     out = []
     for name, text, *_ in rows:
         text = text or ""
@@ -62,7 +70,7 @@ def plain(spark, rows, anchors):
         edited = text[: len(text) - half] + nxt[:half]
         own, new, other = (chains(t, anchors) for t in (text, edited, nxt))
         a, b = hashes(spark, [own, new])
-        out.append((name, len(text), hashlib.sha256(edited.encode()).hexdigest(), said(a), said(b), jaccard(own, new), jaccard(own, other), len(own)))
+        out.append((name, len(text), hashlib.sha256(edited.encode()).hexdigest(), said(a), said(b), jaccard(own, new), jaccard(own, other), len(own), least.get(of.get(names.index((name, text)), names.index((name, text))))))
     return out
 
 
@@ -96,6 +104,7 @@ def test_anchors_are_the_words_of_that_share(spark):
 @pytest.mark.parametrize("small", [24, 3])
 def test_groups_equal_comparing_all_pairs(spark, monkeypatch, small):
     monkeypatch.setattr(linking, "SMALL", small)
+    monkeypatch.setattr(S, "SMALL", small)
     draw = random.Random(small)
     shared = [draw.randrange(1 << 40) for _ in range(12)]
     sets = [sorted({*shared[: draw.randrange(13)], *[draw.randrange(1 << 40) for _ in range(draw.randrange(0, 8))]}) for _ in range(60)]
@@ -108,7 +117,7 @@ def test_groups_equal_comparing_all_pairs(spark, monkeypatch, small):
     sets += [sets[0], sets[0], [], []]
     near = lambda a, b: a and b and 100 * len({*a} & {*b}) >= S.SIMILAR_PERCENT * len({*a} | {*b})
     of = grouped([(a, b) for a in range(len(sets)) for b in range(a) if near(sets[a], sets[b])])
-    found = S.near_groups(spark.createDataFrame(list(enumerate(sets)), "id long, signed array<long>"))
+    found = S.near_groups(spark.createDataFrame(list(enumerate(sets)), "id long, signed array<long>"), ["id"])
     assert sorted(map(tuple, found.collect())) == [(i, of.get(i, i)) for i in range(len(sets))]
 
 
