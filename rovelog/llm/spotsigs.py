@@ -23,11 +23,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rovelog.llm.common import join_counted, stored, table
-from rovelog.llm.linking import SMALL, linked_groups
+from rovelog.llm.common import components, join_counted, stored, table
+from rovelog.llm.linking import SMALL, divided, joined_groups, linked_groups, with_group
 
 #: A word is an anchor if at least one in SHARE words is this one.
 SHARE = 200
+#: Hashes by which words are counted first.
+SLOTS = 1 << 16
 #: Content words of a chain.
 CHAIN = 3
 #: Percent of similarity from which fingerprints are near.
@@ -44,9 +46,17 @@ def words_of(text: Column) -> Column:
 
 
 def anchors_of(docs: DataFrame) -> list[str]:
-    """The words that are at least one in SHARE of all words of ``docs``: SHARE words at most."""
-    counts = stored(docs.select(F.explode(words_of(F.col("text"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    """The words that are at least one in SHARE of all words of ``docs``: SHARE words at most.
+
+    Words are counted by SLOTS hashes first, since a word is no commoner than its hash, and by
+    themselves only where the hash is common enough.  Neither count grows with the vocabulary.
+    """
+    words = docs.select(F.explode(words_of(F.col("text"))).alias("word"))
+    slot = F.pmod(F.xxhash64("word"), F.lit(SLOTS))
+    slots = {row["slot"]: row["n"] for row in words.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(slots.values())
+    common = [at for at, n in slots.items() if n * SHARE >= total]  # SHARE at most
+    counts = words.where(slot.isin(common)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return sorted(row["word"] for row in counts.where(F.col("n") * SHARE >= total).collect())
 
 
@@ -159,7 +169,7 @@ def fingerprints(docs: DataFrame, anchors: list[str], percent: int = SIMILAR_PER
     ``component_id`` is the least doc_id of the documents connected by fingerprints of ``percent`` or
     more similarity (null if they have none).  Other columns are not read.  An empty table gives no rows.
     """
-    notes = near_groups(stored(signed(docs, anchors)), ["doc_id", "h"], percent).dropDuplicates(["doc_id", "h"])
+    notes = near_groups(signed(docs, anchors), ["doc_id", "h"], percent).dropDuplicates(["doc_id", "h"])
     order = Window.partitionBy("range").orderBy("visitor", F.col("key").desc(), "kind")
     placed = with_next(docs, notes).withColumn("signed", signatures(F.col("text"), anchors))
     following = placed.select(
@@ -200,9 +210,10 @@ def looked_up(sets: DataFrame, prefix: Column, percent: int) -> DataFrame:
 def near_groups(sets: DataFrame, by: list[str], percent: int = SIMILAR_PERCENT) -> DataFrame:
     """``by`` and ``component``, the least ``by[0]`` of the sets connected by similarity of ``percent`` or more.
 
-    ``sets`` (by, signed) is stored; sets without signatures are similar to nothing.  Equal sets are one.
+    ``sets`` has ``by`` and ``signed``; those without signatures are similar to nothing.  Equal sets are one.
     """
-    named = sets.where(F.size("signed") > 0).withColumn("class", F.xxhash64("signed"))
+    sets = sets.withColumn("class", F.when(F.size("signed") > 0, F.xxhash64("signed")))
+    named = sets.where(F.col("class").isNotNull())
     classes = stored(named.groupBy(F.col("class").alias("id")).agg(F.first("signed").alias("signed")).withColumn("size", F.size("signed")))
     need = F.ceil(F.col("size") * percent / 100).cast("int")  # signatures that a similar set shares
     keys = stored(looked_up(classes, F.slice("signed", F.lit(1), F.col("size") - need + 1), percent))
@@ -224,12 +235,18 @@ def near_groups(sets: DataFrame, by: list[str], percent: int = SIMILAR_PERCENT)
         b = classes.select(F.col("id").alias("b"), F.col("signed").alias("y"))
         return pairs.join(a, "a").join(b, "b").where(near(F.col("x"), F.col("y"), percent)).select("a", "b")
 
-    groups = linked_groups(stored(members), confirm)
-    of_set = named.select(*by, "class").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
-    grouped = of_set.select(*by, F.coalesce("component", "class").alias("group"))
-    least = grouped.groupBy("group").agg(F.min(by[0]).alias("component"))
-    found = grouped.join(least, "group").select(*by, "component")
-    return found.unionByName(sets.where(F.size("signed") == 0).select(*by, F.col(by[0]).alias("component")))
+    # Each member and the least of its bucket first: that settles most, with one pair a member.
+    members = stored(members.distinct())
+    least = members.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    stars = members.join(least, "bucket").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    groups = stored(components(stored(confirm(stars))))
+    open_ = stored(divided(with_group(members, groups)).select("bucket", "id"))
+    groups = joined_groups(groups, linked_groups(open_, confirm).select(F.col("component").alias("a"), F.col("node").alias("b")))
+
+    of_set = sets.select(*by, "class").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
+    grouped = stored(of_set.select(*by, F.coalesce("component", "class").alias("group")))
+    first = grouped.where("group is not null").groupBy("group").agg(F.min(by[0]).alias("component"))
+    return grouped.join(first, "group", "left").select(*by, F.when(F.col("group").isNull(), F.col(by[0])).otherwise(F.col("component")).alias("component"))
 
 
 def op11_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
