@@ -21,6 +21,15 @@ def test_ids_are_those_of_the_vocabulary_files_tokenizer():
         assert fast(text or "") == plain.encode(text or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a word" + "\n" * 1_500_000 + "x<|endoftext|>y"])
+def test_runs_of_blanks_have_the_ids_of_the_file(spark, text):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    rows = spark.createDataFrame([(1, "before"), (2, text), (3, "after")], "doc_id long, text string")
+    pieces = sorted((r["doc_id"], r["start"], r["ids"]) for r in P.cut_pieces(rows).collect())
+    assert b"".join(ids for name, _, ids in pieces if name == 2) == np.array(plain + [0], "<u4").tobytes()
+    assert {name for name, *_ in pieces} == {1, 2, 3}
+
+
 @pytest.mark.parametrize("tokens", [1, 2, 3, 1023, 1024, 1025, 2047, 5000])
 def test_binary_lengths(tokens):
     found = P.binary_lengths(tokens)
