@@ -95,12 +95,14 @@ def shipped(spark: SparkSession, value: T) -> Callable[[], T]:
 BROADCAST_BYTES = 32 << 20
 
 
-def join_counted(large: DataFrame, small: DataFrame, on: Column, how: str, row_bytes: int) -> DataFrame:
-    """Joins a stored ``small``: broadcast if its counted rows fit BROADCAST_BYTES, else shuffled.
+def join_counted(large: DataFrame, small: DataFrame, on: Column, how: str, row_bytes: int | Column) -> DataFrame:
+    """Joins a stored ``small``: broadcast if its rows fit BROADCAST_BYTES, counted or added up, else shuffled.
 
-    The result is the same either way; only the large side's shuffle is saved.
+    ``row_bytes`` is the size of each row, a column of ``small`` where rows carry arrays.  The
+    result is the same either way; only the large side's shuffle is saved.
     """
-    fits = small.count() * row_bytes <= BROADCAST_BYTES
+    size = small.count() * row_bytes if isinstance(row_bytes, int) else small.agg(F.sum(row_bytes)).first()[0] or 0
+    fits = size <= BROADCAST_BYTES
     return large.join(F.broadcast(small) if fits else small.hint("shuffle_hash"), on, how)
 
 

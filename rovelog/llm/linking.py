@@ -142,3 +142,26 @@ def joined_groups(groups: DataFrame, links: DataFrame) -> DataFrame:
         return groups
     known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
     return stored(components(known.union(links.select("a", "b"))))
+
+
+def grouped_by(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], rounds: int) -> DataFrame:
+    """(node, component) of the ids that are linked to another.
+
+    ``members`` (bucket, id, n) are candidates for each other in buckets of ``n``; ``confirm``
+    returns the links among pairs (a, b).  A bucket whose members are all in one group is done with.
+    In each of ``rounds`` every bucket draws one member, the same wherever it can be, and each other
+    member is compared to one of those drawn.  That joins most of what belongs together with one
+    pair a member; then the members of what is left are compared with those of other groups.
+    """
+    groups = members.select(F.col("id").alias("node"), F.col("id").alias("component")).limit(0)
+    for turn in range(rounds):
+        open_ = stored(divided(with_group(members.select("bucket", "id"), groups)))
+        if open_.isEmpty():
+            return groups
+        drawn = open_.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "group")).alias("drawn"))
+        met = open_.join(drawn, "bucket").where(F.col("group") != F.col("drawn.group")).groupBy("id").agg(F.min("drawn").alias("drawn"))
+        groups = joined_groups(groups, confirm(met.select(F.col("drawn.id").alias("a"), F.col("id").alias("b"))))
+    open_ = stored(divided(with_group(members, groups)))
+    main = with_main(open_.where(F.col("n") > SMALL))
+    across = pairs_across(main.withColumn("minor", F.col("group") != F.col("main")))
+    return joined_groups(groups, confirm(pairs_between(open_.where(F.col("n") <= SMALL)).union(across).distinct()))

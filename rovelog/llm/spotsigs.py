@@ -18,14 +18,13 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rovelog.llm.common import join_counted, stored, table
-from rovelog.llm.linking import SMALL, divided, joined_groups, pairs_across, pairs_between, sized, with_group, with_main
+from rovelog.llm.linking import SMALL, grouped_by, sized
 
 #: A word is an anchor if at least one in SHARE words is this one.
 SHARE = 200
@@ -210,28 +209,6 @@ def looked_up(sets: DataFrame, prefix: Column, percent: int) -> DataFrame:
     return rows.select("id", "part", F.explode("prefix").alias("one")).select(F.xxhash64("part", "one").alias("bucket"), "id")
 
 
-def grouped_by(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(node, component) of the ids that are linked to another.
-
-    ``members`` (bucket, id, n) are candidates for each other in buckets of ``n``; ``confirm`` returns the links among pairs (a, b).
-    A bucket whose members are all in one group is done with.  In each of a few rounds every bucket draws one member, the same
-    wherever it can be, and each other member is compared to one of those drawn.  That joins most of what belongs
-    together with one pair a member; then the members of what is left are compared with those of other groups.
-    """
-    groups = members.select(F.col("id").alias("node"), F.col("id").alias("component")).limit(0)
-    for turn in range(ROUNDS):
-        open_ = stored(divided(with_group(members.select("bucket", "id"), groups)))
-        if open_.isEmpty():
-            return groups
-        drawn = open_.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "group")).alias("drawn"))
-        met = open_.join(drawn, "bucket").where(F.col("group") != F.col("drawn.group")).groupBy("id").agg(F.min("drawn").alias("drawn"))
-        groups = joined_groups(groups, confirm(met.select(F.col("drawn.id").alias("a"), F.col("id").alias("b"))))
-    open_ = stored(divided(with_group(members, groups)))
-    main = with_main(open_.where(F.col("n") > SMALL))
-    across = pairs_across(main.withColumn("minor", F.col("group") != F.col("main")))
-    return joined_groups(groups, confirm(pairs_between(open_.where(F.col("n") <= SMALL)).union(across).distinct()))
-
-
 def near_groups(sets: DataFrame, by: list[str], percent: int = SIMILAR_PERCENT) -> DataFrame:
     """``by`` and ``component``, the least ``by[0]`` of the sets connected by similarity of ``percent`` or more.
 
@@ -260,7 +237,7 @@ def near_groups(sets: DataFrame, by: list[str], percent: int = SIMILAR_PERCENT)
         b = classes.select(F.col("id").alias("b"), F.col("signed").alias("y"))
         return pairs.join(a, "a").join(b, "b").where(near(F.col("x"), F.col("y"), percent)).select("a", "b")
 
-    groups = grouped_by(stored(sized(members.distinct())), confirm)
+    groups = grouped_by(stored(sized(members.distinct())), confirm, ROUNDS)
     of_set = sets.select(*by, "class").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
     grouped = stored(of_set.select(*by, F.coalesce("component", "class").alias("group")))
     first = grouped.where("group is not null").groupBy("group").agg(F.min(by[0]).alias("component"))
