@@ -17,10 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import components, stored
+from rovelog.llm.common import components, join_counted, stored
 
 #: Members up to which a bucket is small.
 SMALL = 24
@@ -144,14 +144,26 @@ def joined_groups(groups: DataFrame, links: DataFrame) -> DataFrame:
     return stored(components(known.union(links.select("a", "b"))))
 
 
-def grouped_by(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], rounds: int) -> DataFrame:
+def only_those(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The ``rows`` (id, ...) whose id is in ``pairs`` (a, b), both stored: few ids spare a shuffle of all rows."""
+    asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("_asked")).distinct())
+    return join_counted(rows, asked, F.col("id") == F.col("_asked"), "left_semi", 40)
+
+
+def grouped_by(
+    members: DataFrame,
+    confirm: Callable[[DataFrame], DataFrame],
+    rounds: int,
+    possible: Callable[[str, str], Column],
+) -> DataFrame:
     """(node, component) of the ids that are linked to another.
 
-    ``members`` (bucket, id, n) are candidates for each other in buckets of ``n``; ``confirm``
-    returns the links among pairs (a, b).  A bucket whose members are all in one group is done with.
-    In each of ``rounds`` every bucket draws one member, the same wherever it can be, and each other
-    member is compared to one of those drawn.  That joins most of what belongs together with one
-    pair a member; then the members of what is left are compared with those of other groups.
+    ``members`` (bucket, id, and what ``possible`` needs) are candidates for each other in their
+    buckets; ``confirm`` returns the links among pairs (a, b).  A bucket whose members are all in one group
+    is done with.  In each of ``rounds`` every bucket draws one member, the same wherever it can
+    be, and each other member is compared to one of those drawn.  That joins most of what belongs
+    together with one pair a member.  Then the members of what is left are compared with those of other
+    groups, where ``possible``, given the names of two rows of a bucket, does not rule it out.
     """
     groups = members.select(F.col("id").alias("node"), F.col("id").alias("component")).limit(0)
     for turn in range(rounds):
@@ -162,6 +174,6 @@ def grouped_by(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], ro
         met = open_.join(drawn, "bucket").where(F.col("group") != F.col("drawn.group")).groupBy("id").agg(F.min("drawn").alias("drawn"))
         groups = joined_groups(groups, confirm(met.select(F.col("drawn.id").alias("a"), F.col("id").alias("b"))))
     open_ = stored(divided(with_group(members, groups)))
-    main = with_main(open_.where(F.col("n") > SMALL))
-    across = pairs_across(main.withColumn("minor", F.col("group") != F.col("main")))
-    return joined_groups(groups, confirm(pairs_between(open_.where(F.col("n") <= SMALL)).union(across).distinct()))
+    x, y = open_.alias("x"), open_.alias("y")
+    both = F.expr("x.bucket = y.bucket and x.id < y.id and x.group <> y.group") & possible("x", "y")
+    return joined_groups(groups, confirm(x.join(y, both).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rovelog.llm.common import join_counted, stored, table
-from rovelog.llm.linking import SMALL, grouped_by, sized
+from rovelog.llm.linking import SMALL, grouped_by, only_those
 
 #: A word is an anchor if at least one in SHARE words is this one.
 SHARE = 200
@@ -202,11 +202,23 @@ def size_part(size: Column, percent: int) -> Column:
     return F.floor(F.log(size.cast("double")) / -math.log(percent / 100) + 1e-9).cast("int")
 
 
-def looked_up(sets: DataFrame, prefix: Column, percent: int) -> DataFrame:
-    """(bucket, id) of ``sets`` (id, size, ...): each signature of ``prefix``, with the set's partition and with the one before."""
+def looked_up(sets: DataFrame, prefix: Column, before: Column, percent: int) -> DataFrame:
+    """(bucket, id, size, place): each signature of ``prefix``, with the set's partition and with the one before.
+
+    ``place`` is that of the signature in the order of the set, where ``before`` others come before the prefix.
+    """
     part = size_part(F.col("size"), percent)
-    rows = sets.select("id", F.explode(F.array(part, part - 1)).alias("part"), prefix.alias("prefix"))
-    return rows.select("id", "part", F.explode("prefix").alias("one")).select(F.xxhash64("part", "one").alias("bucket"), "id")
+    rows = sets.select("id", "size", before.alias("before"), F.explode(F.array(part, part - 1)).alias("part"), prefix.alias("prefix"))
+    spots = rows.select("id", "size", "before", "part", F.posexplode("prefix").alias("at", "one"))
+    return spots.select(F.xxhash64("part", "one").alias("bucket"), "id", "size", (F.col("before") + F.col("at")).alias("place"))
+
+
+def possible(percent: int) -> Callable[[str, str], Column]:
+    """Whether two sets can be similar if the signature of their bucket is the first, in the order, that both have."""
+    return lambda x, y: F.expr(
+        f"least({x}.size, {y}.size) * 100 >= greatest({x}.size, {y}.size) * {percent} and "
+        f"least({x}.size - {x}.place, {y}.size - {y}.place) * {100 + percent} >= ({x}.size + {y}.size) * {percent}"
+    )
 
 
 def near_groups(sets: DataFrame, by: list[str], percent: int = SIMILAR_PERCENT) -> DataFrame:
@@ -218,7 +230,7 @@ def near_groups(sets: DataFrame, by: list[str], percent: int = SIMILAR_PERCENT)
     named = sets.where(F.col("class").isNotNull())
     classes = stored(named.groupBy(F.col("class").alias("id")).agg(F.first("signed").alias("signed")).withColumn("size", F.size("signed")))
     need = F.ceil(F.col("size") * percent / 100).cast("int")  # signatures that a similar set shares
-    keys = stored(looked_up(classes, F.slice("signed", F.lit(1), F.col("size") - need + 1), percent))
+    keys = stored(looked_up(classes, F.slice("signed", F.lit(1), F.col("size") - need + 1), F.lit(0), percent))
     crowded = stored(keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SMALL).select("bucket"))
     members = keys
     if not crowded.isEmpty():
@@ -230,14 +242,17 @@ def near_groups(sets: DataFrame, by: list[str], percent: int = SIMILAR_PERCENT)
         # The signatures of no other set would come first in this order.
         rest = F.greatest(F.size("some") - need + 1, F.lit(0))
         rarest = F.transform(F.slice("some", F.lit(1), rest), lambda spot: spot["one"])
-        members = keys.join(crowded, "bucket", "left_anti").union(looked_up(shared, rarest, percent))
+        alone = F.col("size") - F.size("some")
+        members = keys.join(crowded, "bucket", "left_anti").union(looked_up(shared, rarest, alone, percent))
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        a = classes.select(F.col("id").alias("a"), F.col("signed").alias("x"))
-        b = classes.select(F.col("id").alias("b"), F.col("signed").alias("y"))
+        pairs = stored(pairs)
+        some = only_those(classes.select("id", "signed"), pairs)
+        a = some.select(F.col("id").alias("a"), F.col("signed").alias("x"))
+        b = some.select(F.col("id").alias("b"), F.col("signed").alias("y"))
         return pairs.join(a, "a").join(b, "b").where(near(F.col("x"), F.col("y"), percent)).select("a", "b")
 
-    groups = grouped_by(stored(sized(members.distinct())), confirm, ROUNDS)
+    groups = grouped_by(stored(members), confirm, ROUNDS, possible(percent))
     of_set = sets.select(*by, "class").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
     grouped = stored(of_set.select(*by, F.coalesce("component", "class").alias("group")))
     first = grouped.where("group is not null").groupBy("group").agg(F.min(by[0]).alias("component"))
