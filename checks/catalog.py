@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import roles
@@ -12,9 +12,11 @@ from checks.session import own_folder
 from rovelog.functions.timeops import EASTERN, to_zone
 from rovelog.operators import asof, dwell, events, lookback, reinduct, rules, sites, stale
 from rovelog.operators.keyed import COPIES
+from rovelog.operators.places import in_order
 from rovelog.operators.timeline import cell_of
 from rovelog.plans.compliance import COLUMNS, Settings, compliance
 from rovelog.sources.sinks import shared_folder, write_report
+from rovelog.sources.tables import SCHEMAS, load_fleet, read_site_removals
 
 AS_OF = "2024-01-30 00:00:00"
 AS_OF_DAY = date(2024, 1, 30)
@@ -234,26 +236,37 @@ def write_dwell(spark, sf_dir):
     return spark.read.parquet(f"{_written(spark, sf_dir)}/dwell")
 
 
-def _places(df, *columns):
-    """``columns`` with the place of each row in the order of ``df``.
-
-    The number given in order has gaps between partitions; counting them out takes one task, over
-    a report that is read in order anyway.
-    """
-    numbered = df.select(*columns, F.monotonically_increasing_id().alias("_id"))
-    return numbered.withColumn("place", F.row_number().over(Window.orderBy("_id")) - 1).drop("_id")
-
-
 def ordered_report(spark, sf_dir):
-    return _places(compliance_wide(spark, sf_dir), "removed_timestamp_est", "site_id", "botnumber")
+    return in_order(compliance_wide(spark, sf_dir).select("removed_timestamp_est", "site_id", "botnumber"))
 
 
 def ordered_dwell(spark, sf_dir):
-    return _places(dwell_summary(spark, sf_dir), "event_date")
+    own_folder(spark)
+    return in_order(dwell_summary(spark, sf_dir).select("event_date"))
 
 
 def ordered_reinduct(spark, sf_dir):
-    return _places(weekly_reinduct(spark, sf_dir), "week_start", "botnumber")
+    own_folder(spark)
+    return in_order(weekly_reinduct(spark, sf_dir).select("week_start", "botnumber"))
+
+
+def site_folders(spark, sf_dir):
+    """The removals written as one folder a site, as a fleet keeps them, and read back in one scan."""
+    own_folder(spark)
+    path = shared_folder(spark)
+    rows = roles.removals(spark, sf_dir).where(F.col("site_id").isNotNull())
+    rows.withColumn("site", F.col("site_id")).drop("site_id").write.partitionBy("site").parquet(path)
+    return read_site_removals(spark, f"{path}/site={{site}}")
+
+
+def loaded_report(spark, sf_dir):
+    """The report over a fleet that is read from files."""
+    own_folder(spark)
+    path, tables = shared_folder(spark), roles.fleet(spark, sf_dir)
+    for name in SCHEMAS:
+        getattr(tables, name).write.parquet(f"{path}/{name}")
+    rows = compliance(load_fleet(spark, path), AS_OF, DAYS, WIDE, ordered=False)
+    return rows.groupBy("site_id", "valid_removal_reason").agg(F.count(F.lit(1)).alias("removals"))
 
 
 QUERIES = {
@@ -264,5 +277,6 @@ QUERIES = {
         stale_group, asof_join, asof_join_one, compliance_wide, compliance_report, compliance_one_site,
         verdict_counts, daily_snapshot, dwell_days, dwell_summary, weekly_reinduct, all_sites, site_report,
         to_site_local, write_by_site, write_dwell, ordered_report, ordered_dwell, ordered_reinduct,
+        site_folders, loaded_report,
     )
 }

@@ -53,7 +53,7 @@ errors AS (
     END AS error_category
   FROM bot_errors e JOIN sites s ON s.site_full = e.site_id
   WHERE {_local('datetime')} > TIMESTAMP '{as_of}' - INTERVAL '{days} days'
-    AND coalesce(event, '') NOT IN ('logFileWritten', 'behaviorStackTrace', 'constraintViolation')
+    AND (event IS NULL OR event NOT IN ('logFileWritten', 'behaviorStackTrace', 'constraintViolation'))
     AND try_cast(level AS DECIMAL(38,0)) IS NOT NULL)"""
 
 
@@ -62,13 +62,19 @@ def health_cte() -> str:
 health AS (SELECT *, {_local('"timestamp"')} AS local_ts FROM bot_health)"""
 
 
+# Texts of the issues that call for removal.
+_RED_FLAGS = """issue_classifications ILIKE '%Drive Fault Alarm --> {CAN1Bus Error%}'
+    OR issue_classifications ILIKE '%Traction Feedback Error%'
+    OR issue_classifications ILIKE '%Power Fault%'
+    OR issue_classifications ILIKE '%Caster Motor Current%'
+    OR issue_classifications ILIKE '%Blade Motor Current%'"""
+
+
 def flags_cte() -> str:
     return f"""
 red AS (
   SELECT DISTINCT bot_id, {_local('last_updated')} AS flagged_at FROM bot_recs
-  WHERE regexp_matches(lower(issue_classifications),
-    'drive fault alarm --> \\{{can1bus error.*\\}}$|traction feedback error|power fault|caster motor current|blade motor current',
-    's'))"""
+  WHERE {_RED_FLAGS})"""
 
 
 def recs_cte() -> str:
@@ -336,6 +342,10 @@ ORACLE = {
           removed_timestamp_est, site_id, botnumber FROM report""",
     ),
 }
+ORACLE["site_folders"] = _with(select="SELECT * FROM removals WHERE site_id IS NOT NULL")
+ORACLE["loaded_report"] = compliance_sql(
+    WIDE, select="SELECT site_id, valid_removal_reason, count(*) AS removals FROM report GROUP BY ALL"
+)
 ORACLE["write_dwell"] = ORACLE["dwell_summary"]
 ORACLE["ordered_dwell"] = f"""SELECT row_number() OVER (ORDER BY event_date DESC) - 1 AS place, event_date
 FROM ({ORACLE["dwell_summary"]})"""

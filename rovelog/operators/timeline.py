@@ -37,6 +37,9 @@ CELL = 300  # seconds
 # events has STEPS of them at most
 BROADCAST_ROWS = 1_000_000
 STEPS = 16
+# bits of the filter that many steps leave of a source before its shuffle: 64 to a row, so
+# its broadcast has 262,144 rows at most, however many steps there are
+FILTER_BITS = 1 << 24
 
 # order of rows that share a time: carried state, rows that count at their own
 # time, events, rows that count only later
@@ -252,9 +255,27 @@ def matching(
 
     Few keys are broadcast, many are met by a shuffle.  Either way rows are thinned out
     before they are combined: combining goes by the shuffled columns and more, so it
-    needs no further shuffle and sorts only what some event can see.
+    needs no further shuffle and sorts only what some event can see.  What is shuffled to
+    meet many keys has passed a filter of fixed size first.
     """
-    return combine(rows.join(F.broadcast(wanted) if few else wanted, on, "left_semi"))
+    return combine(rows.join(F.broadcast(wanted), on, "left_semi") if few else thinned(rows, wanted, on).join(wanted, on, "left_semi"))
+
+
+def thinned(rows: DataFrame, wanted: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``rows`` without most of those whose ``on`` is not in ``wanted``, and no fewer than the others.
+
+    Each wanted key sets one of FILTER_BITS bits, by its hash; a row stays if its bit is set.
+    The bits are put together by an aggregate and broadcast as numbers of 64.  Of other rows
+    the share stays that is set of the bits; a filter with most bits set is of no use but does no
+    harm.  Keys of different types on the two sides would hash differently; then all rows stay.
+    """
+    if any(rows.schema[c].dataType != wanted.schema[c].dataType for c in on):
+        return rows
+    bit = F.pmod(F.xxhash64(*on), F.lit(FILTER_BITS))
+    word, at = F.shiftright(bit, 6), bit.bitwiseAND(63).cast("int")
+    set_ = wanted.select(word.alias("_word"), F.expr("1L").alias("_one"), at.alias("_bit_at"))
+    bits = set_.groupBy("_word").agg(F.bit_or(F.expr("shiftleft(_one, _bit_at)")).alias("_bits"))
+    return rows.join(F.broadcast(bits), (word == F.col("_word")) & (F.getbit("_bits", at) == 1), "left_semi")
 
 
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:

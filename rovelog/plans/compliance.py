@@ -32,7 +32,7 @@ from rovelog.operators.rules import (
 )
 from rovelog.operators.sites import short_site_codes
 from rovelog.operators.stale import stale_group
-from rovelog.operators.timeline import BROADCAST_ROWS, cell_of, enrich, fit_broadcast
+from rovelog.operators.timeline import BROADCAST_ROWS, cell_of, enrich, fit_broadcast, thinned
 from rovelog.sources.sinks import written
 from rovelog.sources.tables import DAY_PART, FleetTables
 
@@ -217,7 +217,8 @@ def of_sites(tables: FleetTables, sites: Sequence[str]) -> tuple[FleetTables, Da
 def matched_scores(rows: DataFrame, recs: DataFrame, few: bool) -> DataFrame:
     """The different scores at the times that matched an event, with their numbers of copies."""
     times = rows.where(F.col("_rec_at").isNotNull()).select(SITE, BOT, F.col("_rec_at").alias("last_updated")).distinct()
-    wanted = recs.join(F.broadcast(times) if few else times, [SITE, BOT, "last_updated"], "left_semi")
+    by = [SITE, BOT, "last_updated"]
+    wanted = recs.join(F.broadcast(times), by, "left_semi") if few else thinned(recs, times, by).join(times, by, "left_semi")
     return record_variants(wanted, [SITE, BOT], "last_updated", "_rec_at", ["pull_score", "tcts_daily_avg"], "_tied")
 
 

@@ -1,0 +1,115 @@
+"""Filters before the shuffle, places without one task, many folders in one scan, and the tables of a fleet from files."""
+
+from dataclasses import replace
+from datetime import timedelta
+
+import pytest
+from conftest import fleet, frame, rows, t
+from pyspark.sql import functions as F
+
+from rovelog.operators import timeline
+from rovelog.operators.places import in_order
+from rovelog.plans.compliance import Settings, compliance
+from rovelog.sources.sinks import shared_folder
+from rovelog.sources.tables import SCHEMAS, load_fleet, read_site_removals, site_removals
+
+
+def explained(df) -> str:
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+@pytest.fixture
+def no_broadcast(spark, monkeypatch):
+    """Nothing is broadcast but what the library says."""
+    monkeypatch.setattr(timeline, "BROADCAST_ROWS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_filter_keeps_what_matches_and_little_else(spark):
+    source = spark.range(200_000).select((F.col("id") % 1000).alias("bot"), (F.col("id") * 300).alias("step"), "id")
+    wanted = source.where("id % 50 = 7").select("bot", "step")
+    left = {r["id"] for r in timeline.thinned(source, wanted, ["bot", "step"]).collect()}
+    matching = {i for i in range(200_000) if i % 50 == 7}
+    assert matching <= left and len(left) < len(matching) + 400  # 4,000 of 16 million bits are set
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 10])
+def test_a_full_filter_loses_nothing(spark, monkeypatch, bits):
+    monkeypatch.setattr(timeline, "FILTER_BITS", bits)
+    source = spark.range(3000).select(F.when(F.col("id") % 9 > 0, F.col("id") % 70).alias("bot"), "id")
+    wanted = spark.range(50).select(F.col("id").alias("bot"))
+    found = timeline.thinned(source, wanted, ["bot"])
+    assert {r["id"] for r in found.join(wanted, "bot").collect()} == {i for i in range(3000) if i % 9 > 0 and i % 70 < 50}
+
+
+def test_keys_of_other_types_pass_unfiltered(spark):
+    source, wanted = spark.range(100).selectExpr("int(id) bot"), spark.range(3).selectExpr("id bot")
+    assert timeline.thinned(source, wanted, ["bot"]).count() == 100
+
+
+def test_the_filter_is_below_the_exchange_of_the_source(spark, no_broadcast):
+    events = frame(spark, "removals", [{"botnumber": i % 5, "timestamp": t("10 10:00") + timedelta(hours=i)} for i in range(9)])
+    cells = events.select(F.col("botnumber").alias("bot_id"), timeline.cell_of(F.col("timestamp")).alias("_cell")).distinct()
+    base = shared_folder(spark)
+    frame(spark, "bot_health", [{"bot_id": i % 9, "timestamp": t("10 00:00") + timedelta(minutes=i)} for i in range(1440)]).write.parquet(base)
+    health = spark.read.parquet(base)
+    track = timeline.Track(health, F.col("timestamp"), reach=timeline.Reach(F.col("timestamp"), timedelta(hours=1)), latest={"n": F.lit(1)})
+    by, on = ["bot_id", "_cell", "_at", "_side"], ["bot_id", "_start"]
+    positioned = timeline._positioned(track, ["bot_id"])
+    seen = timeline.within_reach(positioned, lambda r: timeline._combined(r, track, by), cells, ["bot_id"], track.reach, False)
+    tree = explained(seen).split("\n\n")[0].split("\n")
+    scan = next(i for i, line in enumerate(tree) if "Scan parquet" in line)
+    last = max(i for i, line in enumerate(tree[:scan]) if "Exchange" in line)
+    assert any("BroadcastHashJoin LeftSemi" in line for line in tree[last:scan])
+    wanted = seen.select("bot_id", timeline.floor_to(timeline.seconds(F.col("_at")), 300).alias("_start")).distinct()
+    assert timeline.thinned(positioned, wanted, on).count() < positioned.count() / 2
+
+
+def test_places_follow_the_order_without_a_task_of_all_rows(spark):
+    some = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("v"), F.lit("x").alias("_id"))
+    found = in_order(some.orderBy(F.desc("v")))
+    assert sorted((r["place"], r["v"]) for r in found.collect()) == [(i, 4999 - i) for i in range(5000)]
+    assert found.columns == ["v", "_id", "place"]
+    plan = explained(found)
+    single = [b for b in plan.split("\n\n") if "SinglePartition" in b]
+    assert all("_n" in b for b in single)  # the counts of the partitions alone
+    assert in_order(some.limit(0)).count() == 0
+
+
+def test_the_removals_of_all_sites_in_one_scan(spark):
+    base, kept = shared_folder(spark), {}
+    for i in range(100):
+        code = f"S{i} +é" if i == 7 else f"S{i}"
+        kept[code] = frame(spark, "removals", [{"botnumber": i, "timestamp": t("10 10:00"), "action": "Removed"}] * (i % 3)).drop("site_id")
+        if i < 30:
+            kept[code].coalesce(1).write.parquet(f"{base}/{code}/removals")
+    few = {code: df for code, df in kept.items() if int(code.split(" ")[0][1:]) < 30}
+    found = read_site_removals(spark, f"{base}/{{site}}/removals")
+    assert rows(found) == rows(site_removals(few))
+    plan = explained(found)
+    assert sum("Scan parquet" in b for b in plan.split("\n\n")[1:]) == 1 and "Union" not in plan
+    assert rows(read_site_removals(spark, f"{base}/{{site}}/removals", sites=["S4", "S5"])) == rows(site_removals({k: kept[k] for k in ("S4", "S5")}))
+    with pytest.raises(ValueError, match="once"):
+        read_site_removals(spark, base)
+
+
+def test_the_site_of_health_and_messages_comes_through_the_readers(spark):
+    at = t("10 10:00")
+    tables = fleet(
+        spark,
+        removals=[{"site_id": "NO", "botnumber": 1, "timestamp": at, "action": "Removed"}],
+        bot_health=[{"bot_id": 1, "timestamp": at + timedelta(hours=5), "system_flagged": 1}],
+    )
+    base = shared_folder(spark)
+    for name in SCHEMAS:
+        table = getattr(tables, name)
+        if name in ("bot_health", "diagnostic_message"):
+            table = table.withColumn("site_id", F.lit("SO")).withColumn("other", F.lit(1))
+        table.write.parquet(f"{base}/{name}")
+    loaded = load_fleet(spark, base)
+    assert "site_id" in loaded.bot_health.columns and "other" not in loaded.bot_health.columns
+    flagged = lambda settings: [r["system_flagged"] for r in compliance(loaded, "2024-01-15 12:00:00", settings=settings).collect()]
+    assert flagged(Settings()) == [1] and flagged(replace(Settings(), site_scoped=True)) == [0]
