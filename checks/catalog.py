@@ -14,7 +14,8 @@ from rovelog.operators import asof, dwell, events, lookback, reinduct, rules, si
 from rovelog.operators.keyed import COPIES
 from rovelog.operators.places import in_order
 from rovelog.operators.timeline import cell_of
-from rovelog.plans.compliance import COLUMNS, Settings, compliance
+from rovelog.plans.compliance import COLUMNS, DISCONNECT_TOTALS, Settings, compliance, in_service
+from rovelog.sources.kept import refresh, totals
 from rovelog.sources.sinks import shared_folder, write_report
 from rovelog.sources.tables import SCHEMAS, load_fleet, read_site_removals
 
@@ -108,6 +109,21 @@ def disconnect_issue(spark, sf_dir):
     )
 
 
+def kept_disconnects(spark, sf_dir):
+    """The same from totals kept by day: of the first days, then of all, then with late rows for an old day."""
+    own_folder(spark)
+    path = shared_folder(spark)
+    rows = in_service(roles.bot_disconnect(spark, sf_dir)).withColumn("day", F.to_date("lost"))
+    late = (F.dayofmonth("day") == 3) & (F.xxhash64("bot_id") % 2 == 0)
+    arrived = [F.col("day") < F.lit(date(2024, 1, 15)), F.col("day") >= F.lit(date(2024, 1, 15)), late]
+    for turn, part in enumerate(arrived):
+        fresh = rows.where(part if turn == 2 else part & ~late)
+        fresh.write.mode("append").partitionBy("day").parquet(f"{path}/lost")
+        refresh(spark.read.parquet(f"{path}/lost"), f"{path}/lost", f"{path}/kept", DISCONNECT_TOTALS)
+    last = lookback.past_thresholds(totals(spark, f"{path}/kept", DISCONNECT_TOTALS), KEYS, "kind", WIDE.thresholds)
+    return lookback.flag_if_hit(removed(spark, sf_dir), last, KEYS, "event_ts", "last_lost_time", HOURS(72), "has_disconnect_issue")
+
+
 def red_flags(spark, sf_dir):
     recs = roles.bot_recs(spark, sf_dir).withColumn("flagged_at", to_zone(F.col("last_updated")))
     return rules.pattern_hits(recs, "issue_classifications", rules.RED_FLAG_PATTERNS, ["bot_id", "flagged_at"])
@@ -277,6 +293,6 @@ QUERIES = {
         stale_group, asof_join, asof_join_one, compliance_wide, compliance_report, compliance_one_site,
         verdict_counts, daily_snapshot, dwell_days, dwell_summary, weekly_reinduct, all_sites, site_report,
         to_site_local, write_by_site, write_dwell, ordered_report, ordered_dwell, ordered_reinduct,
-        site_folders, loaded_report,
+        site_folders, loaded_report, kept_disconnects,
     )
 }

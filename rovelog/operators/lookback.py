@@ -18,6 +18,7 @@ from rovelog.functions.timeops import EASTERN, EASTERN_BEHIND, in_repeated_hour,
 from rovelog.operators.events import event_times
 from rovelog.operators.keyed import COPIES
 from rovelog.operators.timeline import Feature, Reach, Track, enrich
+from rovelog.sources.kept import Totals
 
 LOCAL = "_local"
 
@@ -233,12 +234,18 @@ def disconnect_last_times(
     thresholds: Sequence[Threshold],
 ) -> DataFrame:
     """Last lost time per key and type, over all history, of the types past their threshold."""
+    spec = disconnect_totals(keys, kind, duration, lost)
     kinds = sorted({t.kind for t in thresholds})
-    totals = disconnects.where(F.col(kind).isin(kinds)).groupBy(*keys, kind).agg(
-        F.count(F.lit(1)).alias("_events"),
-        F.sum(duration).alias("_duration"),
-        F.max(lost).alias("last_lost_time"),
-    )
+    return past_thresholds(spec.of(disconnects.where(F.col(kind).isin(kinds))), keys, kind, thresholds)
+
+
+def disconnect_totals(keys: Sequence[str], kind: str, duration: str, lost: str) -> Totals:
+    """What is to be known of all disconnects of a key and type; ``sources.kept`` keeps it by day."""
+    return Totals([*keys, kind], {"_events": "1L", "_duration": f"`{duration}`"}, {"last_lost_time": f"`{lost}`"})
+
+
+def past_thresholds(totals: DataFrame, keys: Sequence[str], kind: str, thresholds: Sequence[Threshold]) -> DataFrame:
+    """Last lost time per key and type of the types past their threshold, from their totals."""
     past = F.lit(False)
     for t in thresholds:
         rule = (F.col(kind) == t.kind) & (F.col("_events") >= t.min_events)

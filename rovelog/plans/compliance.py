@@ -19,7 +19,9 @@ from rovelog.operators.lookback import (
     Threshold,
     counts_before,
     disconnect_last_times,
+    disconnect_totals,
     non_blank,
+    past_thresholds,
     seen_before,
     states_before,
 )
@@ -131,6 +133,7 @@ def compliance(
     sites: Sequence[str] | None = None,
     until: datetime | str | None = None,
     ordered: bool = True,
+    lost_totals: DataFrame | None = None,
 ) -> DataFrame:
     """One row per removal (and per tied score record) with features and verdict.
 
@@ -138,11 +141,14 @@ def compliance(
     ``Settings.site_scoped``), errors, disconnects and scores by site and machine, as in
     the report.  ``sites`` (short codes) limits every source that knows its site.  The
     call itself writes two steps to the shared folder: the removals, and these with what
-    was found by site and machine; and the scores that matched one.
+    was found by site and machine; and the scores that matched one.  ``lost_totals``, kept by
+    ``sources.kept`` for DISCONNECT_TOTALS, stand for the disconnects of all history, which are then not read.
     """
     scored = tables.bot_recs
     if sites is not None:
         tables, scored = of_sites(tables, sites)
+    if lost_totals is not None and sites is not None:
+        lost_totals = lost_totals.where(F.col(SITE).isin(list(sites)))
     events = written(removal_events(tables.removals, as_of, days, until))
     start = wall(as_of) - span(timedelta(days=days))
 
@@ -166,7 +172,7 @@ def compliance(
             previous_event(events, TS, "_prev"),
             latest_time_before(recs, "last_updated", "_rec_at", EASTERN),
             error_feature(errors, settings),
-            disconnect_feature(tables.bot_disconnect, settings),
+            disconnect_feature(tables.bot_disconnect, settings, lost_totals),
         ],
         few=few,
     )
@@ -283,20 +289,22 @@ def error_feature(errors: DataFrame, settings: Settings):
     return counts_before(errors, "error_ts", "error_category", counts, raw="datetime")
 
 
-def disconnect_feature(disconnects: DataFrame, settings: Settings):
-    in_service = disconnects.where(
-        (F.col("connect_operational_status") == "Operating")
-        & (F.col("lost_operational_status") == "Operating")
-    ).select(
-        F.col("Bot Id").alias(BOT),
-        F.col("Site Id").alias(SITE),
-        F.col("Disconnect Type").alias("kind"),
-        F.col("Disconnect Duration").alias("duration"),
-        F.col("Lost Time").alias("lost"),
-    )
-    last = disconnect_last_times(
-        in_service, [SITE, BOT], "kind", "duration", "lost", settings.thresholds
-    )
+DISCONNECT_TOTALS = disconnect_totals([SITE, BOT], "kind", "duration", "lost")
+
+
+def in_service(disconnects: DataFrame) -> DataFrame:
+    """The disconnects that count, with all their columns and the names of DISCONNECT_TOTALS."""
+    operating = (F.col("connect_operational_status") == "Operating") & (F.col("lost_operational_status") == "Operating")
+    names = {"Bot Id": BOT, "Site Id": SITE, "Disconnect Type": "kind", "Disconnect Duration": "duration", "Lost Time": "lost"}
+    return disconnects.where(operating).withColumnsRenamed(names)
+
+
+def disconnect_feature(disconnects: DataFrame, settings: Settings, totals: DataFrame | None = None):
+    """From all disconnects, or from their kept ``totals``."""
+    if totals is not None:
+        last = past_thresholds(totals, [SITE, BOT], "kind", settings.thresholds)
+    else:
+        last = disconnect_last_times(in_service(disconnects), [SITE, BOT], "kind", "duration", "lost", settings.thresholds)
     return seen_before(last, "last_lost_time", TS, settings.disconnect, "has_disconnect_issue")
 
 
