@@ -41,6 +41,7 @@ NPM = re.compile(r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])")
 CARD = re.compile(r"card\D{0,20}((?:\d[ -]?){12,18}\d)(?!\d)", re.IGNORECASE | re.ASCII)
 IBAN = re.compile(r"iban[^A-Za-z0-9]{0,5}([A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])", re.IGNORECASE | re.ASCII)
 JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+JWT_RUN = re.compile(r"[A-Za-z0-9_-]*")
 KEYWORDS = {
     "password": "assign", "passwd": "assign", "secret": "assign", "token": "assign", "apikey": "assign",
     "api_key": "assign", "akia": "access", "ghp_": "github", "gho_": "github", "ghu_": "github",
@@ -106,6 +107,8 @@ def scan(text: str, words: ahocorasick.Automaton) -> list[tuple[int, int, int]]:
     """(start, place of the kind in KINDS, end) of every secret, in that order; code points, end exclusive.
 
     Matches of a kind do not overlap: a place inside the last match of its kind, valid or not, is passed over.
+    A token that fails has failed for all places in its first part, which end where it does; so
+    these are passed over too, and the work is linear in the text.
     """
     lower = text.lower()
     if len(lower) != len(text):  # a few letters grow when lower-cased
@@ -123,6 +126,8 @@ def scan(text: str, words: ahocorasick.Automaton) -> list[tuple[int, int, int]]:
             span = span_of(match)
             if span:
                 found.append((span[0], KINDS.index(kind), span[1]))
+        elif kind == "jwt" and text.startswith("eyJ", start):
+            free[kind] = JWT_RUN.match(text, start).end()
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     return sorted(set(found))
 

@@ -5,6 +5,9 @@ import binascii
 import hashlib
 import json
 import random
+import time
+
+import pytest
 
 from rovelog.llm import secrets as S
 
@@ -71,3 +74,25 @@ def test_rows(spark):
     assert all(r["base_sha256"] == empty and r["spans"] == "" for r in found if r["doc_id"] in (None, 2))
     assert [r["spans"] for r in found if r["doc_id"] == 3] == ["assign:300001:300017"]
     assert S.digest(S.scan_secrets(docs.limit(0))).count() == 0
+
+
+def test_tokens_equal_trying_every_place(spark):
+    draw = random.Random(4)
+    for _ in range(3000):
+        text = "".join(draw.choice(["eyJ", "eyJ", ".", "a", "hbGciOiJIUzI1NiJ9", " ", "EYJ", "x."]) for _ in range(draw.randrange(1, 14)))
+        expected, free = [], 0
+        for at in range(len(text)):
+            match = S.JWT.match(text, at)
+            if match and at >= free:
+                free = match.end()
+                if S.names_algorithm(match[1]):
+                    expected.append(("jwt", match[0]))
+        assert sorted(k for k in kinds(text) if k[0] == "jwt") == sorted(set(expected)), text
+
+
+@pytest.mark.parametrize("piece", ["eyJ", "eyJa.", "eyJa.eyJb ", "token", "card 4 ", "iban GB82", "npm_a", "AKIA", "secret = "])
+def test_long_texts_take_linear_time(piece):
+    text = piece * (1_000_000 // len(piece))
+    began = time.perf_counter()
+    S.scan(text, WORDS)
+    assert time.perf_counter() - began < 5
