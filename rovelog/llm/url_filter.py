@@ -50,8 +50,6 @@ RULES = (
 ORDER = 5
 #: Windows whose values are sent to the tasks at most; all others are joined.
 HOT = 1 << 18
-#: Slots for each context length of the hashed table that :func:`log_ratio` reads.
-SLOTS = 1 << 16
 #: One in HELD_OUT labelled urls calibrates the threshold instead of training.
 HELD_OUT = 5
 #: Bins of the calibration histogram over score differences in nats a character.
@@ -81,24 +79,6 @@ def with_rules(urls: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     return out.withColumn("_rule", name).withColumn("_ruled", verdict)
 
 
-def _grams(text: str) -> np.ndarray:
-    """Slots, one row for each context length and one column for each character and the end."""
-    chars = np.frombuffer(("\x02" * (ORDER - 1) + text + "\x03").encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    n = len(text) + 1
-    now = chars[ORDER - 1:]
-    out = np.empty((2 * ORDER, n), dtype=np.int64)
-    context = np.zeros(n, dtype=np.uint64)
-    for k in range(ORDER):
-        if k:
-            context = context * np.uint64(0x100000001B3) + chars[ORDER - 1 - k:ORDER - 1 - k + n] + np.uint64(1)
-        base = (context + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed = (base ^ (base >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        with_char = (base ^ ((now + np.uint64(7)) * np.uint64(0x94D049BB133111EB))) * np.uint64(0xBF58476D1CE4E5B9)
-        out[k] = 2 * k * SLOTS + (mixed >> np.uint64(48)).astype(np.int64)
-        out[ORDER + k] = (2 * k + 1) * SLOTS + (with_char >> np.uint64(48)).astype(np.int64)
-    return out
-
-
 #: Characters a url may hold: the uniform distribution below the shortest context.
 ALPHABET = 256.0
 
@@ -112,18 +92,6 @@ def blended(p, seen, with_char):
     return (with_char + 2.0 * p) / (seen + 2.0)
 
 
-def log_ratio(text: str, counts: np.ndarray) -> float:
-    """Log-likelihood as accepted minus as rejected, in nats a character, by a hashed table in memory.
-
-    For few urls only: contexts that share a slot are one.  The operator itself counts exactly.
-    """
-    slots = _grams(text)
-    p = np.full((2, slots.shape[1]), 1.0 / ALPHABET)
-    for k in range(ORDER):
-        p = blended(p, counts[:, slots[k]], counts[:, slots[ORDER + k]])
-    return float(np.log(p[1] / p[0]).sum() / slots.shape[1])
-
-
 def _windows(urls: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """The ORDER characters up to each character and the end, of all urls in turn, and how many each url has."""
     texts = ["\x02" * (ORDER - 1) + url + "\x03" for url in urls]
@@ -280,8 +248,8 @@ def filter_urls(urls: DataFrame, url: str = "url", rules: Sequence[Rule] = RULES
     The verdict is that of the longest rule that fits; else ``allow`` if the language-model ratio
     reaches the calibrated threshold, else ``block``.  ``score`` is that ratio above the threshold.
     A null url is judged as the empty text.  Without any labelled url all ratios are 0 and urls
-    without a rule are allowed.  Columns of the same names in ``urls`` are replaced, and those
-    whose names are these with an underscore in front are dropped.
+    without a rule are allowed.  Columns of the same names in ``urls`` are replaced; all others are
+    kept, whatever their names.  Repeated rows are judged alike.  An empty table gives no rows.
     """
     small_batches(urls.sparkSession)
     spread = with_rules(urls.select(F.coalesce(F.col(url), F.lit("")).alias("_url")), rules)
@@ -290,18 +258,15 @@ def filter_urls(urls: DataFrame, url: str = "url", rules: Sequence[Rule] = RULES
     windows = stored(counted_windows(spread.select("_url", kind.alias("_kind"))))
     ratios = Ratios(spread, stored(window_values(windows)))
     threshold = calibrate(ratios.added(spread.where("_ruled is not null").where(held), "_ratio"))
-    judged = ratios.added(with_rules(urls.withColumn("_url", F.col(url)), rules), "_score")
+    # the caller's columns travel as one, so that no name meets those used here
+    judged = ratios.added(with_rules(urls.select(F.struct(*urls.columns).alias("_row"), F.col(url).alias("_url")), rules), "_score")
     judged = judged.withColumn("_score", F.col("_score") - threshold)
     by_model = F.when(F.col("_score") >= 0, "allow").otherwise("block")
-    return judged.withColumns(
-        {
-            "host": F.col("_host"),
-            "path": F.col("_path"),
-            "rule": F.col("_rule"),
-            "verdict": F.coalesce("_ruled", by_model),
-            "score": F.col("_score"),
-        }
-    ).drop("_url", "_host", "_path", "_rule", "_ruled", "_score")
+    results = {
+        "host": F.col("_host"), "path": F.col("_path"), "rule": F.col("_rule"), "verdict": F.coalesce("_ruled", by_model), "score": F.col("_score"),
+    }
+    kept = [F.col("_row")[c].alias(c) for c in urls.columns if c.lower() not in results]
+    return judged.select(*kept, *[c.alias(name) for name, c in results.items()])
 
 
 def op4_url_lm_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,34 +46,6 @@ def test_empty_table_and_no_labels(spark):
     assert [r["verdict"] for r in U.filter_urls(rows).collect()] == ["allow", "allow"]
 
 
-def test_ratio_equals_a_model_of_plain_dictionaries():
-    good, bad = ["http://a.org/good/1", "http://a.org/good/22"], ["http://b.org/spam/1"] * 3
-    counts = np.zeros((2, 2 * U.ORDER * U.SLOTS))
-    seen: list[dict] = [{}, {}]
-    for kind, urls in ((0, bad), (1, good)):
-        for url in urls:
-            np.add.at(counts[kind], U._grams(url).ravel(), 1)
-            text = "\x02" * (U.ORDER - 1) + url + "\x03"
-            for at in range(U.ORDER - 1, len(text)):
-                for k in range(U.ORDER):
-                    for gram in (text[at - k:at], text[at - k:at + 1] + "|"):
-                        seen[kind][k, gram] = seen[kind].get((k, gram), 0) + 1
-
-    def log_likelihood(url, kind):
-        text, total = "\x02" * (U.ORDER - 1) + url + "\x03", 0.0
-        for at in range(U.ORDER - 1, len(text)):
-            p = 1 / U.ALPHABET
-            for k in range(U.ORDER):
-                before = seen[kind].get((k, text[at - k:at]), 0)
-                p = (seen[kind].get((k, text[at - k:at + 1] + "|"), 0) + 2 * p) / (before + 2)
-            total += math.log(p)
-        return total
-
-    for url in ("http://a.org/good/3", "http://b.org/spam/9", "", "zzz"):
-        expected = (log_likelihood(url, 1) - log_likelihood(url, 0)) / (len(url) + 1)
-        assert U.log_ratio(url, counts) == pytest.approx(expected, abs=0.02)  # but for rare hash collisions
-
-
 def test_urls_without_a_rule_follow_the_ruled_ones(spark):
     rows = [f"http://h{i}.com/news/{i}" for i in range(60)] + [f"http://h{i}.net/fr/win-{i}" for i in range(60)]
     asked = ["http://h7.org/news/7", "http://h8.org/fr/win-8"]
@@ -140,3 +112,16 @@ def test_scores_are_those_of_exact_counts_sent_or_joined(spark, monkeypatch):
     shift = sent[rows[0]] - ratio(rows[0])  # the threshold
     for u in rows:
         assert sent[u] == pytest.approx(ratio(u) + shift, abs=1e-9)
+
+
+@pytest.mark.parametrize("hot", [1 << 18, 20])
+def test_columns_of_any_name_are_kept(spark, monkeypatch, hot):
+    monkeypatch.setattr(U, "HOT", hot)
+    names = ["_url", "_host", "_path", "_rule", "_ruled", "_score", "_code", "_more", "_own", "_known", "_row", "window", "value", "a.b"]
+    rows = [(u, *[f"{n}{i % 7}" for n in names], "gone") for i, (u, _, _) in enumerate(urls_with_ids(15))]
+    frame = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in ["url", *names, "Host"]))
+    found = U.filter_urls(frame.withColumnRenamed("a.b", "ab"))
+    assert found.columns == ["url", *names[:-1], "ab", "host", "path", "rule", "verdict", "score"]
+    kept = sorted(tuple(r)[: len(names) + 1] for r in found.collect())
+    assert kept == sorted(r[:-1] for r in rows)
+    assert {r["host"] for r in found.collect()} == {"x.com", "x.net", "x.org"}
