@@ -16,7 +16,7 @@ from rovelog.operators.places import in_order
 from rovelog.operators.timeline import cell_of
 from rovelog.plans.compliance import COLUMNS, DISCONNECT_TOTALS, Settings, compliance, in_service
 from rovelog.sources.kept import refresh, totals
-from rovelog.sources.sinks import shared_folder, write_report
+from rovelog.sources.sinks import publish, published, shared_folder, write_report
 from rovelog.sources.tables import SCHEMAS, load_fleet, read_site_removals
 
 AS_OF = "2024-01-30 00:00:00"
@@ -247,6 +247,15 @@ def write_by_site(spark, sf_dir):
     return spark.read.parquet(f"{_written(spark, sf_dir)}/compliance").select(*COLUMNS)
 
 
+def published_report(spark, sf_dir):
+    """The report as read back after one site was run again and put in its place."""
+    own_folder(spark)
+    path, tables = shared_folder(spark), roles.fleet(spark, sf_dir)
+    publish(compliance(tables, AS_OF, DAYS, WIDE, ordered=False), dwell.dwell_summary(tables.bot_health, AS_OF_DAY, DAYS, ordered=False), path)
+    publish(compliance(tables, AS_OF, DAYS, WIDE, sites=["NATION_7"], ordered=False), None, path, sites=["NATION_7"])
+    return published(spark, path)[0].select(*COLUMNS)
+
+
 def write_dwell(spark, sf_dir):
     """The dwell summary as read back."""
     return spark.read.parquet(f"{_written(spark, sf_dir)}/dwell")
@@ -293,6 +302,6 @@ QUERIES = {
         stale_group, asof_join, asof_join_one, compliance_wide, compliance_report, compliance_one_site,
         verdict_counts, daily_snapshot, dwell_days, dwell_summary, weekly_reinduct, all_sites, site_report,
         to_site_local, write_by_site, write_dwell, ordered_report, ordered_dwell, ordered_reinduct,
-        site_folders, loaded_report, kept_disconnects,
+        site_folders, loaded_report, kept_disconnects, published_report,
     )
 }

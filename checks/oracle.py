@@ -346,6 +346,7 @@ ORACLE["site_folders"] = _with(select="SELECT * FROM removals WHERE site_id IS N
 ORACLE["loaded_report"] = compliance_sql(
     WIDE, select="SELECT site_id, valid_removal_reason, count(*) AS removals FROM report GROUP BY ALL"
 )
+ORACLE["published_report"] = ORACLE["write_by_site"]
 ORACLE["kept_disconnects"] = ORACLE["disconnect_issue"]
 ORACLE["write_dwell"] = ORACLE["dwell_summary"]
 ORACLE["ordered_dwell"] = f"""SELECT row_number() OVER (ORDER BY event_date DESC) - 1 AS place, event_date

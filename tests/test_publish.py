@@ -1,0 +1,61 @@
+"""A published report is whole, old or new, and a site can be run again on its own."""
+
+import pytest
+from conftest import fleet, rows, t
+from pyspark.sql import functions as F
+
+from rovelog.plans.compliance import compliance
+from rovelog.sources import sinks
+from rovelog.sources.sinks import publish, published, shared_folder
+
+AS_OF = "2024-01-15 12:00:00"
+
+
+def report(spark, bots, sites=("NO", "SO")):
+    at = [{"site_id": s, "botnumber": b, "timestamp": t("10 10:00"), "action": "Removed"} for s in sites for b in bots]
+    return compliance(fleet(spark, removals=at), AS_OF)
+
+
+def dwell(spark, n):
+    return spark.createDataFrame([("prod", n)], "environment string, n long")
+
+
+
+def test_one_site_again(spark):
+    path = shared_folder(spark)
+    publish(report(spark, [1, 2]), dwell(spark, 1), path)
+    first, _ = published(spark, path)
+    names = lambda files: {f.rsplit("/", 1)[-1] for f in files if "site_id=NO" in f}
+    old = names(first.inputFiles())
+    publish(report(spark, [3], ["SO"]), None, path, sites=["SO"])
+    found, days = published(spark, path)
+    assert rows(found, "site_id", "botnumber") == [("NO", 1), ("NO", 2), ("SO", 3)] and rows(days) == [("prod", 1)]
+    assert old and names(found.inputFiles()) == old
+    publish(report(spark, [], ["SO"]), dwell(spark, 2), path, sites=["SO"])
+    found, days = published(spark, path)
+    assert rows(found, "site_id", "botnumber") == [("NO", 1), ("NO", 2)] and rows(days) == [("prod", 2)]
+    with pytest.raises(ValueError, match="not asked for"):
+        publish(report(spark, [1]), None, path, sites=["SO"])
+    publish(report(spark, [9], ["SO"]), None, path)
+    assert rows(published(spark, path)[0], "site_id", "botnumber") == [("SO", 9)]
+
+
+@pytest.mark.parametrize("fails", ["dwell", "table"])
+def test_a_failed_write_leaves_the_old_report(spark, monkeypatch, fails):
+    path = shared_folder(spark)
+    with pytest.raises(ValueError, match="published"):
+        published(spark, path)
+    publish(report(spark, [1]), dwell(spark, 1), path)
+    new = report(spark, [2])
+    if fails == "dwell":
+        with pytest.raises(Exception, match="broken"):
+            publish(new, dwell(spark, 2).select(F.raise_error(F.lit("broken")).alias("n")), path)
+    else:
+        monkeypatch.setattr(sinks, "newest", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            publish(new, dwell(spark, 2), path)
+        monkeypatch.undo()
+    found, days = published(spark, path)
+    assert rows(found, "site_id", "botnumber") == [("NO", 1), ("SO", 1)] and rows(days) == [("prod", 1)]
+    publish(report(spark, [2]), dwell(spark, 2), path)
+    assert rows(published(spark, path)[0], "botnumber") == [(2,), (2,)]
