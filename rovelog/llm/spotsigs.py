@@ -203,20 +203,23 @@ def size_part(size: Column, percent: int) -> Column:
 
 
 def looked_up(sets: DataFrame, prefix: Column, before: Column, percent: int) -> DataFrame:
-    """(bucket, id, size, place): each signature of ``prefix``, with the set's partition and with the one before.
+    """(bucket, id, size, place, own): each signature of ``prefix``, with the set's ``own`` partition and with the one before.
 
     ``place`` is that of the signature in the order of the set, where ``before`` others come before the prefix.
     """
     part = size_part(F.col("size"), percent)
-    rows = sets.select("id", "size", before.alias("before"), F.explode(F.array(part, part - 1)).alias("part"), prefix.alias("prefix"))
-    spots = rows.select("id", "size", "before", "part", F.posexplode("prefix").alias("at", "one"))
-    return spots.select(F.xxhash64("part", "one").alias("bucket"), "id", "size", (F.col("before") + F.col("at")).alias("place"))
+    rows = sets.select("id", "size", before.alias("before"), part.alias("its"), F.explode(F.array(part, part - 1)).alias("part"), prefix.alias("prefix"))
+    spots = rows.select("id", "size", "before", "its", "part", F.posexplode("prefix").alias("at", "one"))
+    return spots.select(F.xxhash64("part", "one").alias("bucket"), "id", "size", (F.col("before") + F.col("at")).alias("place"), (F.col("its") == F.col("part")).alias("own"))
 
 
 def possible(percent: int) -> Callable[[str, str], Column]:
-    """Whether two sets can be similar if the signature of their bucket is the first, in the order, that both have."""
+    """Whether two sets can be similar if the signature of their bucket is the first, in the order, that both have.
+
+    Two of the same partition are left to the bucket of that one.
+    """
     return lambda x, y: F.expr(
-        f"least({x}.size, {y}.size) * 100 >= greatest({x}.size, {y}.size) * {percent} and "
+        f"({x}.own or {y}.own) and least({x}.size, {y}.size) * 100 >= greatest({x}.size, {y}.size) * {percent} and "
         f"least({x}.size - {x}.place, {y}.size - {y}.place) * {100 + percent} >= ({x}.size + {y}.size) * {percent}"
     )
 
