@@ -88,7 +88,7 @@ def test_the_entry_imports_without_this_package(tmp_path):
                 (target / file.relative_to(source)).write_text(file.read_text())
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) >= 28 and not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
-    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' in q and sum(n.startswith('op') for n in q) == 10"
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' in q and sum(n.startswith('op') for n in q) == 13"
     subprocess.run([sys.executable, "-c", code], cwd=REPO, check=True)
 
 
