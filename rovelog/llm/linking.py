@@ -71,11 +71,9 @@ def with_group(members: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def divided(grouped: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one group."""
-    mixed = (
-        grouped.groupBy("bucket").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi").select("bucket")
-    )
-    return grouped.join(mixed, "bucket")
+    """Members of buckets that hold more than one group, with ``held``, the bucket's size."""
+    seen = grouped.groupBy("bucket").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count(F.lit(1)).alias("held"))
+    return grouped.join(seen.where("lo <> hi").select("bucket", "held"), "bucket")
 
 
 def with_main(grouped: DataFrame) -> DataFrame:
@@ -112,7 +110,8 @@ def linked_groups(
     """(node, component) of all ids that are linked to another.
 
     ``members`` (bucket, id) is stored.  ``confirm`` takes candidate pairs (a, b) and returns those
-    that are links.  ``deepen`` takes (bucket, id) of large buckets and returns smaller buckets.
+    that are links.  ``deepen`` takes (bucket, id, group) of large buckets and returns smaller buckets in the same
+    columns: many rows for each it takes, of which only those in buckets of several groups are joined to anything.
     ``compare`` takes (bucket, id, group, minor) and returns links (a, b) that connect what the links
     between minor members and members of other groups connect.
     """
@@ -125,9 +124,8 @@ def linked_groups(
     if mixed.isEmpty():
         return groups
     if deepen:
-        open_ = mixed.where("not ruled").select("bucket", "id")
-        split = stored(divided(with_group(sized(deepen(open_)), groups)))
-        few, many = split.where(F.col("n") <= SMALL), split.where(F.col("n") > SMALL).select("bucket", "id", "group")
+        split = stored(divided(deepen(mixed.where("not ruled").select("bucket", "id", "group"))))
+        few, many = split.where(F.col("held") <= SMALL), split.where(F.col("held") > SMALL).select("bucket", "id", "group")
         met = pairs_between(few).union(pairs_with_pivots(many))
         groups = joined_groups(groups, confirm(met.distinct()))
         left = mixed.where("ruled").select("bucket", "id").union(many.select("bucket", "id"))

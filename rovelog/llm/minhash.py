@@ -293,11 +293,12 @@ def near_duplicates(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
                 values = np.stack([np.frombuffer(s, dtype=np.uint32) for s in batch["signature"]])
                 start = batch["bucket"].to_numpy(dtype=np.int64).view(np.uint64)
                 below, rows = restarted(start, np.arange(len(batch)), values)
-                yield pd.DataFrame({"bucket": below.view(np.int64), "id": batch["id"].to_numpy()[rows]}).drop_duplicates()
+                ids, groups = (batch[name].to_numpy()[rows] for name in ("id", "group"))
+                yield pd.DataFrame({"bucket": below.view(np.int64), "id": ids, "group": groups}).drop_duplicates()
 
         wanted = nodes.select(F.col("id").alias("key")).distinct()
         signatures = found.select("key", "signature").join(wanted, "key").dropDuplicates(["key"]).withColumnRenamed("key", "id")
-        return nodes.join(signatures, "id").mapInPandas(run, "bucket long, id binary")
+        return nodes.join(signatures, "id").mapInPandas(run, "bucket long, id binary, group binary")
 
     groups = linked_groups(
         members, lambda pairs: confirmed(pairs, sets, percent), deepen, lambda rows: compared(rows, sets, percent)
