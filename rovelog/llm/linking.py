@@ -70,6 +70,15 @@ def with_group(members: DataFrame, groups: DataFrame) -> DataFrame:
     return known.withColumn("group", F.coalesce("component", "id")).drop("component")
 
 
+def with_group_once(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """As :func:`with_group`, for ids in many buckets: the join takes one row an id, which carries its buckets.
+
+    The caller bounds the number of buckets an id is in.
+    """
+    each = members.groupBy("id").agg(F.collect_list("bucket").alias("buckets"))
+    return with_group(each, groups).select(F.explode("buckets").alias("bucket"), "id", "group")
+
+
 def divided(grouped: DataFrame) -> DataFrame:
     """Members of buckets that hold more than one group, with ``held``, the bucket's size."""
     seen = grouped.groupBy("bucket").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count(F.lit(1)).alias("held"))
@@ -109,7 +118,7 @@ def linked_groups(
 ) -> DataFrame:
     """(node, component) of all ids that are linked to another.
 
-    ``members`` (bucket, id) is stored.  ``confirm`` takes candidate pairs (a, b) and returns those
+    ``members`` (bucket, id) is stored; the caller bounds the buckets of an id.  ``confirm`` takes candidate pairs (a, b) and returns those
     that are links.  ``deepen`` takes (bucket, id, group) of large buckets and returns smaller buckets in the same
     columns: many rows for each it takes, of which only those in buckets of several groups are joined to anything.
     ``compare`` takes (bucket, id, group, minor) and returns links (a, b) that connect what the links
@@ -120,7 +129,7 @@ def linked_groups(
     large = members.where(F.col("n") > SMALL).select("bucket", "id")
     first = pairs_within(members.where(F.col("n") <= SMALL)).union(pairs_with_pivots(large))
     groups = stored(components(stored(confirm(first.distinct()))))
-    mixed = stored(with_main(divided(with_group(large, groups))))
+    mixed = stored(with_main(divided(with_group_once(large, groups))))
     if mixed.isEmpty():
         return groups
     if deepen:
@@ -129,7 +138,7 @@ def linked_groups(
         met = pairs_between(few).union(pairs_with_pivots(many))
         groups = joined_groups(groups, confirm(met.distinct()))
         left = mixed.where("ruled").select("bucket", "id").union(many.select("bucket", "id"))
-        mixed = stored(with_main(divided(with_group(left, groups))))
+        mixed = stored(with_main(divided(with_group_once(left, groups))))
     return joined_groups(groups, compare(merged(mixed)))
 
 
