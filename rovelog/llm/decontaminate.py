@@ -1,15 +1,21 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of the words around them.
-
-The seeds of a test item are all its word 3-grams.  How often a 3-gram is in the corpus says nothing
-of whether it belongs to a copy: an edited passage that was itself copied into very many documents
-makes just those 3-grams common that its copies kept.  So none is left out, and chance hits are
-settled by what they cost least: around each seed that a document shares with an item, the words
-that both have are counted, which bounds the score of any alignment.  What may reach LEAST is aligned
-locally; the score, divided by that of the whole item aligned with itself, tells a copy, an edited
-copy or a paraphrase from a chance hit.
-
-Documents are read once and never shuffled.  Items go to the tasks in blocks of bounded size; a
-larger benchmark takes more of them.
+"""Benchmark decontamination: rare n-gram seeds join documents to test items, Smith-Waterman scores the words around them.
+
+Items are cut into equal parts of at most PART words; copied items and parts count once.  Every place
+of a part has one seed: its shortest n-gram of LENGTHS that is rare, that is, found at no more than
+RARE places of all parts, or its longest one where none is.  So each place is covered, however often
+the corpus holds it, and a seed in a document meets a bounded number of parts.  Rarity is not judged
+by the corpus: an edited passage that was copied into very many documents makes just those n-grams
+common there that its copies kept.
+
+Documents are read once.  A bitmap of fixed size tells which of their n-grams may be seeds; the words
+around such places go on, once for all documents of the same text, and the seeds among them are joined
+to the seeds of the parts.  A window of three times the part's length around each meeting is aligned
+locally, if the words that both have allow it; the score, divided by that of the whole part aligned
+with itself, tells a copy, an edited copy or a paraphrase from a chance hit.  An item that reaches LEAST
+has a part that does, because scores of disjoint parts add up; so does any excerpt of 2 * PART words.
+
+What a task holds does not depend on the size of the benchmark: the joins with its seeds and words are
+broadcast up to a counted size and shuffled beyond.
 """
 
 from __future__ import annotations
@@ -22,17 +28,22 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import shipped, small_batches, table
+from rovelog.llm.common import join_counted, shipped, small_batches, stored, table, unused
 
-SEED_WORDS = 3
+#: Words of a seed, shortest first.
+LENGTHS = (3, 4, 6, 8)
+#: Places of all parts at which an n-gram may be and still count as rare.
+RARE = 64
+#: Words of an item that are aligned at once.
+PART = 100
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Share of the item's own score from which a document is contaminated.
+#: Share of the part's own score from which a document is contaminated.
 LEAST = 0.6
-#: Characters of items that are sent to the tasks at once.
-BLOCK_CHARS = 8_000_000
+#: Bits of the bitmap, as powers of two: for each n-gram 16, within these bounds.
+FEWEST_BITS, MOST_BITS = 16, 27
 
 _WORD = re.compile(r"\w+")
 _U = np.uint64
@@ -53,79 +64,51 @@ def word_hashes(text: str | None, known: WordHashes) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def grams(words: np.ndarray) -> np.ndarray:
-    if len(words) < SEED_WORDS:
-        return np.empty(0, dtype=np.uint64)
-    total = words[:-2] * _U(0x9E3779B97F4A7C15) + words[1:-1] * _U(0xC2B2AE3D27D4EB4F) + words[2:] * _U(0x165667B19E3779F9)
-    return total ^ (total >> _U(32))
+def grams(words: np.ndarray, length: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the n-grams of ``length`` words, of all places or of those ``at`` which they fit."""
+    if at is None:
+        at = np.arange(max(0, len(words) - length + 1))
+    total = np.full(len(at), length, dtype=np.uint64)
+    for i in range(length):
+        total += words[at + i] * _U((2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+    total = (total ^ (total >> _U(32))) * _U(0xC2B2AE3D27D4EB4F)
+    return total ^ (total >> _U(29))
 
 
-class Items:
-    """A block of items: their words, and their 3-grams sorted for lookup."""
+def parts_of(words: np.ndarray) -> list[np.ndarray]:
+    """``words`` in equal parts of at most PART; none of fewer than a shortest seed."""
+    if len(words) < LENGTHS[0]:
+        return []
+    return np.array_split(words, math.ceil(len(words) / PART))
 
-    def __init__(self, rows: list[tuple]):
-        known = WordHashes()
-        self.ids = [r[0] for r in rows]
-        self.words = [word_hashes(r[1], known) for r in rows]
-        self.counts = [Counter(w.tolist()) for w in self.words]
-        self.seeds: dict[int, list[tuple[int, int]]] = {}
-        for item, own in enumerate(self.words):
-            for at, gram in enumerate(grams(own).tolist()):
-                self.seeds.setdefault(gram, []).append((item, at))
-        self.grams = np.array(sorted(self.seeds), dtype=np.uint64)
-        # a table of the low bits rules out nearly all 3-grams of a document without a search
-        self.mask = _U((1 << max(16, min(24, int(len(self.grams) * 16).bit_length()))) - 1)
-        self.table = np.zeros(int(self.mask) + 1, dtype=bool)
-        self.table[(self.grams & self.mask).astype(np.int64)] = True
-
-    def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the document, and in ``grams``, of the 3-grams that both have."""
-        own = grams(words)
-        at = np.flatnonzero(self.table[(own & self.mask).astype(np.int64)])
-        place = np.searchsorted(self.grams, own[at])
-        place[place == len(self.grams)] = 0
-        same = self.grams[place] == own[at] if len(self.grams) else np.zeros(0, dtype=bool)
-        return at[same], place[same]
-
-    def matches(self, words: np.ndarray) -> list[tuple]:
-        """(item id, score, first word, word after the last) of every item with a score of LEAST or more."""
-        windows: dict[int, list[tuple[int, int]]] = {}
-        for at, place in zip(*self.hits(words)):
-            for item, offset in self.seeds[int(self.grams[place])]:
-                size = len(self.words[item])
-                start = int(at) - offset - size // 2
-                windows.setdefault(item, []).append((max(0, start), start + 2 * size))
-        found = []
-        for item, spans in windows.items():
-            best = max((self._aligned(words, item, *span) for span in _merged(spans)), key=lambda f: (f[0], -f[1]))
-            if best[0] >= LEAST:
-                found.append((self.ids[item], *best))
-        return found
 
-    def _aligned(self, words: np.ndarray, item: int, start: int, end: int) -> tuple[float, int, int]:
-        own, part = self.words[item], words[start:end]
-        whole, counts, there = MATCH * len(own), self.counts[item], part.tolist()
-        if MATCH * sum(map(counts.__contains__, there)) < LEAST * whole:
-            return 0.0, start, start  # no alignment can match more words than both have
-        there = Counter(there)
-        if MATCH * sum(min(n, there[w]) for w, n in counts.items()) < LEAST * whole:
-            return 0.0, start, start
-        score, last = align(own, part)
-        if score < LEAST * whole:
-            return 0.0, start, start
-        _, back = align(own[::-1], part[:last][::-1])
-        return score / whole, start + last - back, start + last
-
-
-def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    spans = sorted(spans)
-    start, end = spans[0]
-    for s, e in spans[1:]:
-        if s > end:
-            yield start, end
-            start = s
-        end = max(end, e)
-    yield start, end
+class Bitmap:
+    """May an n-gram be one of a set?  A bit for each value of its upper bits."""
+
+    def __init__(self, bits: int, packed: np.ndarray):
+        self.shift, self.packed = _U(64 - bits), packed
+
+    def holds(self, values: np.ndarray) -> np.ndarray:
+        bit = values >> self.shift
+        return (self.packed[(bit >> _U(6)).astype(np.int64)] >> (bit & _U(63))) & _U(1) == 1
+
+
+def bitmap(values: DataFrame, column: str) -> Bitmap:
+    """The bitmap of a column of 64-bit hashes, put together by an aggregate."""
+    bits = min(MOST_BITS, max(FEWEST_BITS, (values.count() * 16).bit_length()))
+    bit = F.shiftrightunsigned(F.col(column), 64 - bits)
+    set_ = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - bits}) & 63 as int))")
+    found = values.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(set_).alias("bits")).toArrow()
+    packed = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    packed[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return Bitmap(bits, packed)
+
+
+def _merged(places: np.ndarray, reach: int) -> Iterator[tuple[int, int]]:
+    """Spans of ``reach`` around sorted places, those that touch as one."""
+    cuts = np.flatnonzero(np.diff(places) > 2 * reach) + 1
+    for run in np.split(places, cuts):
+        yield max(0, int(run[0]) - reach), int(run[-1]) + reach
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -147,57 +130,187 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def item_blocks(benchmark: DataFrame) -> list[Callable[[], Items]]:
-    """Broadcast blocks of items with their seeds."""
-    spark = benchmark.sparkSession
-    small_batches(spark)
-    items = benchmark.select("item_id", "text").where("text is not null")
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(chars / BLOCK_CHARS))
-    found = []
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        rows = sorted((tuple(r) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))  # about BLOCK_CHARS
-        found.append(shipped(spark, Items(rows)))
-    return found
+def aligned(own: np.ndarray, window: np.ndarray) -> tuple[float, int, int] | None:
+    """Share of the part's own score, first word and word after the last in ``window``; None below LEAST."""
+    whole = MATCH * len(own)
+    counts, there = Counter(own.tolist()), window.tolist()
+    if MATCH * sum(map(counts.__contains__, there)) < LEAST * whole:
+        return None  # no alignment can match more words than both have
+    there = Counter(there)
+    if MATCH * sum(min(n, there[w]) for w, n in counts.items()) < LEAST * whole:
+        return None
+    score, last = align(own, window)
+    if score < LEAST * whole:
+        return None
+    _, back = align(own[::-1], window[:last][::-1])
+    return score / whole, last - back, last
 
 
-def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key``, item_id, score, start and end of every document and item that align well enough.
-
-    ``start`` and ``end`` count words of the document.  Words are runs of letters, digits and
-    underscores, without regard to case.  Null and empty texts align with nothing, nor do items of
-    fewer than three words.  Repeated rows give repeated pairs.  Other columns are not read.
-    """
-    blocks = item_blocks(benchmark)
-    key_type, item_type = dict(docs.dtypes)[key], dict(benchmark.dtypes)["item_id"]
+def item_parts(benchmark: DataFrame) -> DataFrame:
+    """(item, part, words): the parts of each distinct text; equal parts share their name."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
+        for batch in batches:
+            rows = [
+                (item, xxhash.xxh3_128_hexdigest(own.tobytes()), own.view(np.int64).tolist())
+                for item, text in zip(batch["item"], batch["text"])
+                for own in parts_of(word_hashes(text, known))
+            ]
+            yield pd.DataFrame(rows, columns=["item", "part", "words"])
+
+    texts = benchmark.where("text is not null").groupBy(F.md5("text").alias("item")).agg(F.min("text").alias("text"))
+    return texts.mapInPandas(run, "item string, part string, words array<long>")
+
+
+def part_grams(parts: DataFrame) -> DataFrame:
+    """(part, size, at, length, gram) of every n-gram of LENGTHS of every part."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for name, body in zip(batch["_key"], batch["_text"]):
-                words = word_hashes(body, known)
-                rows += [(name, *m) for block in blocks for m in block().matches(words)]
-            yield pd.DataFrame(rows, columns=["_key", "item_id", "score", "start", "end"])
-
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    return rows.mapInPandas(run, f"_key {key_type}, item_id {item_type}, score double, start long, end long").withColumnRenamed(
-        "_key", key
+            for part, words in zip(batch["part"], batch["words"]):
+                own = np.array(words, dtype=np.int64).view(np.uint64)
+                for length in LENGTHS:
+                    rows += [(part, len(own), at, length, gram) for at, gram in enumerate(grams(own, length).view(np.int64).tolist())]
+            yield pd.DataFrame(rows, columns=["part", "size", "at", "length", "gram"])
+
+    return parts.mapInPandas(run, "part string, size int, at int, length int, gram long")
+
+
+def rare_seeds(all_grams: DataFrame) -> DataFrame:
+    """(part, size, at, gram): for each place its shortest rare n-gram, or its longest if none is rare."""
+    common = stored(
+        all_grams.groupBy(F.col("gram").alias("_gram")).agg(F.count(F.lit(1)).alias("_places")).where(F.col("_places") > RARE)
     )
+    told = join_counted(all_grams, common, F.col("gram") == F.col("_gram"), "left", 32)
+    order = F.when(F.col("_places").isNull(), F.col("length")).otherwise(2 * LENGTHS[-1] + 1 - F.col("length"))
+    return told.groupBy("part", "size", "at").agg(F.min_by("gram", order).alias("gram"))
+
 
+def segments(docs: DataFrame, starts: Callable[[], Bitmap], seeds: Callable[[], Bitmap]) -> DataFrame:
+    """(key, body, start, first, words, hits) of the words around what may be seeds.
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Column:
-    """A column of ``docs``: true where the text aligns well enough with any item."""
-    blocks = item_blocks(benchmark)
+    ``starts`` knows the shortest n-grams of all places, seed or not, since a longer seed starts with one.
+    """
+    reach = 3 * PART
 
-    @F.pandas_udf("boolean")
-    def found(texts: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
-        hashes = (word_hashes(t, known) for t in texts)
-        return pd.Series([any(block().matches(words) for block in blocks) for words in hashes], dtype="bool")
+        for batch in batches:
+            rows = []
+            for key, body, text in zip(batch["key"], batch["body"], batch["text"]):
+                words = word_hashes(text, known)
+                at = np.flatnonzero(starts().holds(grams(words, LENGTHS[0])))
+                own = [at[at + n <= len(words)] for n in LENGTHS]
+                found = [grams(words, n, places) for n, places in zip(LENGTHS, own)]
+                hit = [seeds().holds(g) for g in found]
+                places = np.concatenate([p[h] for p, h in zip(own, hit)])
+                values = np.concatenate([g[h] for g, h in zip(found, hit)]).view(np.int64)
+                if not len(places):
+                    continue
+                order = np.argsort(places, kind="stable")
+                places, values = places[order], values[order]
+                for nth, (start, end) in enumerate(_merged(places, reach)):
+                    low, high = np.searchsorted(places, [start, end])
+                    hits = [{"gram": g, "at": a} for g, a in zip(values[low:high].tolist(), places[low:high].tolist())]
+                    rows.append((key, body, start, nth == 0, words[start:end].view(np.int64), hits))
+            yield pd.DataFrame(rows, columns=["key", "body", "start", "first", "words", "hits"])
+
+    schema = f"key {dict(docs.dtypes)['key']}, body string, start long, first boolean, words array<long>, hits array<struct<gram: long, at: long>>"
+    return docs.mapInPandas(run, schema)
+
+
+def windows(found: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(body, part, size, start, window): the words around each meeting of a document and a part.
+
+    The text that several documents have is there once.  The places at which a part would start are
+    taken together by the part's length, so that a window always is three times as long.
+    """
+    once = found.select("body", "start", "hits").dropDuplicates(["body", "start"])
+    hits = once.select("body", "start", F.explode("hits").alias("hit")).select("body", "start", "hit.gram", "hit.at")
+    of_parts = seeds.select(F.col("gram").alias("_gram"), "part", "size", F.col("at").alias("_at"))
+    met = join_counted(hits, of_parts, F.col("gram") == F.col("_gram"), "inner", 80)
+    cell = F.floor((F.col("at") - F.col("_at")) / F.col("size"))
+    met = met.select(F.col("body").alias("_body"), F.col("start").alias("_start"), "part", "size", cell.alias("cell")).distinct()
+    words = found.select("body", "start", "words").dropDuplicates(["body", "start"])
+    near = words.join(met, (F.col("body") == F.col("_body")) & (F.col("start") == F.col("_start")))
+    begin = F.floor(F.col("cell") * F.col("size") - F.col("size") / 2) - F.col("start")
+    low, high = F.greatest(begin, F.lit(0)), F.least(begin + 3 * F.col("size"), F.size("words"))
+    near = near.withColumn("_low", low.cast("int")).withColumn("_high", high.cast("int")).where("_high > _low")
+    window = F.slice("words", F.col("_low") + 1, F.col("_high") - F.col("_low"))
+    return near.select("body", "part", "size", (F.col("start") + F.col("_low")).alias("start"), window.alias("window"))
+
+
+def scores(near: DataFrame, parts: DataFrame) -> DataFrame:
+    """(body, part, score, start, end) of the windows that align well enough with their part."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for body, part, start, window, own in zip(*(batch[c] for c in ("body", "part", "start", "window", "own"))):
+                best = aligned(np.asarray(own), np.asarray(window))
+                if best:
+                    rows.append((body, part, best[0], start + best[1], start + best[2]))
+            yield pd.DataFrame(rows, columns=["body", "part", "score", "start", "end"])
+
+    words = parts.select(F.col("part").alias("_part"), F.col("words").alias("own"))
+    both = join_counted(near, words, F.col("part") == F.col("_part"), "inner", F.size("own") * 8 + 64)
+    both = both.select("body", "part", "start", "window", "own")
+    return both.mapInPandas(run, "body string, part string, score double, start long, end long")
+
+
+def text_scores(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents (key, body), and (body, item, score, start, end), the best of an item's parts in each distinct text.
+
+    ``body`` and ``item`` are digests of the texts; only documents with a possible seed are listed.
+    """
+    spark = benchmark.sparkSession
+    small_batches(spark)
+    of_items = stored(item_parts(benchmark))
+    parts = stored(of_items.select("part", "words").dropDuplicates(["part"]))
+    all_grams = stored(part_grams(parts))
+    seeds = stored(rare_seeds(all_grams))
+    starts = shipped(spark, bitmap(all_grams.where(F.col("length") == LENGTHS[0]), "gram"))
+    found = stored(segments(docs, starts, shipped(spark, bitmap(seeds, "gram"))))
+    best = scores(windows(found, seeds), parts)
+    items = of_items.select("item", F.col("part").alias("_part"))
+    whole = join_counted(best, items, F.col("part") == F.col("_part"), "inner", 96)
+    first = F.min(F.struct((-F.col("score")).alias("worst"), "start", "end")).alias("first")
+    whole = whole.groupBy("body", "item").agg(first)
+    whole = whole.select("body", "item", (-F.col("first.worst")).alias("score"), "first.start", "first.end")
+    return found.where("first").select("key", "body"), stored(whole)
+
+
+def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``key``, item_id, score, start and end of every document and item that align well enough.
+
+    ``score`` is that of the item's best part (of equals, the first in the document), which is the whole
+    item up to PART words.  ``start`` and ``end`` count words of the document.  Words are runs of
+    letters, digits and underscores, without regard to case.  Null and empty texts align with nothing,
+    nor do items of fewer than three words; an empty table gives an empty result.  Repeated rows give
+    repeated pairs.  Other columns are not read, so none can clash.
+    """
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.md5(text).alias("body"), F.col(text).alias("text"))
+    members, found = text_scores(rows, benchmark)
+    ids = benchmark.where("text is not null").select("item_id", F.md5("text").alias("_item"))
+    found = found.withColumnRenamed("body", "_body")
+    pairs = join_counted(members, found, F.col("body") == F.col("_body"), "inner", 160)
+    pairs = pairs.join(ids, F.col("item") == F.col("_item"))
+    return pairs.select(F.col("key").alias(key), "item_id", "score", "start", "end")
 
-    return found(F.col(text))
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text aligns well enough with any item; the same columns.
+
+    Rows with a null or empty text stay, all rows of a repeated text stay or go together.  An empty
+    benchmark leaves all.
+    """
+    rows = docs.where(F.col(text).isNotNull()).select(F.lit(0).alias("key"), F.md5(text).alias("body"), F.col(text).alias("text"))
+    _, found = text_scores(rows, benchmark)
+    (name,) = unused(docs, "bad_body")
+    bad = stored(found.select(F.col("body").alias(name)).distinct())
+    return join_counted(docs, bad, F.md5(F.col(text)) == F.col(name), "left_anti", 48)
 
 
 def op8_rare_seed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from rovelog.llm import common
 from rovelog.llm import decontaminate as D
 
 
@@ -47,9 +49,9 @@ def corpus(seed=1):
     return [(i, " ".join(w)) for i, w in items], docs, expected
 
 
-@pytest.mark.parametrize("block", [D.BLOCK_CHARS, 500])
-def test_copies_and_edited_copies_are_found_and_others_left_alone(spark, monkeypatch, block):
-    monkeypatch.setattr(D, "BLOCK_CHARS", block)
+@pytest.mark.parametrize("broadcast", [common.BROADCAST_BYTES, 0])
+def test_copies_and_edited_copies_are_found_and_others_left_alone(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", broadcast)
     items, docs, expected = corpus()
     bench = spark.createDataFrame(items, "item_id long, text string")
     frame = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, score string")
@@ -62,7 +64,9 @@ def test_copies_and_edited_copies_are_found_and_others_left_alone(spark, monkeyp
     for r in found:
         a, b = D.word_hashes(whole[r["item_id"]], known), D.word_hashes(texts[r["doc_id"]], known)
         assert r["score"] == pytest.approx(plain_align(a.tolist(), b.tolist())[0] / (D.MATCH * len(a)))
-    left = frame.where(~D.contaminated(frame, bench)).collect()
+    left = D.without_contaminated(frame, bench)
+    assert left.columns == frame.columns
+    left = left.collect()
     assert {r["doc_id"] for r in left} == {i for i, _ in docs} - set(expected)
 
 
@@ -82,7 +86,12 @@ def test_odd_rows(spark):
     assert sorted((r["doc_id"] or 0, r["item_id"] or 0) for r in found) == [(0, 0), (0, 4), (4, 0), (4, 0), (4, 4), (4, 4)]
     assert D.contaminated_pairs(docs.limit(0), bench).count() == 0
     assert D.contaminated_pairs(docs, bench.limit(0)).count() == 0
-    assert docs.where(~D.contaminated(docs, bench)).count() == 3
+    clashing = docs.select("doc_id", "text", *(F.lit(1).alias(c) for c in ("bad_body", "body", "key", "_body", "_gram")))
+    left = D.without_contaminated(clashing, bench)
+    assert left.columns == clashing.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == [(1, None), (2, ""), (3, "one two")]
+    assert D.without_contaminated(docs.limit(0), bench).count() == 0
+    assert D.without_contaminated(docs, bench.limit(0)).count() == len(rows)
 
 
 @pytest.mark.parametrize("edit", ["insert 3", "exchange 5", "exchange 4"])
@@ -101,4 +110,53 @@ def test_every_copy_of_one_edited_passage_is_found(spark, edit):
     found = D.contaminated_pairs(frame, bench).collect()
     assert sorted(r["doc_id"] for r in found) == list(range(1000))
     assert all(r["score"] == pytest.approx(score) for r in found)
-    assert frame.where(~D.contaminated(frame, bench)).count() == 20
+    assert D.without_contaminated(frame, bench).count() == 20
+
+
+def test_a_long_excerpt_of_a_longer_item_is_found(spark):
+    words = [f"word{i}" for i in range(600)]
+    docs = [(1, " ".join(words[137:437])), (2, " ".join(words[137:337])), (3, "before " + " ".join(words) + " after"), (4, " ".join(words[::2])), (5, " ".join(words[3:33]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = D.contaminated_pairs(frame, spark.createDataFrame([(0, " ".join(words))], "item_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in found) == [1, 2, 3]
+    assert all(r["score"] == 1 and r["end"] - r["start"] == D.PART for r in found)
+
+
+def test_an_item_that_reaches_the_least_score_has_a_part_that_does():
+    draw = random.Random(5)
+    for _ in range(40):
+        words = np.array([draw.randrange(1 << 40) for _ in range(draw.randrange(101, 420))], dtype=np.uint64)
+        kept = [w for w in words.tolist() if draw.random() < 0.85]
+        if plain_align(words.tolist(), kept)[0] >= D.LEAST * D.MATCH * len(words):
+            assert any(D.aligned(part, np.array(kept, dtype=np.uint64)) for part in D.parts_of(words))
+
+
+def test_seeds_are_rare_and_cover_every_place(spark, monkeypatch):
+    """Many items share a passage: its n-grams get longer, the longest stay, and the copies are still found."""
+    monkeypatch.setattr(D, "RARE", 5)
+    shared = " ".join(f"say{i}" for i in range(12))
+    items = [(i, f"{shared} own{i} one{i} two{i} say3 say4 say5 six{i} ten{i} two{i}") for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    parts = D.item_parts(bench).select("part", "words")
+    seeds = D.rare_seeds(D.part_grams(parts)).toPandas()
+    assert set(seeds.groupby("part")["at"].apply(set).map(frozenset)) == {frozenset(range(19))}
+    places = seeds.groupby("at")["gram"].value_counts()
+    assert all(places[at].max() == 40 for at in range(5))  # eight words of the shared passage are in all items
+    assert all(places[at].max() <= 5 for at in range(5, 19))
+    docs = spark.createDataFrame([(i, f"Before {text} after.") for i, text in items] + [(99, "some say3 say4 say5 here")], "doc_id long, text string")
+    found = D.contaminated_pairs(docs, bench).where("score = 1").collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(i, i) for i in range(40)]
+
+
+def test_a_benchmark_a_hundred_times_as_large_is_not_sent_whole(spark, monkeypatch):
+    """What is sent is the bitmap; joins above the bound are shuffled."""
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 20_000)
+    sent = []
+    monkeypatch.setattr(D, "shipped", lambda spark, value: sent.append(value) or common.shipped(spark, value))
+    items, docs, expected = corpus()
+    draw = random.Random(9)
+    more = [(1000 + i, " ".join("".join(draw.choice("klmnop") for _ in range(7)) for _ in range(30))) for i in range(1200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = D.contaminated_pairs(frame, spark.createDataFrame(items + more, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == set(expected.items())
+    assert len(sent) == 2 and all(len(b.packed) * 64 <= 1 << D.MOST_BITS for b in sent)
