@@ -42,8 +42,8 @@ PART = 100
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of the part's own score from which a document is contaminated.
 LEAST = 0.6
-#: Bits of the bitmap, as powers of two: for each n-gram 16, within these bounds.
-FEWEST_BITS, MOST_BITS = 16, 27
+#: Bits of the bitmap, as powers of two: for each n-gram 64, within these bounds.
+FEWEST_BITS, MOST_BITS = 24, 27
 
 _WORD = re.compile(r"\w+")
 _U = np.uint64
@@ -66,11 +66,10 @@ def word_hashes(text: str | None, known: WordHashes) -> np.ndarray:
 
 def grams(words: np.ndarray, length: int, at: np.ndarray | None = None) -> np.ndarray:
     """Hashes of the n-grams of ``length`` words, of all places or of those ``at`` which they fit."""
-    if at is None:
-        at = np.arange(max(0, len(words) - length + 1))
-    total = np.full(len(at), length, dtype=np.uint64)
+    count = max(0, len(words) - length + 1) if at is None else len(at)
+    total = np.full(count, length, dtype=np.uint64)
     for i in range(length):
-        total += words[at + i] * _U((2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+        total += (words[i : i + count] if at is None else words[at + i]) * _U((2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
     total = (total ^ (total >> _U(32))) * _U(0xC2B2AE3D27D4EB4F)
     return total ^ (total >> _U(29))
 
@@ -95,7 +94,7 @@ class Bitmap:
 
 def bitmap(values: DataFrame, column: str) -> Bitmap:
     """The bitmap of a column of 64-bit hashes, put together by an aggregate."""
-    bits = min(MOST_BITS, max(FEWEST_BITS, (values.count() * 16).bit_length()))
+    bits = min(MOST_BITS, max(FEWEST_BITS, (values.count() * 64).bit_length()))
     bit = F.shiftrightunsigned(F.col(column), 64 - bits)
     set_ = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - bits}) & 63 as int))")
     found = values.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(set_).alias("bits")).toArrow()
@@ -188,12 +187,13 @@ def rare_seeds(all_grams: DataFrame) -> DataFrame:
     return told.groupBy("part", "size", "at").agg(F.min_by("gram", order).alias("gram"))
 
 
-def segments(docs: DataFrame, starts: Callable[[], Bitmap], seeds: Callable[[], Bitmap]) -> DataFrame:
+def segments(docs: DataFrame, starts: Callable[[], Bitmap], seeds: Callable[[], Bitmap], longest: int) -> DataFrame:
     """(key, body, start, first, words, hits) of the words around what may be seeds.
 
     ``starts`` knows the shortest n-grams of all places, seed or not, since a longer seed starts with one.
+    No window of a part of at most ``longest`` words reaches further than what is kept.
     """
-    reach = 3 * PART
+    reach = 5 * longest // 2 + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
@@ -202,6 +202,8 @@ def segments(docs: DataFrame, starts: Callable[[], Bitmap], seeds: Callable[[],
             for key, body, text in zip(batch["key"], batch["body"], batch["text"]):
                 words = word_hashes(text, known)
                 at = np.flatnonzero(starts().holds(grams(words, LENGTHS[0])))
+                if not len(at):
+                    continue
                 own = [at[at + n <= len(words)] for n in LENGTHS]
                 found = [grams(words, n, places) for n, places in zip(LENGTHS, own)]
                 hit = [seeds().holds(g) for g in found]
@@ -272,7 +274,8 @@ def text_scores(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataF
     all_grams = stored(part_grams(parts))
     seeds = stored(rare_seeds(all_grams))
     starts = shipped(spark, bitmap(all_grams.where(F.col("length") == LENGTHS[0]), "gram"))
-    found = stored(segments(docs, starts, shipped(spark, bitmap(seeds, "gram"))))
+    longest = parts.agg(F.max(F.size("words"))).first()[0] or 0
+    found = stored(segments(docs, starts, shipped(spark, bitmap(seeds, "gram")), longest))
     best = scores(windows(found, seeds), parts)
     items = of_items.select("item", F.col("part").alias("_part"))
     whole = join_counted(best, items, F.col("part") == F.col("_part"), "inner", 96)
