@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from checks import roles
 from checks.session import own_folder
 from rovelog.functions.timeops import EASTERN, to_zone
 from rovelog.operators import asof, dwell, events, lookback, reinduct, rules, sites, stale
+from rovelog.operators.failures import FailedSites
 from rovelog.operators.keyed import COPIES
 from rovelog.operators.places import in_order
 from rovelog.operators.timeline import cell_of
@@ -256,6 +258,16 @@ def published_report(spark, sf_dir):
     return published(spark, path)[0].select(*COLUMNS)
 
 
+def failed_sites(spark, sf_dir):
+    """The sites that a strict report leaves out, with the reasons, and the rows of those that go on."""
+    own_folder(spark)
+    failed = FailedSites()
+    report = compliance(roles.fleet(spark, sf_dir), AS_OF, DAYS, replace(WIDE, strict_levels=True), ordered=False, failed=failed)
+    told = failed.table(spark)
+    others = report.groupBy("site_id").agg(F.count(F.lit(1)).alias("rows"))
+    return told.unionByName(others.select("site_id", F.lit("report").alias("source"), F.lit(None).cast("string").alias("reason"), "rows"))
+
+
 def write_dwell(spark, sf_dir):
     """The dwell summary as read back."""
     return spark.read.parquet(f"{_written(spark, sf_dir)}/dwell")
@@ -302,6 +314,6 @@ QUERIES = {
         stale_group, asof_join, asof_join_one, compliance_wide, compliance_report, compliance_one_site,
         verdict_counts, daily_snapshot, dwell_days, dwell_summary, weekly_reinduct, all_sites, site_report,
         to_site_local, write_by_site, write_dwell, ordered_report, ordered_dwell, ordered_reinduct,
-        site_folders, loaded_report, kept_disconnects, published_report,
+        site_folders, loaded_report, kept_disconnects, published_report, failed_sites,
     )
 }

@@ -346,6 +346,16 @@ ORACLE["site_folders"] = _with(select="SELECT * FROM removals WHERE site_id IS N
 ORACLE["loaded_report"] = compliance_sql(
     WIDE, select="SELECT site_id, valid_removal_reason, count(*) AS removals FROM report GROUP BY ALL"
 )
+_WRONG_LEVELS = f"""(SELECT s.site_short AS site_id, count(*) AS wrong FROM bot_errors e JOIN sites s ON s.site_full = e.site_id
+  WHERE {_local('datetime')} > TIMESTAMP '{AS_OF}' - INTERVAL '10 days'
+    AND (event IS NULL OR event NOT IN ('logFileWritten', 'behaviorStackTrace', 'constraintViolation'))
+    AND level IS NOT NULL AND try_cast(level AS DECIMAL(38,0)) IS NULL GROUP BY ALL)"""
+ORACLE["failed_sites"] = compliance_sql(
+    WIDE,
+    select=f"""SELECT site_id, 'bot_errors' AS source, 'level is not a number' AS reason, wrong AS rows FROM {_WRONG_LEVELS}
+    UNION ALL SELECT site_id, 'report', NULL, count(*) FROM report
+    WHERE site_id IS NULL OR site_id NOT IN (SELECT site_id FROM {_WRONG_LEVELS}) GROUP BY ALL""",
+)
 ORACLE["published_report"] = ORACLE["write_by_site"]
 ORACLE["kept_disconnects"] = ORACLE["disconnect_issue"]
 ORACLE["write_dwell"] = ORACLE["dwell_summary"]

@@ -60,26 +60,31 @@ def classified_errors(
     *,
     error_days: int = 10,
     strict: bool = False,
+    wrong: str | None = None,
 ) -> DataFrame:
     """Usable error rows with ``error_ts`` (local) and ``error_category``.
 
-    ``strict`` raises on a level that is not a number; otherwise the row is dropped.
+    ``strict`` raises on a level that is not a number; otherwise the row is dropped, or kept
+    with a text in the column ``wrong``, if that is named.
     Eastern time is 4 or 5 hours behind UTC, so the raw time alone settles the age of
     all rows but those of a few hours; only these are converted to be tested, and the
     bound reaches the file scan.
     """
     since = wall(as_of) - span(timedelta(days=error_days))
     level = F.col("level").try_cast("decimal(38,0)")
-    if strict:
-        wrong = F.raise_error(F.concat(F.lit("level is not a number: "), F.col("level")))
-        level = F.when(F.col("level").isNotNull() & level.isNull(), wrong.cast("decimal(38,0)")).otherwise(level)
+    no_number = F.col("level").isNotNull() & level.isNull()
+    if wrong is not None:
+        errors = errors.withColumn(wrong, F.when(no_number, F.lit("level is not a number")))
+    elif strict:
+        failed = F.raise_error(F.concat(F.lit("level is not a number: "), F.col("level")))
+        level = F.when(no_number, failed.cast("decimal(38,0)")).otherwise(level)
     local = to_zone(F.col("datetime"))
     nearest, farthest = EASTERN_BEHIND
     usable = errors.where(
         (F.col("datetime") > since + span(nearest))
         & ((F.col("datetime") > since + span(farthest)) | (local > since))
         & (F.col("event").isNull() | ~F.col("event").isin(*IGNORED_EVENTS))
-        & level.isNotNull()
+        & (level.isNotNull() if wrong is None else F.col("level").isNotNull())
     )
     return classify(usable, error_rules()).withColumn("error_ts", local)
 

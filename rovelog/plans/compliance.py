@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rovelog.functions.timeops import EASTERN, second_text, span, to_zone, wall
 from rovelog.operators.asof import attach_records, latest_time_before, record_variants
 from rovelog.operators.events import event_times, is_new, previous_event, recent_events
+from rovelog.operators.failures import REJECTED, FailedSites
 from rovelog.operators.keyed import COPIES, expand, is_small, key_total
 from rovelog.operators.lookback import (
     Count,
@@ -35,8 +36,8 @@ from rovelog.operators.rules import (
 from rovelog.operators.sites import short_site_codes
 from rovelog.operators.stale import stale_group
 from rovelog.operators.timeline import BROADCAST_ROWS, cell_of, enrich, fit_broadcast, thinned
-from rovelog.sources.sinks import written
-from rovelog.sources.tables import DAY_PART, FleetTables
+from rovelog.sources.sinks import remove_steps, written
+from rovelog.sources.tables import DAY_PART, OF_SITES, FleetTables
 
 SITE, BOT, TS = "site_id", "bot_id", "event_ts"
 FLAGS = ("case_handling_disabled", "system_flagged", "drive_system_not_ok")
@@ -134,6 +135,7 @@ def compliance(
     until: datetime | str | None = None,
     ordered: bool = True,
     lost_totals: DataFrame | None = None,
+    failed: FailedSites | None = None,
 ) -> DataFrame:
     """One row per removal (and per tied score record) with features and verdict.
 
@@ -143,13 +145,24 @@ def compliance(
     call itself writes two steps to the shared folder: the removals, and these with what
     was found by site and machine; and the scores that matched one.  ``lost_totals``, kept by
     ``sources.kept`` for DISCONNECT_TOTALS, stand for the disconnects of all history, which are then not read.
+
+    With ``failed`` a site is left out, and noted there, if a removal or usable error of the period is
+    rejected (``sources.tables.checked(aside=True)``) or, with ``strict_levels``, such an error has a
+    level that is not a number; the others go on.  Sites noted before are left out as well.
     """
+    marked = [t for t in OF_SITES if REJECTED in getattr(tables, t).columns]
+    if marked and failed is None:
+        raise ValueError(f"{marked} may hold rejected rows: pass failed=")
     scored = tables.bot_recs
     if sites is not None:
         tables, scored = of_sites(tables, sites)
     if lost_totals is not None and sites is not None:
         lost_totals = lost_totals.where(F.col(SITE).isin(list(sites)))
-    events = written(removal_events(tables.removals, as_of, days, until))
+    removals = tables.removals
+    if REJECTED in removals.columns:
+        recent = recent_events(removals, "timestamp", as_of, days, action="Removed", until=until)
+        removals = failed.without(recent, "removals", SITE, REJECTED)
+    events = written(removal_events(removals, as_of, days, until))
     start = wall(as_of) - span(timedelta(days=days))
 
     by_site = [SITE, BOT]
@@ -157,12 +170,21 @@ def compliance(
     recs = short_site_codes(
         scored, tables.sites, cell_of(F.col("last_updated")), small=few_sites
     )
+    noted = "_wrong_level" if failed is not None and settings.strict_levels else None
+    marks = [F.col(c) for c in (noted, REJECTED if "bot_errors" in marked else None) if c]
     errors = short_site_codes(
-        classified_errors(tables.bot_errors, as_of, error_days=settings.error_days, strict=settings.strict_levels),
+        classified_errors(
+            tables.bot_errors, as_of, error_days=settings.error_days, strict=settings.strict_levels, wrong=noted
+        ),
         tables.sites,
         cell_of(F.col("datetime")),
         small=few_sites,
     )
+    if marks:
+        errors = errors.select(SITE, BOT, "datetime", "error_ts", "error_category", F.coalesce(*marks).alias("_reason"))
+        errors = failed.without(errors, "bot_errors", SITE, "_reason")
+    if failed is not None:
+        events = failed.others(events, SITE)
 
     rows = enrich(
         events,
@@ -177,6 +199,8 @@ def compliance(
         few=few,
     )
     rows = written(rows)
+    if marks:
+        remove_steps(errors)
     scores = written(matched_scores(rows, recs, few))
     most = _most_copies(events, scores)
     rows = _with_sessions(rows, scores, settings.gap_minutes)
