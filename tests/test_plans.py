@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rovelog.operators import lookback as L
 from rovelog.operators import timeline
 from rovelog.operators.dwell import dwell_summary
+from rovelog.operators.rules import RED_FLAG_PATTERNS, pattern_hits
 from rovelog.plans.compliance import Settings, compliance
 from rovelog.sources.sinks import shared_folder
 from rovelog.sources.tables import SCHEMAS, load_fleet
@@ -154,3 +155,36 @@ def test_many_cells_shuffle_telemetry_once(spark, tables, monkeypatch):
         assert len(left) <= 1, tree
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_last_plan_is_no_larger_than_it_must_be(tables):
+    """The driver plans every copy of a source, so the report reads each once, or from a step."""
+    report = compliance(tables, "2024-01-15 12:00:00")
+    plan = report._jdf.queryExecution().analyzed().toString()
+    assert sum("AS _event#" in line for line in plan.split("\n")) == 1
+    assert "diagnostic" not in "".join(scans(explained(report), "diagnostic_message"))
+
+
+def test_a_filter_goes_out_in_few_rows(spark, monkeypatch):
+    """Filters of all sources are in the driver at a time; one row for each 64 bits took 40 bytes."""
+    monkeypatch.setattr(timeline, "FILTER_BITS", 1 << 16)
+    source, wanted = spark.range(10), spark.range(100_000)
+    found = timeline.thinned(source, wanted, ["id"])
+    assert found.count() == 10
+    (bits,) = [n for n in _nodes(found._jdf.queryExecution().analyzed()) if n.nodeName() == "Aggregate"]
+    names = [bits.output().apply(i).name() for i in range(bits.output().size())]
+    assert names == ["_row", "_bits"] and timeline.FILTER_BITS // 64 // timeline.FILTER_WORDS == 64
+
+
+def _nodes(plan):
+    yield plan
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def test_patterns_are_not_lowered_by_the_driver(spark):
+    """Spark lowers a literal with tables of all characters, built while it plans."""
+    df = spark.createDataFrame([("A pOWER fault_x",), ("other",), ("Größe ÄB",)], "x string")
+    plan = pattern_hits(df, "x", RED_FLAG_PATTERNS, ["x"])._jdf.queryExecution().analyzed().toString()
+    assert "lower(x" in plan and "ilike" not in plan.lower()
+    assert [r["x"] for r in pattern_hits(df, "x", ("%Power FAULT\\_X%", "%äb"), ["x"]).orderBy("x").collect()] == ["A pOWER fault_x", "Größe ÄB"]
