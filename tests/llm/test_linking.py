@@ -1,0 +1,22 @@
+"""Pairs and links of large buckets: no more than the members need."""
+
+from pyspark.sql import functions as F
+
+from rovelog.llm import linking
+
+
+def test_a_member_meets_a_pivot_once_however_many_buckets_they_share(spark):
+    members = spark.range(100).select(F.explode(F.sequence(F.lit(0), F.lit(9))).alias("bucket"), "id")
+    found = [tuple(r) for r in linking.pairs_with_pivots(members).collect()]
+    parts = {}
+    for r in spark.range(100).select("id", F.pmod(F.xxhash64("id"), F.lit(linking.PIVOTS)).alias("part")).collect():
+        parts[r["part"]] = min(r["id"], parts.get(r["part"], r["id"]))
+    wanted = {(min(i, p), max(i, p)) for p in parts.values() for i in range(100) if i != p}
+    assert set(found) == wanted
+    assert len(found) <= 100 * linking.PIVOTS  # not once more for each bucket
+
+
+def test_pivots_of_the_own_group_are_not_met(spark):
+    members = spark.range(40).select(F.lit(1).alias("bucket"), "id", (F.col("id") % 2).alias("group"))
+    found = linking.pairs_with_pivots(members).collect()
+    assert found and all(r["a"] % 2 != r["b"] % 2 for r in found)
