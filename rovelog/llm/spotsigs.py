@@ -34,8 +34,6 @@ SLOTS = 1 << 16
 CHAIN = 3
 #: Percent of similarity from which fingerprints are near.
 SIMILAR_PERCENT = 80
-#: Rounds in which each set is compared to one other.
-ROUNDS = 4
 #: Bytes of text of a range of documents, ranges at most (larger ranges spill), and ranges of a task.
 RANGE_BYTES, MOST_RANGES, TASK_RANGES = 8 << 20, 1 << 18, 4
 
@@ -253,9 +251,9 @@ def near_groups(sets: DataFrame, by: list[str], percent: int = SIMILAR_PERCENT)
         some = only_those(classes.select("id", "signed"), pairs)
         a = some.select(F.col("id").alias("a"), F.col("signed").alias("x"))
         b = some.select(F.col("id").alias("b"), F.col("signed").alias("y"))
-        return pairs.join(a, "a").join(b, "b").where(near(F.col("x"), F.col("y"), percent)).select("a", "b")
+        return pairs.join(a, "a").join(b, "b").where(near(F.col("x"), F.col("y"), percent)).select(pairs.columns)
 
-    groups = grouped_by(stored(members), confirm, ROUNDS, possible(percent))
+    groups = grouped_by(stored(members), confirm, possible(percent))
     of_set = sets.select(*by, "class").join(groups.select(F.col("node").alias("class"), "component"), "class", "left")
     grouped = stored(of_set.select(*by, F.coalesce("component", "class").alias("group")))
     first = grouped.where("group is not null").groupBy("group").agg(F.min(by[0]).alias("component"))

@@ -20,3 +20,39 @@ def test_pivots_of_the_own_group_are_not_met(spark):
     members = spark.range(40).select(F.lit(1).alias("bucket"), "id", (F.col("id") % 2).alias("group"))
     found = linking.pairs_with_pivots(members).collect()
     assert found and all(r["a"] % 2 != r["b"] % 2 for r in found)
+
+
+def test_of_the_links_between_two_groups_one_is_kept(spark, monkeypatch):
+    """Two groups of 30, each with a bucket of its own, meet in a third bucket, where all pairs are links."""
+    ids = spark.range(60).select("id", (F.col("id") >= 30).cast("int").alias("half"))
+    members = ids.select(F.col("half").alias("bucket"), "id").union(ids.select(F.lit(2), "id"))
+    known = []
+    joined = linking.joined_groups
+
+    def counted(groups, links):
+        known.append(links.count())
+        return joined(groups, links)
+
+    monkeypatch.setattr(linking, "joined_groups", counted)
+
+    def confirm(pairs):
+        return pairs if "g" in pairs.columns else pairs.where("(a < 30) = (b < 30)")
+
+    groups = linking.grouped_by(members, confirm, lambda x, y: F.lit(True))
+    assert {(r["node"], r["component"]) for r in groups.collect()} == {(i, 0) for i in range(60)}
+    assert max(known) <= 60 and known[-1] == 1
+
+
+def test_rounds_go_on_while_they_find_links(spark):
+    """Five groups in one bucket: each round joins one of them, and no pair of a group is left for the last step."""
+    members = spark.range(100).select(F.lit(0).alias("bucket"), "id")
+    last = []
+
+    def confirm(pairs):
+        if "g" in pairs.columns:
+            last.append(pairs.where("a % 5 = b % 5").count())
+        return pairs.where("a % 5 = b % 5")
+
+    groups = linking.grouped_by(members, confirm, lambda x, y: F.lit(True))
+    assert {(r["node"], r["component"]) for r in groups.collect()} == {(i, i % 5) for i in range(100)}
+    assert sum(last) < 5 * 20 * 19 // 2
