@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rovelog.llm.common import join_counted, shipped, small_batches, stored, table, unused
+from rovelog.llm.common import join_counted, shipped, small_batches, stored, stored_alone, table, unused
 
 #: Words of a seed, shortest first.
 LENGTHS = (3, 4, 6, 8)
@@ -310,9 +310,8 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "tex
     benchmark leaves all.
     """
     rows = docs.where(F.col(text).isNotNull()).select(F.lit(0).alias("key"), F.md5(text).alias("body"), F.col(text).alias("text"))
-    _, found = text_scores(rows, benchmark)
     (name,) = unused(docs, "bad_body")
-    bad = stored(found.select(F.col("body").alias(name)).distinct())
+    bad = stored_alone(lambda: text_scores(rows, benchmark)[1].select(F.col("body").alias(name)).distinct())
     return join_counted(docs, bad, F.md5(F.col(text)) == F.col(name), "left_anti", 48)
 
 

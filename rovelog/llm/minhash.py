@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rovelog.llm.common import block_tasks, join_counted, small_batches, stored, table, unused
+from rovelog.llm.common import block_tasks, join_counted, small_batches, stored, stored_alone, table, unused
 from rovelog.llm.linking import linked_groups
 
 COORDINATES, TREES, DEPTH, DEEPER, BRANCH = 128, 8, 4, 6, 0.25
@@ -325,7 +325,7 @@ def keep_one_of_each(docs: DataFrame, size: int, percent: int = 80) -> DataFrame
     The document of the least id stays.  Of rows with the same id and words one stays.  Documents
     without words link with nothing and all stay.  In a group where no document has an id, one of them stays.
     """
-    found = stored(near_duplicates(docs, size, percent).where("n_shingles > 0").select("doc_id", "key", "group"))
+    found = stored_alone(lambda: near_duplicates(docs, size, percent).where("n_shingles > 0").select("doc_id", "key", "group"))
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
     first = found.groupBy("group").agg(F.min(order).alias("first"))
     judged = found.groupBy("group", "doc_id", "key").agg(F.count(F.lit(1)).alias("rows")).join(first, "group")
