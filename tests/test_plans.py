@@ -165,6 +165,22 @@ def test_the_last_plan_is_no_larger_than_it_must_be(tables):
     assert "diagnostic" not in "".join(scans(explained(report), "diagnostic_message"))
 
 
+def test_no_step_looks_back_over_all_sources(tables, monkeypatch):
+    """What the driver holds of a plan grows with the sources that are looked back over in it."""
+    plans, kept = [], compliance.__globals__["written"]
+
+    def noted(df):
+        plans.append(explained(df))
+        return kept(df)
+
+    monkeypatch.setattr("rovelog.plans.compliance.written", noted)
+    plans.append(explained(compliance(tables, "2024-01-15 12:00:00")))
+    over = [[t for t in ("bot_recs", "bot_errors", "bot_disconnect", "diagnostic_message", "bot_health") if scans(p, t)] for p in plans]
+    assert all(len(found) <= 2 for found in over), over
+    assert sorted({t for found in over for t in found}) == ["bot_disconnect", "bot_errors", "bot_health", "bot_recs", "diagnostic_message"]
+    assert not any({"bot_recs", "bot_errors"} <= set(found) or {"bot_recs", "bot_health"} <= set(found) for found in over), over
+
+
 def test_a_filter_goes_out_in_few_rows(spark, monkeypatch):
     """Filters of all sources are in the driver at a time; one row for each 64 bits took 40 bytes."""
     monkeypatch.setattr(timeline, "FILTER_BITS", 1 << 16)
