@@ -1,8 +1,12 @@
 """Pairs and links of large buckets: no more than the members need."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from rovelog.llm import linking
+from tests.llm.test_common import grouped
 
 
 def test_a_member_meets_a_pivot_once_however_many_buckets_they_share(spark):
@@ -56,3 +60,34 @@ def test_rounds_go_on_while_they_find_links(spark):
     groups = linking.grouped_by(members, confirm, lambda x, y: F.lit(True))
     assert {(r["node"], r["component"]) for r in groups.collect()} == {(i, i % 5) for i in range(100)}
     assert sum(last) < 5 * 20 * 19 // 2
+
+
+def test_outsiders_of_a_large_bucket_meet_those_with_most_links(spark):
+    """Of 400 in one bucket only ten are linked to others, to all: not every two need be compared."""
+    members = spark.range(400).select(F.lit(0).alias("bucket"), "id")
+    made = []
+
+    def confirm(pairs):
+        made.append(pairs.count())
+        return pairs.where("a % 40 = 7 or b % 40 = 7")
+
+    groups = linking.grouped_by(members, confirm, lambda x, y: F.lit(True))
+    assert {(r["node"], r["component"]) for r in groups.collect()} == {(i, 0) for i in range(400)}
+    assert sum(made) < 400 * 3 * linking.PIVOTS  # 80,144 before
+
+
+@pytest.mark.parametrize("seed, links", [(1, 0.004), (2, 0.02), (3, 0.1)])
+def test_turns_of_outsiders_lose_no_link(spark, monkeypatch, seed, links):
+    monkeypatch.setattr(linking, "PIVOTS", 2)
+    monkeypatch.setattr(linking, "WORTH", 2)
+    draw = random.Random(seed)
+    in_buckets = {i: {draw.randrange(5) for _ in range(draw.randrange(1, 4))} for i in range(150)}
+    linked = {(a, b) for b in in_buckets for a in range(b) if in_buckets[a] & in_buckets[b] and draw.random() < links}
+    members = spark.createDataFrame([(bucket, i) for i, some in in_buckets.items() for bucket in some], "bucket int, id long")
+    known = spark.createDataFrame(sorted(linked) or [(-1, -1)], "u long, v long").cache()
+
+    def confirm(pairs):
+        return pairs.join(known, (F.least("a", "b") == known.u) & (F.greatest("a", "b") == known.v)).select(pairs.columns)
+
+    groups = linking.grouped_by(members, confirm, lambda x, y: F.lit(True))
+    assert {r["node"]: r["component"] for r in groups.collect()} == grouped(linked)
