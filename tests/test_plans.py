@@ -11,7 +11,7 @@ from rovelog.operators import lookback as L
 from rovelog.operators import timeline
 from rovelog.operators.dwell import dwell_summary
 from rovelog.operators.rules import RED_FLAG_PATTERNS, pattern_hits
-from rovelog.plans.compliance import Settings, compliance
+from rovelog.plans.compliance import Settings, compliance, disconnect_feature
 from rovelog.sources.sinks import shared_folder
 from rovelog.sources.tables import SCHEMAS, load_fleet
 
@@ -204,3 +204,46 @@ def test_patterns_are_not_lowered_by_the_driver(spark):
     plan = pattern_hits(df, "x", RED_FLAG_PATTERNS, ["x"])._jdf.queryExecution().analyzed().toString()
     assert "lower(x" in plan and "ilike" not in plan.lower()
     assert [r["x"] for r in pattern_hits(df, "x", ("%Power FAULT\\_X%", "%äb"), ["x"]).orderBy("x").collect()] == ["A pOWER fault_x", "Größe ÄB"]
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, timeline.BROADCAST_ROWS])
+def test_the_cells_of_the_removals_are_found_once_a_report(tables, monkeypatch, broadcast_rows):
+    """Each lookback found them again, up to five times a plan; now they are two steps."""
+    plans, kept = [], compliance.__globals__["written"]
+
+    def noted(df):
+        plans.append((df.columns, explained(df)))
+        return kept(df)
+
+    monkeypatch.setattr("rovelog.plans.compliance.written", noted)
+    report = compliance(tables, "2024-01-15 12:00:00", settings=Settings(broadcast_rows=broadcast_rows))
+    assert [c for c, _ in plans if c[-1] == "_cell"] == [["site_id", "bot_id", "_cell"], ["bot_id", "_cell"]]
+    times = "ReadSchema: struct<bot_id:bigint,event_ts:timestamp_ntz>"
+    assert not any(times in s for s in explained(report).split("\n\n"))
+    looked = [p for c, p in plans if "has_disconnect_issue" in c and "removal_sessions" not in c]
+    assert looked and not any("struct<site_id:string,bot_id:bigint,event_ts:timestamp_ntz>" in p for p in looked)
+
+
+def test_rows_of_an_aggregate_go_without_a_filter(tables):
+    """Disconnects come as a row for each machine and type: a filter to thin them out cost more than their shuffle."""
+    tracks = disconnect_feature(tables.bot_disconnect, Settings()).tracks
+    assert [t.grouped for t in tracks] == [True]
+    events = tables.removals.select("site_id", F.col("botnumber").alias("bot_id"), F.col("timestamp").alias("event_ts"))
+    keys = ["site_id", "bot_id"]
+    plan = timeline.enrich(events, keys, "event_ts", [disconnect_feature(tables.bot_disconnect, Settings())], few=False)
+    assert "getbit" not in plan._jdf.queryExecution().analyzed().toString()
+
+
+def test_steps_that_nothing_reads_are_removed(tables, monkeypatch):
+    made, kept = [], compliance.__globals__["written"]
+
+    def noted(df):
+        made.append(kept(df))
+        return made[-1]
+
+    monkeypatch.setattr("rovelog.plans.compliance.written", noted)
+    report = compliance(tables, "2024-01-15 12:00:00")
+    there = {f.rpartition("/")[0] for f in report.inputFiles()}
+    read = {c for df in made for c in [df.columns[-1]] if {f.rpartition("/")[0] for f in df.inputFiles()} & there}
+    assert "_cell" in read and "stale_group" in read
+    assert report.count() == 60
